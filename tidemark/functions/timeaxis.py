@@ -58,15 +58,18 @@ def period_ns(period: str) -> int:
 def parse_bound(bound) -> int:
     """Nanoseconds of a range bound.
 
-    Integers are taken as they are. Anything else is read the way
-    ``pandas.to_datetime`` reads it, day first and UTC unless it names a zone.
+    Integers are taken as they are. Text that starts with the year is read in
+    ISO order, other text day first. Times are UTC unless they name a zone.
     """
     if isinstance(bound, (bool, np.bool_)):
         raise ValueError("a bound is an integer, a string or a datetime")
     if isinstance(bound, (int, np.integer)):
         return int(bound)
-    if isinstance(bound, (str, datetime, np.datetime64)):
-        stamp = pd.to_datetime(bound, dayfirst=True, utc=True)
+    if isinstance(bound, str):
+        year_first = re.match(r"\s*\d{4}", bound) is not None
+        stamp = pd.to_datetime(bound, dayfirst=not year_first, utc=True)
+    elif isinstance(bound, (datetime, np.datetime64)):
+        stamp = pd.to_datetime(bound, utc=True)
     else:
         stamp = pd.to_datetime(bound, unit="ns", utc=True)
     if stamp is pd.NaT:

@@ -11,7 +11,7 @@ MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Beyond them the rows of each key are spread over this many shuffle keys.
-SALTS = 64
+SALTS = 16
 
 
 def fits_broadcast(
