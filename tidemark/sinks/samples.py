@@ -38,11 +38,14 @@ def format_lines(df: DataFrame) -> DataFrame:
 
     A value with a line break could not be read back and stops the job.
     """
-    text = F.col("value_text")
-    checked = F.when(
-        text.rlike(r"[\r\n]"), F.raise_error(F.lit("a text value must not hold a line break"))
-    ).otherwise(text)
-    cell = F.coalesce(checked, F.col("value").cast("string"), F.lit(""))
+    cells = []
+    if "value_text" in df.columns:
+        text = F.col("value_text")
+        broken = F.raise_error(F.lit("a text value must not hold a line break"))
+        cells.append(F.when(text.rlike(r"[\r\n]"), broken).otherwise(text))
+    if "value" in df.columns:
+        cells.append(F.col("value").cast("string"))
+    cell = F.coalesce(*cells, F.lit(""))
     rest = [c for c in df.columns if c not in ("index", "value", "value_text")]
     return df.select(*rest, F.concat_ws(",", F.col("index").cast("string"), cell).alias("line"))
 
