@@ -70,7 +70,7 @@ def line_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("series_id"),
         (to_index("l_shipdate") + F.col("l_orderkey")).alias("index"),
-        F.col("l_extendedprice").alias("value"),
+        F.col("l_quantity").alias("value"),
     )
 
 

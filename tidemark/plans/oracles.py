@@ -16,7 +16,7 @@ TABLES = {
         SELECT event_type AS series_id, epoch_us(ts) * 1000 AS "index", value FROM events""",
     "line_samples": """
         SELECT l_returnflag AS series_id, epoch_us(l_shipdate) * 1000 + l_orderkey AS "index",
-               l_extendedprice AS value
+               l_quantity AS value
         FROM lineitem""",
     "uploads": """
         SELECT 'u' || user_id AS series_id, 0 AS file_seq, epoch_us(ts) * 1000 AS "index", value
@@ -306,7 +306,7 @@ ORACLES = {
     "agg_overlaid_mean": sql("resolved", binned("resolved", 6 * HOUR, "round(avg(value), 6)")),
     "agg_hot_series": sql(
         "line_samples",
-        binned("line_samples", DAY, "round(avg(value), 3)", LINES_START, LINES_END),
+        binned("line_samples", DAY, "avg(value)", LINES_START, LINES_END),
     ),
     "agg_tick": sql(
         "line_samples", binned("line_samples", 100, "max(value)", LINES_START, LINES_END)

@@ -244,7 +244,7 @@ def agg_overlaid_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 def agg_hot_series(spark: SparkSession, sf: str) -> DataFrame:
     lines = inputs.line_samples(spark, sf)
-    return rounded(agg.aggregate(lines, "1995-01-01", "2002-01-01", "24h", "mean"), 3)
+    return agg.aggregate(lines, "1995-01-01", "2002-01-01", "24h", "mean")
 
 
 def agg_tick(spark: SparkSession, sf: str) -> DataFrame:
