@@ -9,6 +9,7 @@ from tidemark.functions.timeaxis import bin_start, long_lit, parse_range, period
 from tidemark.operators.overlay import overlay
 from tidemark.operators.read import of_series, slice_range
 from tidemark.schema import EMPTY_FIRST, EMPTY_LAST
+from tidemark.session import settle
 
 # The four functions and their second names.
 FUNCTION_NAMES = {"mean": "avg", "min": "min", "max": "max", "std": "stdev"}
@@ -21,6 +22,14 @@ MAX_DENSE_BINS = 10_000_000
 # Bins made from one array; keeps arrays small however long the range is.
 BINS_PER_BLOCK = 4_096
 
+# Bins one task makes, and the most tasks that make them.
+BINS_PER_TASK = 4_000_000
+MAX_GRID_TASKS = 20_000
+
+# A bin is cut into at most this many slices, fewer once the range has enough.
+MAX_SLICES = 64
+ENOUGH_SLICES = 16_384
+
 
 def aggregate_function(name: str):
     """Spark aggregate of a function name; any case, either spelling."""
@@ -43,8 +52,9 @@ def reject_text(samples: DataFrame) -> None:
 def bin_grid(ids: DataFrame, start: int, end: int, width_ns: int) -> DataFrame:
     """Left edge of every bin that overlaps ``[start, end)``, for every id.
 
-    The bins are made where the ids are, in two steps, so neither the driver
-    nor a single array holds them all.
+    The bins are made in two steps, first blocks and then the bins of each, so
+    that no array holds them all; the blocks are spread over as many tasks as
+    the number of bins asks for.
     """
     first = start - start % width_ns
     last = (end - 1) - (end - 1) % width_ns
@@ -53,41 +63,66 @@ def bin_grid(ids: DataFrame, start: int, end: int, width_ns: int) -> DataFrame:
         raise ValueError(
             f"{n_bins} bins per series exceed {MAX_DENSE_BINS}: use a longer period or a shorter range"
         )
+    ids = settle(ids)
+    n_tasks = min(ids.count() * n_bins // BINS_PER_TASK + 1, MAX_GRID_TASKS)
     step = width_ns * BINS_PER_BLOCK
     blocks = ids.select(
         "series_id",
         F.explode(F.sequence(long_lit(first), long_lit(last), long_lit(step))).alias("_block"),
     )
-    to_block_end = width_ns * (BINS_PER_BLOCK - 1)
-    block_last = F.when(
-        F.col("_block") > long_lit(max(last - to_block_end, first)), long_lit(last)
-    ).otherwise(F.least(F.col("_block") + long_lit(min(to_block_end, last - first)), long_lit(last)))
+    if n_tasks > 1:
+        blocks = blocks.repartition(n_tasks, "series_id", "_block")
+    to_block_end = step - width_ns
+    full_block = F.col("_block") <= long_lit(max(last - to_block_end, first - 1))
+    block_last = F.when(full_block, F.col("_block") + long_lit(to_block_end)).otherwise(
+        long_lit(last)
+    )
     return blocks.select(
         "series_id", F.explode(F.sequence("_block", block_last, long_lit(width_ns))).alias("index")
     )
 
 
-def _binned(
-    samples: DataFrame,
-    start: int | None,
-    end: int | None,
-    width_ns: int,
-    ids: DataFrame | None,
+def _slice_width(lo: int | None, hi: int | None, width_ns: int) -> int:
+    """Width of the slices a bin is cut into before overlay.
+
+    Few bins are cut finely, so that the one bin of a hot series does not end
+    in one task; with many bins a bin is one slice.
+    """
+    if lo is None or hi is None:
+        return max(width_ns // MAX_SLICES, 1)
+    n_bins = (hi - lo) // width_ns + 1
+    return max(width_ns // min(max(ENOUGH_SLICES // n_bins, 1), MAX_SLICES), 1)
+
+
+def _present(
+    samples: DataFrame, lo: int | None, hi: int | None, width_ns: int, contested
 ) -> DataFrame:
-    present = slice_range(samples, start, end).filter(F.col("value").isNotNull())
-    rows = present.select("series_id", bin_start("index", width_ns).alias("index"), "value")
-    if ids is not None:
-        # Empty bins enter as rows without a value: the functions skip them,
-        # and one shuffle serves samples and grid alike.
-        grid = bin_grid(ids, start, end, width_ns)
-        rows = rows.unionByName(grid.withColumn("value", F.lit(None).cast("double")))
-    return rows
+    """``(series_id, bin, value)`` of the samples in range that have a value.
+
+    Overlapping uploads are resolved within slices of bins: all rows of a slice
+    meet in one task, which then sends on one partial aggregate per bin.
+    """
+    cut = slice_range(samples, lo, hi)
+    if "file_seq" in samples.columns:
+        bin_of = bin_start("index", width_ns)
+        slice_no = F.call_function(
+            "div", F.pmod("index", long_lit(width_ns)), long_lit(_slice_width(lo, hi, width_ns))
+        )
+        keyed = cut.withColumns({"_bin": bin_of, "_slice": slice_no})
+        if contested is None:
+            keyed = keyed.repartition("series_id", "_bin", "_slice")
+        cut = overlay(keyed, kind="numeric", contested=contested, also=("_bin", "_slice"))
+        binned = cut.select("series_id", F.col("_bin").alias("index"), "value")
+    else:
+        binned = cut.select("series_id", bin_start("index", width_ns).alias("index"), "value")
+    return binned.filter(F.col("value").isNotNull())
 
 
-def _resolved(samples: DataFrame, lo: int | None, hi: int | None, contested) -> DataFrame:
-    if "file_seq" not in samples.columns:
-        return samples
-    return overlay(slice_range(samples, lo, hi), kind="numeric", contested=contested)
+def _with_grid(rows: DataFrame, ids: DataFrame, lo: int, hi: int, width_ns: int) -> DataFrame:
+    """Empty bins as rows without a value: the functions skip them, and one
+    shuffle serves samples and grid alike."""
+    grid = bin_grid(ids, lo, hi, width_ns)
+    return rows.unionByName(grid.withColumn("value", F.lit(None).cast("double")))
 
 
 def _ids(samples: DataFrame, series) -> DataFrame:
@@ -127,8 +162,9 @@ def aggregate(
     chosen = of_series(samples, series)
     if check_text:
         reject_text(slice_range(chosen, lo, hi))
-    ids = _ids(samples, series) if include_empty else None
-    rows = _binned(_resolved(chosen, lo, hi, contested), lo, hi, width, ids)
+    rows = _present(chosen, lo, hi, width, contested)
+    if include_empty:
+        rows = _with_grid(rows, _ids(samples, series), lo, hi, width)
     return rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
 
 
@@ -136,7 +172,7 @@ def resample(samples: DataFrame, period: str, function: str, start=None, end=Non
     """Aggregate over any span, open ends included, in one pass."""
     spark_function = aggregate_function(function)
     lo, hi = parse_range(start, end)
-    rows = _binned(_resolved(samples, lo, hi, None), lo, hi, period_ns(period), None)
+    rows = _present(samples, lo, hi, period_ns(period), None)
     return rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
 
 
@@ -145,7 +181,8 @@ def gaps(samples: DataFrame, start, end, period: str, *, series=None) -> DataFra
     width = period_ns(period)
     lo, hi = parse_range(start, end)
     chosen = of_series(samples, series)
-    rows = _binned(_resolved(chosen, lo, hi, None), lo, hi, width, _ids(samples, series))
+    rows = _present(chosen, lo, hi, width, None)
+    rows = _with_grid(rows, _ids(samples, series), lo, hi, width)
     counted = rows.groupBy("series_id", "index").agg(F.count("value").alias("n"))
     return counted.filter(F.col("n") == 0).select("series_id", "index")
 

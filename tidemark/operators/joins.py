@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import settle
+
 # A lookup is broadcast up to these sizes, measured, not estimated.
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -19,18 +21,23 @@ def fits_broadcast(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """Count rows and bytes, reading no further than the row limit."""
-    size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.length(F.to_json(F.struct("*")))).alias("n_bytes"),
-        )
-        .first()
-    )
+    """Count rows and bytes; every task sends back two numbers."""
+    size = df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.length(F.to_json(F.struct("*")))).alias("n_bytes"),
+    ).first()
     return size.n_rows <= max_rows and (size.n_bytes or 0) <= max_bytes
 
 
+def _salt(big: DataFrame, lookup: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
+    hashable = [
+        F.col(f"`{f.name}`") for f in big.schema if not isinstance(f.dataType, T.MapType)
+    ]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return big.withColumn("_salt", salt), lookup.withColumn("_salt", copies)
+
+
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -38,7 +45,7 @@ def lookup_join(
     how: str = "inner",
     *,
     salts: int = SALTS,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``lookup`` (inner, left, left_semi or left_anti).
 
@@ -46,14 +53,22 @@ def lookup_join(
     at all. A larger one is copied once per salt, so that no task gets all
     rows of a hot key: a key holding a third of ``big`` becomes ``salts``
     shuffle keys, and adaptive execution splits those further if need be.
+    ``small`` passes on a size check already made.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")
-    if fits_broadcast(lookup, max_rows):
+    if fits_broadcast(lookup) if small is None else small:
         return big.join(F.broadcast(lookup), keys, how)
-    hashable = [
-        F.col(f"`{f.name}`") for f in big.schema if not isinstance(f.dataType, T.MapType)
-    ]
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted_big, salted_lookup = _salt(big, lookup, salts)
     return salted_big.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
+
+
+def lookup_split(
+    big: DataFrame, lookup: DataFrame, keys: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``big`` whose key is in ``lookup``, and all others."""
+    lookup = settle(lookup)
+    small = fits_broadcast(lookup)
+    found = lookup_join(big, lookup, keys, "left_semi", small=small)
+    others = lookup_join(big, lookup, keys, "left_anti", small=small)
+    return found, others

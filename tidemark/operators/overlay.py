@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import lookup_split
 
 KEY = ["series_id", "index"]
 
@@ -16,7 +16,13 @@ def _newest(value: str, rank: Column) -> Column:
     return F.max_by(value, rank).alias(value)
 
 
-def overlay(samples: DataFrame, *, kind: str = "both", contested: DataFrame | None = None) -> DataFrame:
+def overlay(
+    samples: DataFrame,
+    *,
+    kind: str = "both",
+    contested: DataFrame | None = None,
+    also: tuple[str, ...] = (),
+) -> DataFrame:
     """One row per ``(series_id, index)``.
 
     ``kind`` names the value columns wanted: ``numeric`` keeps the aggregation
@@ -26,18 +32,22 @@ def overlay(samples: DataFrame, *, kind: str = "both", contested: DataFrame | No
     ``contested`` (see :func:`contested_days`) limits the work to the days of a
     series that more than one upload touched; all others pass through without
     a shuffle, as the indices within one upload are unique.
+
+    ``also`` names columns that follow from the key and are kept in it, so that
+    rows already partitioned by them are not shuffled again.
     """
     columns = {"numeric": ["value"], "text": ["value_text"], "both": ["value", "value_text"]}[kind]
     if contested is not None:
-        slim = samples.select(*KEY, "day", "file_seq", *columns)
-        alone = lookup_join(slim, contested, ["series_id", "day"], "left_anti")
-        shared = lookup_join(slim, contested, ["series_id", "day"], "left_semi")
-        return alone.select(*KEY, *columns).unionByName(overlay(shared, kind=kind))
+        slim = samples.select(*KEY, "day", "file_seq", *also, *columns)
+        shared, alone = lookup_split(slim, contested, ["series_id", "day"])
+        return alone.select(*KEY, *also, *columns).unionByName(
+            overlay(shared, kind=kind, also=also)
+        )
     present = F.col(columns[0]).isNotNull()
     for name in columns[1:]:
         present = present | F.col(name).isNotNull()
     rank = F.when(present, F.col("file_seq"))
-    return samples.groupBy(*KEY).agg(*[_newest(name, rank) for name in columns])
+    return samples.groupBy(*KEY, *also).agg(*[_newest(name, rank) for name in columns])
 
 
 def contested_days(manifest: DataFrame) -> DataFrame:

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeaxis import long_lit
-from tidemark.operators.joins import lookup_join
-from tidemark.session import settle
+from tidemark.operators.joins import lookup_split
 
 READY = "Ready"
 FAILED = "Failed"
@@ -96,9 +95,8 @@ def split_by_verdict(
     df: DataFrame, verdicts: DataFrame, file_cols: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of the ready files and rows of the failed ones."""
-    failed_files = settle(verdicts.filter(F.col("state") == FAILED).select(*file_cols))
-    ready = lookup_join(df, failed_files, file_cols, "left_anti")
-    failed = lookup_join(df, failed_files, file_cols, "left_semi")
+    failed_files = verdicts.filter(F.col("state") == FAILED).select(*file_cols)
+    failed, ready = lookup_split(df, failed_files, file_cols)
     return ready, failed
 
 

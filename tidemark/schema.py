@@ -44,12 +44,13 @@ SAMPLES_RAW = T.StructType(
     ]
 )
 
-UPLOADS = T.StructType(
+# One row per series, upload and day: what the upload holds.
+MANIFEST = T.StructType(
     [
         T.StructField("series_id", T.StringType()),
         T.StructField("file_seq", T.LongType()),
         T.StructField("file_id", T.StringType()),
-        T.StructField("state", T.StringType()),
+        T.StructField("day", T.IntegerType()),
         T.StructField("kind", T.StringType()),
         T.StructField("first_index", T.LongType()),
         T.StructField("last_index", T.LongType()),
@@ -57,6 +58,17 @@ UPLOADS = T.StructType(
     ]
 )
 
+# One row per uploaded file; a failed one has no extent.
+RECEIPTS = T.StructType(
+    [
+        T.StructField("series_id", T.StringType()),
+        T.StructField("file_id", T.StringType()),
+        T.StructField("first_index", T.LongType()),
+        T.StructField("last_index", T.LongType()),
+        T.StructField("state", T.StringType()),
+    ]
+)
+
 SERIES = T.StructType(
     [
         T.StructField("series_id", T.StringType()),

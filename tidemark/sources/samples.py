@@ -107,12 +107,15 @@ def from_pandas(spark: SparkSession, series) -> DataFrame:
         index = index.as_unit("ns").astype("int64")
     elif index.dtype != np.int64:
         raise ValueError("index must be datetime64[ns] or int64")
-    is_text = not pd.api.types.is_numeric_dtype(series.dtype)
-    values = series.astype(object) if is_text else series.astype("float64")
+    # Booleans are kept as the text 'True' and 'False'.
+    is_number = pd.api.types.is_numeric_dtype(series.dtype)
+    is_text = not is_number or pd.api.types.is_bool_dtype(series.dtype)
+    if is_text:
+        values = [None if pd.isna(v) else str(v) for v in series]
+    else:
+        values = series.to_numpy(dtype="float64")
     frame = pd.DataFrame(
-        {"pos": np.arange(len(series)), "index": index.to_numpy(), "value": values.to_numpy()}
+        {"pos": np.arange(len(series)), "index": np.asarray(index), "value": values}
     )
-    if is_text:
-        frame["value"] = frame["value"].where(frame["value"].notna(), None)
     schema = f"pos bigint, index bigint, value {'string' if is_text else 'double'}"
     return spark.createDataFrame(frame, schema)

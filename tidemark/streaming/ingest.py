@@ -15,25 +15,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.timeaxis import day_of
 from tidemark.operators.joins import lookup_join
-from tidemark.operators.ingest import receipts
+from tidemark.operators.ingest import manifest_of, receipts
 from tidemark.operators.validate import READY, file_verdicts, split_by_verdict
-from tidemark.schema import SAMPLES_RAW
+from tidemark.schema import MANIFEST, RECEIPTS, SAMPLES_RAW
 from tidemark.session import settle
 from tidemark.sinks.samples import by_day
 from tidemark.sources.chunks import ARRIVAL, infer_value_type, parse_index, split_lines
 
 FILE = ["series_id", "file_id"]
 
-RECEIPTS = T.StructType(
-    [
-        T.StructField("series_id", T.StringType()),
-        T.StructField("file_id", T.StringType()),
-        T.StructField("first_index", T.LongType()),
-        T.StructField("last_index", T.LongType()),
-        T.StructField("state", T.StringType()),
-    ]
-)
-
 _QUEUE = T.StructType(
     [T.StructField("value", T.StringType()), T.StructField("series_id", T.StringType())]
 )
@@ -64,10 +54,14 @@ def number_files(files: DataFrame) -> DataFrame:
     return files.select(*FILE, (millis * 1_000_000 + rank).alias("file_seq"))
 
 
+def _read(spark: SparkSession, out: str, name: str, schema: T.StructType) -> DataFrame:
+    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(with_batch).parquet(f"{out}/{name}")
+
+
 def known_files(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
     """Files that earlier batches have accepted."""
-    schema = T.StructType([*RECEIPTS.fields, T.StructField("batch", T.LongType())])
-    seen = spark.read.schema(schema).parquet(f"{out}/receipts")
+    seen = _read(spark, out, "receipts", RECEIPTS)
     return seen.filter((F.col("batch") != batch_id) & (F.col("state") == READY)).select(*FILE)
 
 
@@ -92,6 +86,7 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str) -> None:
         by_day(stored).write.mode("overwrite").partitionBy("day").parquet(
             f"{out}/samples/batch={batch_id}"
         )
+        manifest_of(stored).write.mode("overwrite").parquet(f"{out}/manifest/batch={batch_id}")
         failed.write.mode("overwrite").parquet(f"{out}/failed/batch={batch_id}")
         receipts(ready, verdicts).select(*RECEIPTS.fieldNames()).write.mode("overwrite").parquet(
             f"{out}/receipts/batch={batch_id}"
@@ -101,8 +96,15 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str) -> None:
 
 
 def prepare(spark: SparkSession, out: str) -> None:
-    """Make the receipts folder, so that the first batch can look into it."""
-    spark.createDataFrame([], RECEIPTS).write.mode("ignore").parquet(f"{out}/receipts/batch=-1")
+    """Make the folders, so that they can be read before the first batch."""
+    for name, schema, folders in (
+        ("samples", SAMPLES_RAW, ["batch", "day"]),
+        ("manifest", MANIFEST, ["batch"]),
+        ("receipts", RECEIPTS, ["batch"]),
+    ):
+        with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+        empty = spark.createDataFrame([], with_batch)
+        empty.write.mode("ignore").partitionBy(*folders).parquet(f"{out}/{name}")
 
 
 def stream_ingest(
@@ -126,11 +128,14 @@ def stream_ingest(
 
 def read_ingested(spark: SparkSession, out: str) -> DataFrame:
     """Samples of all accepted files, before overlay."""
-    schema = T.StructType([*SAMPLES_RAW.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(schema).parquet(f"{out}/samples").drop("batch")
+    return _read(spark, out, "samples", SAMPLES_RAW).drop("batch")
+
+
+def read_ingest_manifest(spark: SparkSession, out: str) -> DataFrame:
+    """What the accepted files hold, per series and day."""
+    return _read(spark, out, "manifest", MANIFEST).drop("batch")
 
 
 def read_receipts(spark: SparkSession, out: str) -> DataFrame:
     """Verdict and extent of every file taken in."""
-    schema = T.StructType([*RECEIPTS.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(schema).parquet(f"{out}/receipts").drop("batch")
+    return _read(spark, out, "receipts", RECEIPTS).drop("batch")
