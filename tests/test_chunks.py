@@ -1,0 +1,234 @@
+from __future__ import annotations
+
+import json
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.errors import PySparkException
+
+from tidemark.operators.overlay import overlay
+from tidemark.operators.validate import check_sorted
+from tidemark.sinks.samples import export, format_lines, write_chunks, write_samples
+from tidemark.sources.chunks import (
+    ARRIVAL,
+    infer_value_type,
+    read_chunk_samples,
+    read_chunks,
+    read_series_csv,
+)
+from tidemark.sources.manifest import read_manifest
+from tidemark.sources.samples import (
+    empty_samples,
+    from_pandas,
+    from_series,
+    read_sample_pages,
+    read_samples,
+)
+from tidemark.schema import SAMPLES
+
+# Five indices and the texts that hold commas.
+INDICES = [
+    1640995215379000000,
+    1640995219176000000,
+    1640995227270000000,
+    1640995267223000000,
+    1640995271472000000,
+]
+NUMBERS = [-0.2, -0.1, 0.2, 0.1, 1.2]
+TEXTS = ["fo,o", "bar", "b,a,z", "foo,bar", "ab,cd"]
+
+
+def write(path, lines):
+    path.write_text("".join(f"{line}\n" for line in lines), encoding="utf-8")
+    return str(path)
+
+
+def in_order(df, *columns):
+    return [tuple(r[c] for c in columns) for r in df.orderBy("index").collect()]
+
+
+def test_numbers(spark, tmp_path):
+    path = write(tmp_path / "a.csv", [f"{i},{v}" for i, v in zip(INDICES, NUMBERS)])
+    got = in_order(read_chunk_samples(spark, path), "index", "value", "value_text")
+    assert got == [(i, v, None) for i, v in zip(INDICES, NUMBERS)]
+
+
+def test_text_with_commas_and_blank_lines(spark, tmp_path):
+    lines = []
+    for i, v in zip(INDICES, TEXTS):
+        lines += [f"{i},{v}", ""]
+    got = in_order(read_chunk_samples(spark, write(tmp_path / "a.csv", lines)), "index", "value_text")
+    assert got == list(zip(INDICES, TEXTS))
+
+
+def test_type_is_one_per_chunk(spark, tmp_path):
+    a = write(tmp_path / "a.csv", ["1,1.5", "2,x", "3,"])
+    b = write(tmp_path / "b.csv", ["11,1.5", "12,", "13", "14,nan", "15,-INF"])
+    got = in_order(read_chunk_samples(spark, [a, b]), "index", "value", "value_text")
+    assert got == [
+        (1, None, "1.5"),
+        (2, None, "x"),
+        (3, None, None),
+        (11, 1.5, None),
+        (12, None, None),
+        (13, None, None),
+        (14, None, None),
+        (15, float("-inf"), None),
+    ]
+
+
+@pytest.mark.parametrize(
+    "token, value",
+    [("1", 1.0), ("+1.", 1.0), (".5", 0.5), (" 2 ", 2.0), ("1e3", 1000.0), ("-2E-2", -0.02),
+     ("Infinity", float("inf")), ("1.0E10", 1e10)],
+)
+def test_numeric_tokens(spark, token, value):
+    df = spark.createDataFrame([("c", token)], "chunk string, value_token string")
+    row = infer_value_type(df, ["chunk"]).first()
+    assert (row.value, row.value_text) == (value, None)
+
+
+@pytest.mark.parametrize("token", ["1d", "1.5f", "0x10", "1,5", "e3", "true", "--1", "."])
+def test_text_tokens(spark, token):
+    df = spark.createDataFrame([("c", token)], "chunk string, value_token string")
+    row = infer_value_type(df, ["chunk"]).first()
+    assert (row.value, row.value_text) == (None, token)
+
+
+@pytest.mark.parametrize("token", ["x", "1.5", "", "99999999999999999999"])
+def test_bad_index(spark, tmp_path, token):
+    path = write(tmp_path / "a.csv", ["1,1", f"{token},2"])
+    with pytest.raises(PySparkException):
+        read_chunk_samples(spark, path).collect()
+    lenient = read_chunk_samples(spark, path, strict=False)
+    assert lenient.filter("index IS NULL").count() == 1
+
+
+def test_arrival_order_of_a_file_in_many_splits(spark, tmp_path):
+    rising = write(tmp_path / "up.csv", [f"{i},{i % 7}" for i in range(20_000)])
+    one_back = [*range(20_000)]
+    one_back[15_000], one_back[15_001] = 15_001, 15_000
+    broken = write(tmp_path / "down.csv", [f"{i},1" for i in one_back])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        rows = read_chunk_samples(spark, [rising, broken])
+        assert read_chunks(spark, rising).rdd.getNumPartitions() > 4
+        verdict = check_sorted(rows, ["chunk"], ARRIVAL, block_rows=64).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r.chunk.rsplit("/", 1)[1]: r.is_sorted for r in verdict} == {
+        "up.csv": True,
+        "down.csv": False,
+    }
+
+
+def test_series_csv_strips_line_ends(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes(b"1,foo  \t\n2,b,r \n")
+    assert in_order(read_series_csv(spark, str(path)), "index", "value_text") == [
+        (1, "foo"),
+        (2, "b,r"),
+    ]
+
+
+def test_chunk_files_round_trip(spark, tmp_path):
+    rows = [("a", i, v, None) for i, v in zip(INDICES, NUMBERS)]
+    rows += [("t", i, None, v) for i, v in zip(INDICES, TEXTS)]
+    rows += [("n", 1, 1e10, None), ("n", 2, None, None), ("n", 3, float("inf"), None)]
+    samples = spark.createDataFrame(rows, SAMPLES)
+    path = str(tmp_path / "chunks")
+    write_chunks(samples, path, folders=("series_id", "day"), partitions=1)
+    back = read_chunk_samples(spark, f"{path}/series_id=*/day=*")
+    got = in_order(back.filter("index > 10"), "index", "value", "value_text")
+    assert sorted(got, key=str) == sorted([(i, v, t) for _, i, v, t in rows if i > 10], key=str)
+    small = in_order(back.filter("index <= 10"), "index", "value")
+    assert small == [(1, 1e10), (2, None), (3, float("inf"))]
+
+
+def test_chunk_lines_as_bytes(spark, tmp_path):
+    samples = spark.createDataFrame([("a", i, v, None) for i, v in zip(INDICES, NUMBERS)], SAMPLES)
+    path = tmp_path / "chunks"
+    write_chunks(samples, str(path), partitions=1)
+    (part,) = path.glob("day=*/*.txt")
+    assert part.read_bytes() == (
+        b"1640995215379000000,-0.2\n1640995219176000000,-0.1\n1640995227270000000,0.2\n"
+        b"1640995267223000000,0.1\n1640995271472000000,1.2\n"
+    )
+
+
+def test_line_break_is_refused(spark):
+    bad = spark.createDataFrame([("a", 1, None, "x\ny")], SAMPLES)
+    with pytest.raises(PySparkException):
+        format_lines(bad).collect()
+
+
+def test_stored_samples_round_trip(spark, tmp_path):
+    rows = [("a", 0, "f", i * 40_000_000_000_000, float(i), None) for i in range(6)]
+    schema = "series_id string, file_seq bigint, file_id string, index bigint, value double, value_text string"
+    path = str(tmp_path / "samples")
+    write_samples(spark.createDataFrame(rows, schema), path)
+    stored = read_samples(spark, path)
+    assert sorted({r.day for r in stored.collect()}) == [0, 1, 2]
+    assert overlay(stored).count() == 6
+
+
+def test_export(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, 2.0, None)], SAMPLES)
+    for kind in ("csv", "json", "parquet"):
+        export(df, str(tmp_path / kind), kind)
+    assert spark.read.parquet(str(tmp_path / "parquet")).count() == 1
+    assert spark.read.json(str(tmp_path / "json")).first()["value"] == 2.0
+
+
+def test_manifest(spark, tmp_path):
+    def chunk(day):
+        return {"Path": f"p/{day}.csv", "Endpoint": "e", "ContentMd5": "m", "DaysSinceEpoch": day,
+                "Account": "ignored"}
+
+    listing = {"Files": [
+        {"Index": 5, "FileId": "f0", "Chunks": [chunk(19356), chunk(19357)]},
+        {"Index": 1, "FileId": "f1", "Chunks": [chunk(19357), chunk(19358)]},
+    ]}
+    path = tmp_path / "days.json"
+    path.write_text(json.dumps(listing, indent=2))
+    rows = read_manifest(spark, str(path)).orderBy("file_seq", "chunk_seq").collect()
+    assert [(r.file_seq, r.file_id, r.chunk_seq, r.day) for r in rows] == [
+        (0, "f0", 0, 19356), (0, "f0", 1, 19357), (1, "f1", 0, 19357), (1, "f1", 1, 19358)]
+    path.write_text('{"Files": []}')
+    assert read_manifest(spark, str(path)).count() == 0
+
+
+def test_sample_pages(spark, tmp_path):
+    pages = [
+        [("2024-01-02T00:00:00.1234567Z", 1.5), ("2024-01-02T00:00:01+00:00", None)],
+        [("2024-01-02T01:00:02.5+01:00", 2)],
+        [],
+    ]
+    for n, page in enumerate(pages):
+        content = {"value": [{"Timestamp": t, "Value": v} for t, v in page], "@odata.nextLink": "x"}
+        (tmp_path / f"{n}.json").write_text(json.dumps(content))
+    got = in_order(read_sample_pages(spark, str(tmp_path)), "index", "value")
+    start = 1704153600000000000
+    assert got == [(start + 123456700, 1.5), (start + 10**9, None), (start + 2_500_000_000, 2.0)]
+
+
+def test_frames_as_series(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'1970-01-01 00:00:01' AS t, 1 AS n, 'x' AS s, DATE'2024-01-01' AS d")
+    assert from_series(df, "t", "n", "a").first() == ("a", 10**9, 1.0, None)
+    assert from_series(df, "t", "s", "a").first() == ("a", 10**9, None, "x")
+    with pytest.raises(ValueError):
+        from_series(df, "d", "n", "a")
+    with pytest.raises(ValueError):
+        from_series(df, "t", "d", "a")
+    assert empty_samples(spark).schema == SAMPLES
+
+
+def test_pandas_series(spark):
+    zone = pd.Series([1.0], index=pd.DatetimeIndex(["1970-01-01 01:00:01"], tz="Europe/Oslo"))
+    assert from_pandas(spark, zone).first() == (0, 10**9, 1.0)
+    with pytest.raises(ValueError):
+        from_pandas(spark, pd.Series([1.0], index=[0.5]))
+    with pytest.raises(ValueError):
+        from_pandas(spark, np.arange(3))
