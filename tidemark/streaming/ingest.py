@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.timeaxis import day_of
+from tidemark.functions.timeaxis import day_of, long_lit
 from tidemark.operators.joins import lookup_join
-from tidemark.operators.ingest import manifest_of, receipts
+from tidemark.operators.ingest import manifest_of, next_file_seq, receipts
 from tidemark.operators.validate import READY, file_verdicts, split_by_verdict
 from tidemark.schema import MANIFEST, RECEIPTS, SAMPLES_RAW
 from tidemark.session import settle
@@ -43,15 +43,15 @@ def stream_chunks(spark: SparkSession, queue: str, max_files: int = 1_000) -> Da
     return split_lines(lines)
 
 
-def number_files(files: DataFrame) -> DataFrame:
-    """``file_seq`` from the time a file arrived.
+def number_files(files: DataFrame, above: int) -> DataFrame:
+    """``file_seq`` from the time a file arrived, and above all earlier ones.
 
-    Files of the same millisecond are numbered by name. One batch holds at most
-    ``max_files`` files, so their numbering is a small job.
+    Files of one batch are ordered by time and name; there are at most
+    ``max_files`` of them, so one task can do it.
     """
-    millis = F.unix_millis("modified")
-    rank = F.row_number().over(Window.partitionBy(millis).orderBy(*FILE))
-    return files.select(*FILE, (millis * 1_000_000 + rank).alias("file_seq"))
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("modified", *FILE))
+    base = F.greatest(F.unix_millis("modified") * 1_000_000, long_lit(above))
+    return files.select(*FILE, (base + rank).alias("file_seq"))
 
 
 def _read(spark: SparkSession, out: str, name: str, schema: T.StructType) -> DataFrame:
@@ -65,6 +65,12 @@ def known_files(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
     return seen.filter((F.col("batch") != batch_id) & (F.col("state") == READY)).select(*FILE)
 
 
+def last_file_seq(spark: SparkSession, out: str, batch_id: int) -> int:
+    """Highest ``file_seq`` of the batches before this one."""
+    earlier = _read(spark, out, "manifest", MANIFEST).filter(F.col("batch") < batch_id)
+    return next_file_seq(earlier) - 1
+
+
 def ingest_batch(rows: DataFrame, batch_id: int, out: str) -> None:
     """Judge the files of one batch; store the good ones, put the others aside.
 
@@ -80,7 +86,7 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str) -> None:
         fresh = lookup_join(lines, repeated, FILE, "left_anti")
         verdicts = settle(file_verdicts(fresh, FILE, ARRIVAL))
         ready, failed = split_by_verdict(fresh, verdicts, FILE)
-        numbered = lookup_join(ready, number_files(files), FILE)
+        numbered = lookup_join(ready, number_files(files, last_file_seq(spark, out, batch_id)), FILE)
         typed = infer_value_type(numbered, FILE)
         stored = typed.withColumn("day", day_of("index")).select(*SAMPLES_RAW.fieldNames())
         by_day(stored).write.mode("overwrite").partitionBy("day").parquet(
