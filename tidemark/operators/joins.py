@@ -53,11 +53,15 @@ def lookup_join(
     at all. A larger one is copied once per salt, so that no task gets all
     rows of a hot key: a key holding a third of ``big`` becomes ``salts``
     shuffle keys, and adaptive execution splits those further if need be.
-    ``small`` passes on a size check already made.
+    The lookup is computed once, before its size is taken; ``small`` passes on
+    a size check already made.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")
-    if fits_broadcast(lookup) if small is None else small:
+    if small is None:
+        lookup = settle(lookup)
+        small = fits_broadcast(lookup)
+    if small:
         return big.join(F.broadcast(lookup), keys, how)
     salted_big, salted_lookup = _salt(big, lookup, salts)
     return salted_big.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")

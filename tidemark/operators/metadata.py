@@ -216,7 +216,7 @@ def metadata_with_series(
     """
     entries = _entries(metadata)
     linked = lookup_join(links, entries, ["metadata_id"])
-    linked = lookup_join(linked, settle(extents), ["series_id"], "left")
+    linked = lookup_join(linked, extents, ["series_id"], "left")
     bare = entries.join(links.select("metadata_id").distinct(), "metadata_id", "left_anti")
     return linked.select(
         "metadata_id", *NAME, "value_json", "series_id", "first_index", "last_index"

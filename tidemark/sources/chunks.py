@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import is_numeric, to_index_strict, to_number, try_index
 from tidemark.operators.joins import lookup_join
-from tidemark.session import settle
 
 # Arrival order of the lines of one file: the byte offset of the split a line
 # was read from, then the line's place within the split.
@@ -54,9 +53,8 @@ def infer_value_type(tokens: DataFrame, chunk_cols: list[str]) -> DataFrame:
     spreads a chunk of any size over many tasks.
     """
     token = F.col("value_token")
-    text_chunks = settle(
-        tokens.filter(~is_numeric(token)).select(*chunk_cols).distinct()
-    ).withColumn("is_text", F.lit(True))
+    text_chunks = tokens.filter(~is_numeric(token)).select(*chunk_cols).distinct()
+    text_chunks = text_chunks.withColumn("is_text", F.lit(True))
     marked = lookup_join(tokens, text_chunks, chunk_cols, "left")
     is_text = F.coalesce(F.col("is_text"), F.lit(False))
     return (
