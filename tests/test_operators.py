@@ -159,6 +159,21 @@ def test_slices_do_not_change_the_result(spark, monkeypatch):
     assert result(agg.resample(stored, "tick", "mean"), "index", "value") == want
 
 
+def test_resampling_day_by_day(spark):
+    hour = DAY // 24
+    rng = random.Random(7)
+    rows = [("a", d * DAY + h * hour + m, rng.random())
+            for d in (-1, 0, 2) for h in rng.sample(range(24), 6) for m in (0, 5, 9)]
+    got = agg.resample(samples(spark, rows), "1h", "std", fill_within="24h").toPandas()
+    got = got.set_index("index")["value"].sort_index()
+    series = pd.Series({pd.Timestamp(i): v for _, i, v in rows}).sort_index()
+    want = pd.concat([day.resample("1h").std() for _, day in series.groupby(series.index.floor("D"))])
+    want.index = want.index.astype("int64")
+    pd.testing.assert_series_equal(got, want, check_names=False)
+    with pytest.raises(ValueError):
+        agg.resample(samples(spark, rows), "7h", "std", fill_within="24h")
+
+
 def test_single_sample_has_no_deviation(spark):
     s = samples(spark, [("a", 1, 5.0)])
     assert result(agg.aggregate(s, 0, 10, "tick", "Stdev"), "index", "value") == [(0, None)]

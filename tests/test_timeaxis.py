@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import numpy as np
 import pandas as pd
@@ -79,6 +79,7 @@ JAN_2 = 1704153600000000000
         "2024-01-02T00:00:00+00:00",
         "2024-01-02T01:00:00+01:00",
         datetime(2024, 1, 2),
+        date(2024, 1, 2),
         datetime(2024, 1, 2, 2, tzinfo=timezone(timedelta(hours=2))),
         pd.Timestamp("2024-01-02"),
         np.datetime64("2024-01-02"),

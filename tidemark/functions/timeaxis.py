@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import datetime
+from datetime import date
 
 import numpy as np
 import pandas as pd
@@ -68,7 +68,7 @@ def parse_bound(bound) -> int:
     if isinstance(bound, str):
         year_first = re.match(r"\s*\d{4}", bound) is not None
         stamp = pd.to_datetime(bound, dayfirst=not year_first, utc=True)
-    elif isinstance(bound, (datetime, np.datetime64)):
+    elif isinstance(bound, (date, np.datetime64)):
         stamp = pd.to_datetime(bound, utc=True)
     else:
         stamp = pd.to_datetime(bound, unit="ns", utc=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeaxis import bin_start, long_lit, parse_range, period_ns
@@ -23,7 +23,7 @@ MAX_DENSE_BINS = 10_000_000
 BINS_PER_BLOCK = 4_096
 
 # Bins one task makes, and the most tasks that make them.
-BINS_PER_TASK = 4_000_000
+BINS_PER_TASK = 1_000_000
 MAX_GRID_TASKS = 20_000
 
 # A bin is cut into at most this many slices, fewer once the range has enough.
@@ -168,12 +168,40 @@ def aggregate(
     return rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
 
 
-def resample(samples: DataFrame, period: str, function: str, start=None, end=None) -> DataFrame:
-    """Aggregate over any span, open ends included, in one pass."""
+def resample(
+    samples: DataFrame,
+    period: str,
+    function: str,
+    start=None,
+    end=None,
+    *,
+    fill_within: str | None = None,
+) -> DataFrame:
+    """Aggregate over any span, open ends included, in one pass.
+
+    ``fill_within='24h'`` adds the empty periods between the first and the last
+    sample of every day, as NULL: what resampling the days one by one gives.
+    """
     spark_function = aggregate_function(function)
+    width = period_ns(period)
     lo, hi = parse_range(start, end)
-    rows = _present(samples, lo, hi, period_ns(period), None)
-    return rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
+    rows = _present(samples, lo, hi, width, None)
+    bins = rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
+    return bins if fill_within is None else _fill(bins, width, period_ns(fill_within))
+
+
+def _fill(bins: DataFrame, width_ns: int, span_ns: int) -> DataFrame:
+    if span_ns % width_ns or span_ns // width_ns > MAX_DENSE_BINS:
+        raise ValueError("the span must be a whole number of periods, and not too many")
+    span = Window.partitionBy("series_id", bin_start("index", span_ns)).orderBy("index")
+    following = bins.withColumn("_next", F.lead("index").over(span))
+    last = F.coalesce(F.col("_next") - long_lit(width_ns), F.col("index"))
+    edges = F.explode(F.sequence("index", last, long_lit(width_ns)))
+    return following.select("series_id", "value", "index", edges.alias("_edge")).select(
+        "series_id",
+        F.col("_edge").alias("index"),
+        F.when(F.col("_edge") == F.col("index"), F.col("value")).alias("value"),
+    )
 
 
 def gaps(samples: DataFrame, start, end, period: str, *, series=None) -> DataFrame:

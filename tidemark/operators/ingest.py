@@ -50,24 +50,34 @@ def manifest_of(upload: DataFrame) -> DataFrame:
     )
 
 
-def receipts(samples: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:
+def _failed_receipts(verdicts: DataFrame) -> DataFrame:
+    return verdicts.filter(F.col("state") == FAILED).select(
+        "series_id",
+        "file_id",
+        F.lit(None).cast("bigint").alias("first_index"),
+        F.lit(None).cast("bigint").alias("last_index"),
+        "state",
+    )
+
+
+def receipts(ready: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Per file: id, series, first and last index, state.
 
-    ``verdicts`` adds the failed files, which have a state and no extent.
+    ``ready`` holds the rows of the accepted files; a failed file has a state
+    and no extent.
     """
-    keys = ["series_id", "file_id"]
-    extents = samples.groupBy(*keys).agg(
+    extents = ready.groupBy("series_id", "file_id").agg(
         F.min("index").alias("first_index"), F.max("index").alias("last_index")
     )
-    if verdicts is None:
-        return extents.withColumn("state", F.lit(READY))
-    failed = verdicts.filter(F.col("state") == FAILED).select(
-        *keys,
-        F.lit(None).cast("bigint").alias("first_index"),
-        F.lit(None).cast("bigint").alias("last_index"),
-        "state",
+    return extents.withColumn("state", F.lit(READY)).unionByName(_failed_receipts(verdicts))
+
+
+def receipts_of(manifest: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The same from the listing of what was stored."""
+    extents = manifest.groupBy("series_id", "file_id").agg(
+        F.min("first_index").alias("first_index"), F.max("last_index").alias("last_index")
     )
-    return extents.withColumn("state", F.lit(READY)).unionByName(failed)
+    return extents.withColumn("state", F.lit(READY)).unionByName(_failed_receipts(verdicts))
 
 
 def delete_series(table: DataFrame, ids: DataFrame) -> DataFrame:

@@ -326,6 +326,15 @@ ORACLES = {
     "resample_1h_std": sql(
         "by_type", binned("by_type", HOUR, "round(stddev_samp(value), 6)", 0, 2**62)
     ),
+    "resample_day_by_day": sql(
+        "samples",
+        f"""SELECT g.series_id, g."index", b.value FROM (
+                SELECT series_id, unnest(range(min("index") - min("index") % {HOUR},
+                                               max("index") + 1, {HOUR})) AS "index"
+                FROM samples GROUP BY series_id, "index" // {DAY}) g
+            LEFT JOIN ({binned("samples", HOUR, "max(value)")}) b
+            ON g.series_id = b.series_id AND g."index" = b."index" """,
+    ),
     "series_extent": sql(
         "extents", "SELECT series_id, first_index, last_index, n_samples FROM extents"
     ),

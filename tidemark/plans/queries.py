@@ -293,6 +293,11 @@ def resample_1h_std(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(agg.resample(inputs.samples_by_type(spark, sf), "1h", "std"))
 
 
+def resample_day_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """As above per user, with the empty hours within each day."""
+    return agg.resample(inputs.samples(spark, sf), "1h", "max", fill_within="24h")
+
+
 def series_extent(spark: SparkSession, sf: str) -> DataFrame:
     return agg.series_extent(inputs.series(spark, sf), inputs.samples(spark, sf))
 
@@ -456,6 +461,7 @@ QUERIES = {
         agg_gaps,
         agg_period_units,
         resample_1h_std,
+        resample_day_by_day,
         series_extent,
         metadata_upsert,
         metadata_conflicts,

@@ -45,6 +45,16 @@ def parse_index(tokens: DataFrame, *, strict: bool = True) -> DataFrame:
     return tokens.withColumn("index", read(F.col("index_token"))).drop("index_token")
 
 
+def type_values(marked: DataFrame) -> DataFrame:
+    """``value_token`` -> ``value`` or ``value_text``, as ``is_text`` says."""
+    token, is_text = F.col("value_token"), F.col("is_text")
+    return (
+        marked.withColumn("value", F.when(~is_text, to_number(token)))
+        .withColumn("value_text", F.when(is_text & (token != ""), token))
+        .drop("value_token", "is_text")
+    )
+
+
 def infer_value_type(tokens: DataFrame, chunk_cols: list[str]) -> DataFrame:
     """``value_token`` -> ``value`` or ``value_text``, one kind per chunk.
 
@@ -52,16 +62,11 @@ def infer_value_type(tokens: DataFrame, chunk_cols: list[str]) -> DataFrame:
     as a whole. Only the chunks that hold text are looked up, and the lookup
     spreads a chunk of any size over many tasks.
     """
-    token = F.col("value_token")
-    text_chunks = tokens.filter(~is_numeric(token)).select(*chunk_cols).distinct()
-    text_chunks = text_chunks.withColumn("is_text", F.lit(True))
-    marked = lookup_join(tokens, text_chunks, chunk_cols, "left")
-    is_text = F.coalesce(F.col("is_text"), F.lit(False))
-    return (
-        marked.withColumn("value", F.when(~is_text, to_number(token)))
-        .withColumn("value_text", F.when(is_text & (token != ""), token))
-        .drop("value_token", "is_text")
+    text_chunks = tokens.filter(~is_numeric(F.col("value_token"))).select(*chunk_cols).distinct()
+    marked = lookup_join(
+        tokens, text_chunks.withColumn("is_text", F.lit(True)), chunk_cols, "left"
     )
+    return type_values(marked.withColumn("is_text", F.coalesce("is_text", F.lit(False))))
 
 
 def read_chunks(spark: SparkSession, paths: str | list[str]) -> DataFrame:

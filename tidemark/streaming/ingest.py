@@ -14,13 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.timeaxis import day_of, long_lit
-from tidemark.operators.joins import lookup_join
-from tidemark.operators.ingest import manifest_of, next_file_seq, receipts
-from tidemark.operators.validate import READY, file_verdicts, split_by_verdict
+from tidemark.functions.tokens import is_numeric
+from tidemark.operators.ingest import manifest_of, next_file_seq, receipts_of
+from tidemark.operators.validate import FAILED, READY, file_verdicts
 from tidemark.schema import MANIFEST, RECEIPTS, SAMPLES_RAW
 from tidemark.session import settle
 from tidemark.sinks.samples import by_day
-from tidemark.sources.chunks import ARRIVAL, infer_value_type, parse_index, split_lines
+from tidemark.sources.chunks import ARRIVAL, parse_index, split_lines, type_values
 
 FILE = ["series_id", "file_id"]
 
@@ -71,34 +71,52 @@ def last_file_seq(spark: SparkSession, out: str, batch_id: int) -> int:
     return next_file_seq(earlier) - 1
 
 
+def judge_files(lines: DataFrame) -> DataFrame:
+    """One row per file: verdict, kind of its values, time of arrival."""
+    text = ~is_numeric(F.col("value_token"))
+    kinds = lines.groupBy(*FILE).agg(
+        F.max("modified").alias("modified"),
+        F.coalesce(F.bool_or(text), F.lit(False)).alias("is_text"),
+    )
+    return file_verdicts(lines, FILE, ARRIVAL).join(kinds, FILE)
+
+
 def ingest_batch(rows: DataFrame, batch_id: int, out: str) -> None:
     """Judge the files of one batch; store the good ones, put the others aside.
 
-    Every batch owns its folders and replaces them, so a batch that is run
-    again after a failure leaves the same result.
+    What is known about a file is one row, and a batch has at most
+    ``max_files`` of them: that table is broadcast. Every batch owns its
+    folders and replaces them, so a batch that is run again after a failure
+    leaves the same result.
     """
     spark = rows.sparkSession
     numbered_lines = rows.withColumn("line_no", F.monotonically_increasing_id())
     lines = parse_index(numbered_lines, strict=False).persist()
+
+    def folder(name: str) -> str:
+        return f"{out}/{name}/batch={batch_id}"
+
     try:
-        files = settle(lines.select(*FILE, "modified").distinct())
-        repeated = lookup_join(known_files(spark, out, batch_id), files, FILE, "left_semi")
-        fresh = lookup_join(lines, repeated, FILE, "left_anti")
-        verdicts = settle(file_verdicts(fresh, FILE, ARRIVAL))
-        ready, failed = split_by_verdict(fresh, verdicts, FILE)
-        numbered = lookup_join(ready, number_files(files, last_file_seq(spark, out, batch_id)), FILE)
-        typed = infer_value_type(numbered, FILE)
-        stored = typed.withColumn("day", day_of("index")).select(*SAMPLES_RAW.fieldNames())
-        by_day(stored).write.mode("overwrite").partitionBy("day").parquet(
-            f"{out}/samples/batch={batch_id}"
-        )
-        manifest_of(stored).write.mode("overwrite").parquet(f"{out}/manifest/batch={batch_id}")
-        failed.write.mode("overwrite").parquet(f"{out}/failed/batch={batch_id}")
-        receipts(ready, verdicts).select(*RECEIPTS.fieldNames()).write.mode("overwrite").parquet(
-            f"{out}/receipts/batch={batch_id}"
-        )
+        judged = settle(judge_files(lines))
+        known = known_files(spark, out, batch_id)
+        repeated = known.join(F.broadcast(judged.select(*FILE)), FILE, "left_semi")
+        fresh = settle(judged.join(F.broadcast(repeated), FILE, "left_anti"))
+        numbers = number_files(fresh, last_file_seq(spark, out, batch_id))
+        files = fresh.drop("modified").join(F.broadcast(numbers), FILE)
+        marked = lines.join(F.broadcast(files), FILE)
+        ready = type_values(marked.filter(F.col("state") == READY))
+        stored = ready.withColumn("day", day_of("index")).select(*SAMPLES_RAW.fieldNames())
+        by_day(stored).write.mode("overwrite").partitionBy("day").parquet(folder("samples"))
+        marked.filter(F.col("state") == FAILED).select(
+            *FILE, *ARRIVAL, "index", "value_token"
+        ).write.mode("overwrite").parquet(folder("failed"))
     finally:
         lines.unpersist()
+    # From here on only what was stored is read.
+    taken = _read(spark, out, "samples", SAMPLES_RAW).filter(F.col("batch") == batch_id)
+    manifest_of(taken).write.mode("overwrite").parquet(folder("manifest"))
+    taken = _read(spark, out, "manifest", MANIFEST).filter(F.col("batch") == batch_id)
+    receipts_of(taken, fresh).write.mode("overwrite").parquet(folder("receipts"))
 
 
 def prepare(spark: SparkSession, out: str) -> None:
