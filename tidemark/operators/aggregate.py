@@ -27,8 +27,8 @@ BINS_PER_TASK = 1_000_000
 MAX_GRID_TASKS = 20_000
 
 # A bin is cut into at most this many slices, fewer once the range has enough.
-MAX_SLICES = 64
-ENOUGH_SLICES = 16_384
+MAX_SLICES = 1_024
+ENOUGH_SLICES = 8_192
 
 
 def aggregate_function(name: str):
@@ -83,15 +83,15 @@ def bin_grid(ids: DataFrame, start: int, end: int, width_ns: int) -> DataFrame:
 
 
 def _slice_width(lo: int | None, hi: int | None, width_ns: int) -> int:
-    """Width of the slices a bin is cut into before overlay.
+    """Width of the slices a bin is cut into before overlay; it divides the bin.
 
     Few bins are cut finely, so that the one bin of a hot series does not end
     in one task; with many bins a bin is one slice.
     """
-    if lo is None or hi is None:
-        return max(width_ns // MAX_SLICES, 1)
-    n_bins = (hi - lo) // width_ns + 1
-    return max(width_ns // min(max(ENOUGH_SLICES // n_bins, 1), MAX_SLICES), 1)
+    slices = MAX_SLICES
+    if lo is not None and hi is not None:
+        slices = min(max(ENOUGH_SLICES // ((hi - lo) // width_ns + 1), 1), MAX_SLICES)
+    return next(width_ns // n for n in range(slices, 0, -1) if width_ns % n == 0)
 
 
 def _present(
@@ -103,19 +103,21 @@ def _present(
     meet in one task, which then sends on one partial aggregate per bin.
     """
     cut = slice_range(samples, lo, hi)
+    time = "index"
     if "file_seq" in samples.columns:
-        bin_of = bin_start("index", width_ns)
-        slice_no = F.call_function(
-            "div", F.pmod("index", long_lit(width_ns)), long_lit(_slice_width(lo, hi, width_ns))
-        )
-        keyed = cut.withColumns({"_bin": bin_of, "_slice": slice_no})
+        time = "_slice"
+        slice_of = bin_start("index", _slice_width(lo, hi, width_ns))
         if contested is None:
-            keyed = keyed.repartition("series_id", "_bin", "_slice")
-        cut = overlay(keyed, kind="numeric", contested=contested, also=("_bin", "_slice"))
-        binned = cut.select("series_id", F.col("_bin").alias("index"), "value")
-    else:
-        binned = cut.select("series_id", bin_start("index", width_ns).alias("index"), "value")
-    return binned.filter(F.col("value").isNotNull())
+            # The slice is worked out again after the shuffle, not sent through it.
+            cut = cut.select("series_id", "index", "file_seq", "value").repartition(
+                "series_id", slice_of
+            )
+        cut = overlay(
+            cut.withColumn(time, slice_of), kind="numeric", contested=contested, also=(time,)
+        )
+    return cut.filter(F.col("value").isNotNull()).select(
+        "series_id", bin_start(time, width_ns).alias("index"), "value"
+    )
 
 
 def _with_grid(rows: DataFrame, ids: DataFrame, lo: int, hi: int, width_ns: int) -> DataFrame:
