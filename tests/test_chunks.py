@@ -147,6 +147,23 @@ def test_chunk_files_round_trip(spark, tmp_path):
     assert small == [(1, 1e10), (2, None), (3, float("inf"))]
 
 
+@pytest.mark.parametrize("folders", [("day",), ("series_id",), ("series_id", "day")])
+def test_lines_of_a_file_are_in_index_order(spark, tmp_path, folders):
+    day = 86_400_000_000_000
+    rows = spark.range(3_000).selectExpr(
+        "concat('s', pmod(hash(id), 3)) AS series_id",
+        f"pmod(hash(id, 7), 100000) * {day // 25_000} AS index",
+        "id * 1.0D AS value",
+    ).dropDuplicates(["series_id", "index"])
+    if "series_id" not in folders:
+        rows = rows.filter("series_id = 's1'")
+    path = tmp_path / "chunks"
+    write_chunks(rows, str(path), folders=folders, partitions=3)
+    lines = read_chunk_samples(spark, [str(p) for p in path.rglob("*.txt")])
+    assert lines.count() == rows.count()
+    assert check_sorted(lines, ["chunk"], ARRIVAL).filter("NOT is_sorted").count() == 0
+
+
 def test_chunk_lines_as_bytes(spark, tmp_path):
     samples = spark.createDataFrame([("a", i, v, None) for i, v in zip(INDICES, NUMBERS)], SAMPLES)
     path = tmp_path / "chunks"

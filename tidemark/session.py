@@ -35,7 +35,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str | None:
     """The folder every executor can reach, as the session names it."""
-    return spark.conf.get(CHECKPOINT_DIR, None)
+    return spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
