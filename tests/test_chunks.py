@@ -6,8 +6,11 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from tidemark.operators.overlay import overlay
+from tidemark.operators import read
+from tidemark.operators.ingest import incremental_ingest, with_chunk_key
+from tidemark.operators.overlay import contested_days, overlay
 from tidemark.operators.validate import check_sorted
 from tidemark.sinks.samples import export, format_lines, write_chunks, write_samples
 from tidemark.sources.chunks import (
@@ -17,7 +20,7 @@ from tidemark.sources.chunks import (
     read_chunks,
     read_series_csv,
 )
-from tidemark.sources.manifest import read_manifest
+from tidemark.sources.manifest import read_listed, read_manifest
 from tidemark.sources.samples import (
     empty_samples,
     from_pandas,
@@ -217,6 +220,39 @@ def test_manifest(spark, tmp_path):
     assert read_manifest(spark, str(path)).count() == 0
 
 
+def test_listing_to_overlaid_series(spark, tmp_path):
+    """Three files over three days, as a listing and chunk files."""
+    day = 86_400_000_000_000
+    layout = {0: [19356, 19357], 1: [19356, 19357], 2: [19357, 19358]}
+    expected, files = {}, []
+    for seq, days in layout.items():
+        chunks = []
+        for d in days:
+            path = f"id {seq}+x/2022/{d}.csv"
+            (tmp_path / "blobs" / path).parent.mkdir(parents=True, exist_ok=True)
+            rows = {d * day + h * 3_600_000_000_000: seq * 1000.0 + h for h in range(seq * 5, 24)}
+            expected.update(rows)
+            write(tmp_path / "blobs" / path, [f"{i},{v}" for i, v in rows.items()])
+            chunks.append({"Path": path, "DaysSinceEpoch": d, "ContentMd5": f"m{seq}{d}"})
+        files.append({"FileId": f"f{seq}", "Chunks": chunks})
+    write(tmp_path / "blobs" / "unlisted.csv", ["not,read"])
+    (tmp_path / "days.json").write_text(json.dumps({"Files": files}))
+    manifest = read_manifest(spark, str(tmp_path / "days.json"))
+    manifest = manifest.withColumn("series_id", F.lit("s"))
+    base = str(tmp_path / "blobs")
+    stored = read_listed(spark, manifest, base)
+    assert in_order(read.get(stored, "s", kind="numeric"), "index", "value") == sorted(
+        expected.items())
+    contested = contested_days(manifest)
+    assert {r.day for r in contested.collect()} == {19356, 19357}
+    assert in_order(overlay(stored, kind="numeric", contested=contested), "index", "value") == sorted(
+        expected.items())
+    first_two = with_chunk_key(manifest.filter("file_seq < 2"))
+    new = incremental_ingest(manifest, first_two)
+    assert read_listed(spark, new, base).select("file_id").distinct().count() == 1
+    assert read_listed(spark, new.limit(0), base).count() == 0
+
+
 def test_sample_pages(spark, tmp_path):
     pages = [
         [("2024-01-02T00:00:00.1234567Z", 1.5), ("2024-01-02T00:00:01+00:00", None)],

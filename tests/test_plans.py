@@ -50,6 +50,14 @@ def test_numeric_read_hashes_and_shuffles_once(stored):
     assert tree.count("Exchange") == 1
 
 
+def test_text_overlay_sorts_once(stored):
+    for df in (overlay(stored), read.get(stored)):
+        tree = plan_of(df).split("\n\n")[0]
+        assert "SortAggregate" in tree
+        assert tree.count("Exchange") == 1
+        assert len([x for x in tree.splitlines() if "- Sort (" in x]) == 1
+
+
 def test_aggregate_shuffles_partial_results(stored, spark, sf_dir):
     resolved = inputs.samples(spark, sf_dir)
     plan = plan_of(agg.aggregate(resolved, "2024-01-01", "2024-01-31", "1h", "mean"))

@@ -90,7 +90,7 @@ def metadata_lookup(metadata: DataFrame, names: DataFrame) -> DataFrame:
 
 def metadata_browse(metadata: DataFrame, namespace: str | None = None) -> DataFrame:
     """All namespaces, or the keys of one, sorted."""
-    if namespace is None:
+    if not namespace:
         return metadata.select("namespace").distinct().orderBy("namespace")
     return metadata.filter(F.col("namespace") == namespace).select("key").distinct().orderBy("key")
 

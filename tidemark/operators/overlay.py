@@ -22,19 +22,22 @@ def overlay(
     kind: str = "both",
     contested: DataFrame | None = None,
     also: tuple[str, ...] = (),
+    partitioned: bool = False,
 ) -> DataFrame:
     """One row per ``(series_id, index)``.
 
     ``kind`` names the value columns wanted: ``numeric`` keeps the aggregation
     buffers of fixed width (hash aggregation), ``text`` and ``both`` carry
-    strings. With ``both`` an index that changed kind keeps only the newest.
+    strings and are sorted, once and after the shuffle. With ``both`` an index
+    that changed kind keeps only the newest.
 
     ``contested`` (see :func:`contested_days`) limits the work to the days of a
     series that more than one upload touched; all others pass through without
     a shuffle, as the indices within one upload are unique.
 
     ``also`` names columns that follow from the key and are kept in it, so that
-    rows already partitioned by them are not shuffled again.
+    rows partitioned by them already are not shuffled again. ``partitioned``
+    says that rows are partitioned by the key or by ``also``.
     """
     columns = {"numeric": ["value"], "text": ["value_text"], "both": ["value", "value_text"]}[kind]
     if contested is not None:
@@ -47,11 +50,16 @@ def overlay(
     for name in columns[1:]:
         present = present | F.col(name).isNotNull()
     rank = F.when(present, F.col("file_seq"))
+    if kind != "numeric" and not partitioned:
+        samples = samples.repartition(*KEY)
     return samples.groupBy(*KEY, *also).agg(*[_newest(name, rank) for name in columns])
 
 
 def contested_days(manifest: DataFrame) -> DataFrame:
-    """``(series_id, day)`` pairs that more than one upload touched."""
+    """``(series_id, day)`` pairs that more than one upload touched.
+
+    From the upload listing, or from the samples themselves where there is none.
+    """
     span = manifest.groupBy("series_id", "day").agg(
         F.min("file_seq").alias("oldest"), F.max("file_seq").alias("newest")
     )

@@ -62,10 +62,11 @@ def get(
     lo, hi = parse_range(start, end)
     cut = of_series(slice_range(samples, lo, hi), series)
     if "file_seq" in samples.columns:
-        if ordered and contested is None:
-            # Ranged by the sort key first, overlay and sort need no further shuffle.
+        # Ranged by the sort key first, overlay and sort need no further shuffle.
+        ranged = ordered and contested is None
+        if ranged:
             cut = cut.repartitionByRange("series_id", "index")
-        cut = overlay(cut, kind=kind, contested=contested)
+        cut = overlay(cut, kind=kind, contested=contested, partitioned=ranged)
     values = {"numeric": ["value"], "text": ["value_text"], "both": ["value", "value_text"]}[kind]
     out = cut.select("series_id", "index", *[v for v in values if v in cut.columns])
     if raise_empty and out.isEmpty():

@@ -173,7 +173,7 @@ def overlay_mixed(spark: SparkSession, sf: str) -> DataFrame:
 def overlay_contested(spark: SparkSession, sf: str) -> DataFrame:
     """Only the days that several uploads touched are shuffled."""
     uploads = inputs.uploads(spark, sf)
-    contested = overlay.contested_days(ingest.manifest_of(uploads))
+    contested = overlay.contested_days(uploads)
     return overlay.overlay(uploads, kind="numeric", contested=contested)
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schema import MANIFEST_JSON
+from tidemark.functions.timeaxis import day_of
+from tidemark.operators.joins import lookup_join
+from tidemark.schema import MANIFEST_JSON, SAMPLES_RAW
+from tidemark.sources.chunks import infer_value_type, parse_index, read_chunks
 
 
 def flatten_manifest(listing: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -40,3 +43,29 @@ def read_manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return flatten_manifest(
         listing.withColumn("listing", F.col("_metadata.file_path")), keep=["listing"]
     )
+
+
+def _below(base: str) -> Column:
+    """Path of a file relative to ``base``, without escapes."""
+    folder = base.rstrip("/").split(":", 1)[-1].replace("//", "/")
+    plain = F.url_decode(F.regexp_replace("chunk", r"\+", "%2B"))
+    return F.substring_index(plain, f"{folder}/", -1)
+
+
+def read_listed(spark: SparkSession, manifest: DataFrame, base: str) -> DataFrame:
+    """The chunk files of a listing as samples, ready for overlay.
+
+    ``manifest`` has one row per chunk with ``series_id``, ``file_seq``,
+    ``file_id`` and ``path``, relative to ``base``. Only the listed files are
+    opened; their names go through the driver, as those of any file scan do.
+    """
+    paths = [f"{base.rstrip('/')}/{row.path}" for row in manifest.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], SAMPLES_RAW)
+    typed = infer_value_type(parse_index(read_chunks(spark, paths)), ["chunk"])
+    placed = lookup_join(
+        typed.withColumn("path", _below(base)),
+        manifest.select("path", "series_id", "file_seq", "file_id"),
+        ["path"],
+    )
+    return placed.withColumn("day", day_of("index")).select(*SAMPLES_RAW.fieldNames())
