@@ -14,9 +14,11 @@ from tidemark.session import build_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     conf = {
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
+        "spark.default.parallelism": "2",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "4g",
+        "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     }
     session = build_session("tests", "local[4]", **conf)

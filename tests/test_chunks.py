@@ -25,6 +25,7 @@ from tidemark.sources.samples import (
     empty_samples,
     from_pandas,
     from_series,
+    read_parquet_chunks,
     read_sample_pages,
     read_samples,
 )
@@ -194,6 +195,13 @@ def test_stored_samples_round_trip(spark, tmp_path):
     assert overlay(stored).count() == 6
 
 
+def test_parquet_of_two_columns(spark, tmp_path):
+    spark.createDataFrame([(1, 2.0)], "index bigint, values double").write.parquet(str(tmp_path / "n"))
+    spark.createDataFrame([(1, "x")], "index bigint, values string").write.parquet(str(tmp_path / "t"))
+    assert read_parquet_chunks(spark, str(tmp_path / "n")).collect() == [(1, 2.0, None)]
+    assert read_parquet_chunks(spark, [str(tmp_path / "t")]).collect() == [(1, None, "x")]
+
+
 def test_export(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, 2.0, None)], SAMPLES)
     for kind in ("csv", "json", "parquet"):

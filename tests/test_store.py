@@ -46,6 +46,19 @@ def test_append_overwrites_and_fills(store):
     assert got == [(0, 1.0), (1, 20.0), (2, 3.0), (3, 40.0)]
 
 
+def test_frames_are_taken_too(store, spark):
+    frame = spark.range(5_000).selectExpr(
+        "id AS pos", "timestamp_seconds(1704067200 + id) AS index", "id * 2.0D AS value"
+    )
+    receipt = store.create(frame.repartition(3))
+    assert receipt["TimeOfLastSample"] - receipt["TimeOfFirstSample"] == 4_999 * 10**9
+    assert store.get(receipt["TimeSeriesId"]).count() == 5_000
+    with pytest.raises(ValueError):
+        store.create(frame.withColumn("pos", -frame.pos))
+    with pytest.raises(ValueError):
+        store.create(frame.drop("pos"))
+
+
 def test_empty_series(store):
     receipt = store.create()
     sid = receipt["TimeSeriesId"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,7 @@ from tidemark.functions.timeaxis import day_of, long_lit
 from tidemark.functions.tokens import chunk_key, urlsafe_base64
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.validate import FAILED, READY
+from tidemark.schema import SERIES
 
 
 def next_file_seq(uploads: DataFrame) -> int:
@@ -80,6 +82,12 @@ def receipts_of(manifest: DataFrame, verdicts: DataFrame) -> DataFrame:
     return extents.withColumn("state", F.lit(READY)).unionByName(_failed_receipts(verdicts))
 
 
+def create_empty(series: DataFrame, series_ids: list[str]) -> DataFrame:
+    """The table of series with new ones that have no samples yet."""
+    listed = [(sid, [], datetime.now(timezone.utc)) for sid in series_ids]
+    return series.unionByName(series.sparkSession.createDataFrame(listed, SERIES))
+
+
 def delete_series(table: DataFrame, ids: DataFrame) -> DataFrame:
     """``table`` (samples, series, links, listing) without the series in ``ids``.
 

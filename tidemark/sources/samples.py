@@ -89,6 +89,13 @@ def from_series(
     )
 
 
+def read_parquet_chunks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Parquet files of two columns, ``index`` and ``values``, as
+    ``(index, value, value_text)``."""
+    stored = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    return from_series(stored, "index", "values", "").drop("series_id")
+
+
 def from_pandas(spark: SparkSession, series) -> DataFrame:
     """A pandas Series held by the caller as ``(pos, index, value)``.
 

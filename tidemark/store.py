@@ -147,23 +147,14 @@ class SeriesStore:
             "TimeOfLastSample": extent.last_index if extent else -1,
         }
 
-    def _register(self, series_ids: DataFrame) -> None:
-        self._log(
-            "series",
-            series_ids.select(
-                "series_id",
-                F.array().cast("array<string>").alias("aliases"),
-                F.current_timestamp().alias("created"),
-            ),
-        )
-
     def create(self, data=None, *, wait_on_verification: bool = True) -> dict:
         """New series, empty or with its first samples; returns the receipt."""
         series_id = str(uuid.uuid4())
         receipt = {"TimeSeriesId": series_id, "TimeOfFirstSample": 0, "TimeOfLastSample": -1}
         if data is not None:
             receipt = self._upload(data, series_id, wait_on_verification)
-        self._register(self.spark.createDataFrame([(series_id,)], "series_id string"))
+        none = self.spark.createDataFrame([], SERIES)
+        self._log("series", ingest.create_empty(none, [series_id]))
         return receipt
 
     def append(self, data, series_id: str, *, wait_on_verification: bool = True) -> dict:
@@ -239,7 +230,8 @@ class SeriesStore:
     ) -> DataFrame:
         """One value per series and period in ``[start, end)``."""
         known = self._known(series_id)
-        if aggregation_function and self._kind(known) == "text":
+        kind = self._kind(known)
+        if aggregation_function and kind == "text":
             raise ValueError("a text series cannot be aggregated")
         return agg.aggregate(
             self.samples,
@@ -250,6 +242,7 @@ class SeriesStore:
             include_empty=include_empty_aggregations,
             series=known,
             contested=self._contested(known),
+            check_text=kind != "numeric",
         )
 
     # -- information and search --------------------------------------------
