@@ -321,7 +321,7 @@ def test_large_lookups_give_the_same_results(spark, monkeypatch):
     rows, want = random_uploads(5)
     stored = raw(spark, rows)
     contested = contested_days(ingest.manifest_of(stored))
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", -1)
     fast = overlay(stored, kind="numeric", contested=contested)
     assert result(fast, "series_id", "index", "value") == want
 

@@ -17,11 +17,11 @@ SALTS = 16
 
 
 def fits_broadcast(
-    df: DataFrame,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
+    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
 ) -> bool:
     """Count rows and bytes; every task sends back two numbers."""
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     size = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.length(F.to_json(F.struct("*")))).alias("n_bytes"),

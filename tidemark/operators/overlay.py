@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import lookup_split
+from tidemark.operators.joins import fits_broadcast
+from tidemark.session import settle
 
 KEY = ["series_id", "index"]
 
@@ -16,6 +17,20 @@ def _newest(value: str, rank: Column) -> Column:
     return F.max_by(value, rank).alias(value)
 
 
+def _split(samples: DataFrame, contested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Samples on contested days, and all others; neither is shuffled for it.
+
+    Too many pairs to broadcast are reduced to their days. A 64-bit index
+    reaches some 213 000 days, so those always fit, and as the partition
+    column they keep each side to its own folders.
+    """
+    lookup, keys = settle(contested.select("series_id", "day")), ["series_id", "day"]
+    if not fits_broadcast(lookup):
+        lookup, keys = lookup.select("day").distinct(), ["day"]
+    lookup = F.broadcast(lookup)
+    return samples.join(lookup, keys, "left_semi"), samples.join(lookup, keys, "left_anti")
+
+
 def overlay(
     samples: DataFrame,
     *,
@@ -42,7 +57,7 @@ def overlay(
     columns = {"numeric": ["value"], "text": ["value_text"], "both": ["value", "value_text"]}[kind]
     if contested is not None:
         slim = samples.select(*KEY, "day", "file_seq", *also, *columns)
-        shared, alone = lookup_split(slim, contested, ["series_id", "day"])
+        shared, alone = _split(slim, contested)
         return alone.select(*KEY, *also, *columns).unionByName(
             overlay(shared, kind=kind, also=also)
         )
