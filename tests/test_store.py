@@ -124,6 +124,8 @@ def test_several_series_and_deletion(store):
     store.delete("unknown")
     assert [r.series_id for r in store.get(None).collect()] == [b]
     assert store.get(a).count() == 0
+    with pytest.raises(ValueError):
+        store.append(pd.Series([1.0], index=[9]), a)
     assert store.search("foo.bar").count() == 0
     assert store.metadata_get(entry).first().series_id is None
 

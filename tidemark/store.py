@@ -159,6 +159,8 @@ class SeriesStore:
 
     def append(self, data, series_id: str, *, wait_on_verification: bool = True) -> dict:
         """More samples for a series; where indices overlap the new ones win."""
+        if self.series.filter(F.col("series_id") == series_id).isEmpty():
+            raise ValueError(f"there is no series {series_id}")
         return self._upload(data, series_id, wait_on_verification)
 
     def process_queue(self) -> DataFrame:
