@@ -157,6 +157,9 @@ def test_slices_do_not_change_the_result(spark, monkeypatch):
     monkeypatch.setattr(agg, "ENOUGH_SLICES", 1)
     assert result(agg.aggregate(stored, 0, 1000, "tick", "mean"), "index", "value") == want
     assert result(agg.resample(stored, "tick", "mean"), "index", "value") == want
+    contested = contested_days(stored)
+    fast = agg.aggregate(stored, 0, 1000, "tick", "mean", contested=contested)
+    assert result(fast, "index", "value") == want
 
 
 def test_resampling_day_by_day(spark):
@@ -224,6 +227,10 @@ def test_aggregate_arguments(spark):
         agg.aggregate(text, **good)
     with pytest.raises(ValueError):
         agg.aggregate(text.drop("value"), **good)
+    with pytest.raises(ValueError):
+        agg.resample(text, "1s", "mean")
+    with pytest.raises(ValueError):
+        agg.gaps(text, 0, 10, "1s")
 
 
 def test_extents(spark):

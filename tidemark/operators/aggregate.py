@@ -29,6 +29,7 @@ MAX_GRID_TASKS = 20_000
 # A bin is cut into at most this many slices, fewer once the range has enough.
 MAX_SLICES = 1_024
 ENOUGH_SLICES = 8_192
+OPEN_RANGE_SLICES = 8
 
 
 def aggregate_function(name: str):
@@ -88,7 +89,7 @@ def _slice_width(lo: int | None, hi: int | None, width_ns: int) -> int:
     Few bins are cut finely, so that the one bin of a hot series does not end
     in one task; with many bins a bin is one slice.
     """
-    slices = MAX_SLICES
+    slices = OPEN_RANGE_SLICES
     if lo is not None and hi is not None:
         slices = min(max(ENOUGH_SLICES // ((hi - lo) // width_ns + 1), 1), MAX_SLICES)
     return next(width_ns // n for n in range(slices, 0, -1) if width_ns % n == 0)
@@ -187,6 +188,7 @@ def resample(
     spark_function = aggregate_function(function)
     width = period_ns(period)
     lo, hi = parse_range(start, end)
+    reject_text(slice_range(samples, lo, hi))
     rows = _present(samples, lo, hi, width, None)
     bins = rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
     return bins if fill_within is None else _fill(bins, width, period_ns(fill_within))
@@ -211,6 +213,7 @@ def gaps(samples: DataFrame, start, end, period: str, *, series=None) -> DataFra
     width = period_ns(period)
     lo, hi = parse_range(start, end)
     chosen = of_series(samples, series)
+    reject_text(slice_range(chosen, lo, hi))
     rows = _present(chosen, lo, hi, width, None)
     rows = _with_grid(rows, _ids(samples, series), lo, hi, width)
     counted = rows.groupBy("series_id", "index").agg(F.count("value").alias("n"))

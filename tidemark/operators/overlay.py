@@ -58,8 +58,10 @@ def overlay(
     if contested is not None:
         slim = samples.select(*KEY, "day", "file_seq", *also, *columns)
         shared, alone = _split(slim, contested)
+        if also:
+            shared = shared.repartition("series_id", *also)
         return alone.select(*KEY, *also, *columns).unionByName(
-            overlay(shared, kind=kind, also=also)
+            overlay(shared, kind=kind, also=also, partitioned=bool(also))
         )
     present = F.col(columns[0]).isNotNull()
     for name in columns[1:]:
