@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from tidemark.llm.runtime import ship_code
 from tidemark.llm.textbatch import range_hashes, slices, utf8
@@ -35,8 +36,6 @@ CACHE_ENTRIES = 250_000
 #: Bytes of text encoded at a time; a longer text is taken alone.
 ENCODE_BYTES = 2 << 20
 
-_CHUNK = regex.compile(r"[^ \t\n\r\x0b\x0c]+")
-
 # Kinds of bytes: 0 unsure (an apostrophe, or part of a longer letter), 1 letter, 2 digit, 3 sign, 4 blank.
 _KIND = np.zeros(256, np.uint8)
 _KIND[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 3
@@ -119,7 +118,12 @@ class Codec:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.names = {i: s for s, i in ids.items()} | {i: s for s, i in self.special.items()}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self._words = regex.compile(pattern)
+        # What a letter is depends on a library's version of Unicode. Texts beyond ASCII are
+        # split by the library that the ids must agree with; it is not asked for ids.
+        bare = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}))
+        self._normalizer = bare.normalizer
+        self._words = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        self._plain_words = regex.compile(pattern)
         self._split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         if mark != "</w>" or spec["decoder"] is not None or model["unk_token"] is not None:
             raise ValueError("the model must be byte-level with the word end </w> and no decoder")
@@ -239,18 +243,16 @@ class Codec:
             if part in self.special:
                 out.append(part)
             elif part.isascii():
-                out.extend(self._words.findall(part.lower()))
-            else:  # letter by letter: a sigma has no final form here
-                part = "".join(x.lower() for x in unicodedata.normalize("NFC", part))
-                out.extend(self._words.findall(part))
+                out.extend(self._plain_words.findall(part.lower()))
+            else:
+                out.extend(w for w, _ in self._words.pre_tokenize_str(self._normalizer.normalize_str(part)))
         return out
 
     def encode(self, text: str) -> list[int]:
         """Ids of one text."""
         out: list[int] = []
-        for chunk in _CHUNK.findall(text):
-            for word in self.split(chunk):
-                out.extend([self.special[word]] if word in self.special else self.encode_words([word.encode()])[0])
+        for word in self.split(text):
+            out.extend([self.special[word]] if word in self.special else self.encode_words([word.encode()])[0])
         return out
 
     def _encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
@@ -329,7 +331,11 @@ class Codec:
 
 
 def _one_word(text: str) -> bool:
-    """Whether lower-casing the text as a whole surely gives one word of letters."""
+    """Whether the text is surely one word of letters, lower-cased as a whole.
+
+    A sigma has no final form in the library; letters that Python does not know
+    yet go the longer way.
+    """
     return text.isalpha() and "Σ" not in text and unicodedata.is_normalized("NFC", text) and text.lower().isalpha()
 
 

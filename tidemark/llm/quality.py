@@ -88,6 +88,7 @@ def encode_passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     bucket = (hashes % np.uint64(BUCKETS)).astype(np.int64)
     counts = np.bincount(part * BUCKETS + bucket, minlength=first[-1] * BUCKETS).reshape(-1, BUCKETS)
     out[:, SURFACE:] = np.sqrt(counts / full[:, None])
+    out[size == 0] = 0
     return out, first
 
 

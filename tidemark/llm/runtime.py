@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import scratch_dir, shared_dir
+from tidemark.session import scratch_dir, settle, shared_dir
 
 _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
@@ -38,12 +38,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     What is written survives lost executors, and later steps read the file
-    instead of running ``df`` again.
+    instead of running ``df`` again. A join with what was stored can be split by
+    adaptive execution where a key is hot, which a join with an aggregate cannot.
     """
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return settle(df, label)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -52,11 +50,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark) or scratch_dir(spark, "checkpoints"))
     return df.checkpoint(eager=True)
-
-
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores added until ``df`` has no such column."""
-    taken = {x.lower() for x in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name

@@ -153,7 +153,7 @@ def windows_by_minimum(values: np.ndarray, first: np.ndarray, width: int, gram:
     if not len(at):
         return at, at, at, names, names
     new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (names[1:] != names[:-1])
+    new[1:] = (at[1:] != at[:-1] + 1) | (names[1:] != names[:-1]) | (text[1:] != text[:-1])
     head = np.flatnonzero(new)
     tail = np.append(head[1:], len(at)) - 1
     begin, end = at[head], at[tail] + width
