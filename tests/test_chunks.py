@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import numpy as np
 import pandas as pd
@@ -151,7 +152,7 @@ def test_chunk_files_round_trip(spark, tmp_path):
     assert small == [(1, 1e10), (2, None), (3, float("inf"))]
 
 
-@pytest.mark.parametrize("folders", [("day",), ("series_id",), ("series_id", "day")])
+@pytest.mark.parametrize("folders", [("series_id",), ("series_id", "day"), ("day", "series_id")])
 def test_lines_of_a_file_are_in_index_order(spark, tmp_path, folders):
     day = 86_400_000_000_000
     rows = spark.range(3_000).selectExpr(
@@ -159,8 +160,6 @@ def test_lines_of_a_file_are_in_index_order(spark, tmp_path, folders):
         f"pmod(hash(id, 7), 100000) * {day // 25_000} AS index",
         "id * 1.0D AS value",
     ).dropDuplicates(["series_id", "index"])
-    if "series_id" not in folders:
-        rows = rows.filter("series_id = 's1'")
     path = tmp_path / "chunks"
     write_chunks(rows, str(path), folders=folders, partitions=3)
     lines = read_chunk_samples(spark, [str(p) for p in path.rglob("*.txt")])
@@ -172,13 +171,38 @@ def test_chunk_lines_as_bytes(spark, tmp_path):
     samples = spark.createDataFrame([("a", i, v, None) for i, v in zip(INDICES, NUMBERS)], SAMPLES)
     path = tmp_path / "chunks"
     write_chunks(samples, str(path), partitions=1)
-    (part,) = path.glob("day=*/*.txt")
+    (part,) = path.glob("series_id=a/day=*/*.txt")
     assert part.read_bytes() == (
         b"1640995215379000000,-0.2\n1640995219176000000,-0.1\n1640995227270000000,0.2\n"
         b"1640995267223000000,0.1\n1640995271472000000,1.2\n"
     )
 
 
+def test_folders_without_the_series_are_refused(spark, tmp_path):
+    samples = spark.createDataFrame([("a", 1, 1.0, None), ("b", 1, 2.0, None)], SAMPLES)
+    with pytest.raises(ValueError):
+        write_chunks(samples, str(tmp_path / "chunks"), folders=("day",))
+    write_chunks(samples, str(tmp_path / "chunks"))
+    assert sorted(p.parent.parent.name for p in tmp_path.rglob("*.txt")) == ["series_id=a", "series_id=b"]
+
+
+@pytest.mark.parametrize("base", ["in", ".", "./in/", "/in"])
+def test_listed_files_below_any_base(spark, tmp_path, monkeypatch, base):
+    # Relative paths are relative to the folder the session was started in.
+    here = str(tmp_path) if base == "/in" else os.path.relpath(tmp_path)
+    root = tmp_path if base == "." else tmp_path / "in"
+    path = "s1/in/1 x%.csv"
+    (root / path).parent.mkdir(parents=True)
+    write(root / path, ["1,5"])
+    rows = [("s", n, f"f{n}", path) for n in range(2)]
+    listed = spark.createDataFrame(rows, "series_id string, file_seq bigint, file_id string, path string")
+    got = read_listed(spark, listed, here + ("" if base == "." else "/" + base.lstrip("/")))
+    assert sorted(r.file_id for r in got.collect()) == ["f0", "f1"]
+    with pytest.raises(Exception):
+        missing = listed.withColumn("path", F.lit("s1/none.csv"))
+        read_listed(spark, listed.unionByName(missing), str(root)).collect()
+
+
 def test_line_break_is_refused(spark):
     bad = spark.createDataFrame([("a", 1, None, "x\ny")], SAMPLES)
     with pytest.raises(PySparkException):

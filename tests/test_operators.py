@@ -14,6 +14,7 @@ from tidemark.operators import ingest, joins, read, reshape, validate
 from tidemark.operators import metadata as md
 from tidemark.operators.overlay import combine_first, contested_days, overlay
 from tidemark.schema import LINKS, METADATA, SAMPLES, SAMPLES_RAW, SERIES
+from tidemark.session import settle, stored_bytes
 
 DAY = 86_400_000_000_000
 
@@ -96,6 +97,20 @@ def test_combine_first_equals_overlay(spark):
 # -- reads -----------------------------------------------------------------
 
 
+def test_combine_first_keeps_number_or_text_of_one_frame(spark):
+    newer = samples(spark, [("a", 1, None), ("a", 2, 5.0)]).withColumn(
+        "value_text", F.when(F.col("index") == 1, "new")
+    )
+    older = spark.createDataFrame(
+        [("a", 1, 7.0, None), ("a", 2, None, "old"), ("a", 3, None, "kept"), ("a", 4, 1.0, None)], SAMPLES
+    )
+    got = result(combine_first(newer, older), "index", "value", "value_text")
+    assert got == [(1, None, "new"), (2, 5.0, None), (3, None, "kept"), (4, 1.0, None)]
+    numbers = combine_first(newer.drop("value_text"), older.drop("value_text"))
+    assert numbers.columns == ["series_id", "index", "value"]
+    assert result(numbers, "index", "value") == [(1, 7.0), (2, 5.0), (3, None), (4, 1.0)]
+
+
 def test_half_open_range(spark):
     s = samples(spark, [("a", i, float(i)) for i in range(-2, 5)])
 
@@ -150,16 +165,34 @@ def test_aggregate_equals_pandas(spark, function, stored):
     pd.testing.assert_series_equal(got, want, check_names=False)
 
 
-def test_slices_do_not_change_the_result(spark, monkeypatch):
+def test_contested_days_give_the_same_aggregates(spark):
     rows = [("a", seq, i, float(i * (seq + 1))) for seq in (0, 1) for i in range(0, 1000, seq + 1)]
     stored = raw(spark, rows)
     want = result(agg.aggregate(stored, 0, 1000, "tick", "mean"), "index", "value")
-    monkeypatch.setattr(agg, "ENOUGH_SLICES", 1)
-    assert result(agg.aggregate(stored, 0, 1000, "tick", "mean"), "index", "value") == want
-    assert result(agg.resample(stored, "tick", "mean"), "index", "value") == want
     contested = contested_days(stored)
-    fast = agg.aggregate(stored, 0, 1000, "tick", "mean", contested=contested)
-    assert result(fast, "index", "value") == want
+    for fast in (
+        agg.aggregate(stored, 0, 1000, "tick", "mean", contested=contested),
+        agg.resample(stored, "tick", "mean", contested=contested),
+        agg.resample(stored, "tick", "mean"),
+    ):
+        assert result(fast, "index", "value") == want
+
+
+def test_one_bin_of_a_hot_series_is_spread_over_tasks(spark):
+    """Before the partial aggregate no task holds much more than the others."""
+    rows = spark.range(40_000).selectExpr(
+        "'hot' AS series_id", "id % 2 AS file_seq", "concat('f', id % 2) AS file_id", "id AS index",
+        "id * 1.0D AS value", "CAST(NULL AS STRING) AS value_text", "0 AS day",
+    ).repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        present = agg._present(rows, 0, 40_000, 3_600_000_000_000, None)
+        sizes = present.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert sum(sizes) == 40_000 and max(sizes) < 2 * sum(sizes) / 8
 
 
 def test_resampling_day_by_day(spark):
@@ -182,11 +215,9 @@ def test_single_sample_has_no_deviation(spark):
     assert result(agg.aggregate(s, 0, 10, "tick", "Stdev"), "index", "value") == [(0, None)]
 
 
-@pytest.mark.parametrize("block", [1, 3, 4, 5, 4096])
-@pytest.mark.parametrize("per_task", [5, 4_000_000])
-def test_dense_bins(spark, monkeypatch, block, per_task):
+@pytest.mark.parametrize("block", [2, 3, 4, 5, 4096])
+def test_dense_bins(spark, monkeypatch, block):
     monkeypatch.setattr(agg, "BINS_PER_BLOCK", block)
-    monkeypatch.setattr(agg, "BINS_PER_TASK", per_task)
     s = samples(spark, [("a", 250, 1.0), ("a", 1150, 2.0), ("b", 150, 3.0), ("b", 1300, 9.0)])
     ids = spark.createDataFrame([("a",), ("empty",)], "series_id string")
     dense = agg.aggregate(s, 150, 1201, "tick", "max", include_empty=True, series=ids)
@@ -207,8 +238,20 @@ def test_dense_bins_before_1970_and_of_all_series(spark):
     s = samples(spark, [("a", -250, 1.0), ("b", 50, 2.0)])
     dense = agg.aggregate(s, -300, 100, "tick", "mean", include_empty=True)
     assert dense.count() == 8
-    with pytest.raises(ValueError):
-        agg.aggregate(s, 0, DAY, "tick", "mean", include_empty=True)
+
+
+def test_any_number_of_dense_bins(spark):
+    """Some ten million seconds of a series: all bins are there, once."""
+    s = samples(spark, [("a", 5 * 10**9, 1.0), ("a", 10_000_000 * 10**9, 2.0)])
+    ids = spark.createDataFrame([("a",)], "series_id string")
+    end = 10_454_400 * 10**9
+    dense = agg.aggregate(s, 0, end, "1s", "max", include_empty=True, series=ids)
+    counted = dense.agg(F.count("*"), F.count("value"), F.min("index"), F.max("index"), F.sum(F.col("index") / 10**9)).first()
+    assert tuple(counted)[:4] == (10_454_400, 2, 0, end - 10**9)
+    assert counted[4] == sum(range(10_454_400))
+    assert agg.gaps(s, 0, end, "1s", series=ids).count() == 10_454_398
+    filled = agg.resample(s, "1s", "max", fill_within="4000h")
+    assert filled.count() == 10_000_000 - 5 + 1
 
 
 def test_aggregate_arguments(spark):
@@ -223,14 +266,13 @@ def test_aggregate_arguments(spark):
     for name in ("mean", "Avg", "AVG", "min", "Min", "max", "Max", "std", "Stdev", "stdev"):
         assert agg.aggregate(s, **{**good, "function": name}).count() == 1
     text = spark.createDataFrame([("a", 1, None, "x")], SAMPLES)
-    with pytest.raises(ValueError):
-        agg.aggregate(text, **good)
     with pytest.raises(ValueError):
         agg.aggregate(text.drop("value"), **good)
-    with pytest.raises(ValueError):
-        agg.resample(text, "1s", "mean")
-    with pytest.raises(ValueError):
-        agg.gaps(text, 0, 10, "1s")
+    for refused in (agg.aggregate(text, **good), agg.resample(text, "1s", "mean"), agg.gaps(text, 0, 10, "1s")):
+        with pytest.raises(Exception, match="text cannot be aggregated"):
+            refused.collect()
+    outside = agg.aggregate(text, 5 * 10**9, 6 * 10**9, "1s", "mean")
+    assert outside.count() == 0
 
 
 def test_extents(spark):
@@ -315,11 +357,13 @@ def test_salted_join_equals_plain_join(spark, how):
         plain, *plain.columns)
 
 
-def test_size_check(spark):
-    df = spark.range(10).select(F.lit("x" * 100).alias("text"))
-    assert joins.fits_broadcast(df)
-    assert not joins.fits_broadcast(df, max_rows=9)
-    assert not joins.fits_broadcast(df, max_bytes=900)
+def test_size_check(spark, monkeypatch):
+    df = spark.range(1000).select(F.uuid().alias("text"))
+    kept = settle(df)
+    assert kept.count() == 1000 and 36_000 < stored_bytes(kept) < 100_000
+    assert joins.fits_broadcast(kept)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 30_000)
+    assert not joins.fits_broadcast(kept)
     with pytest.raises(ValueError):
         joins.lookup_join(df, df, ["text"], "full")
 
@@ -328,7 +372,7 @@ def test_large_lookups_give_the_same_results(spark, monkeypatch):
     rows, want = random_uploads(5)
     stored = raw(spark, rows)
     contested = contested_days(ingest.manifest_of(stored))
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", -1)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", -1)
     fast = overlay(stored, kind="numeric", contested=contested)
     assert result(fast, "series_id", "index", "value") == want
 
@@ -395,10 +439,10 @@ def test_chunks_in_overlay_order(spark):
 @pytest.fixture(scope="module")
 def entries(spark):
     rows = [
-        ("m1", "foo.bar", "baz", {"a": "1", "vendor": "Sensor Corp"}),
-        ("m2", "foo.bar", "bazar", {"b": "x"}),
-        ("m3", "foo.bar.x", "baz", {"a": "1"}),
-        ("m4", "foo.bar", "other", {"a": None}),
+        ("m1", "plant.hall", "pump7", {"a": "1", "maker": "Nordic Flow"}),
+        ("m2", "plant.hall", "pump7b", {"b": "x"}),
+        ("m3", "plant.hall.x", "pump7", {"a": "1"}),
+        ("m4", "plant.hall", "other", {"a": None}),
     ]
     return spark.createDataFrame([(*r, None, None, None, None) for r in rows], METADATA)
 
@@ -411,12 +455,12 @@ def linked(spark):
 @pytest.mark.parametrize(
     "args, pairs",
     [
-        (("foo.bar",), [("s1", "m1"), ("s1", "m2"), ("s2", "m1"), ("s4", "m4")]),
-        (("foo",), []),
-        (("foo.bar", "ba"), [("s1", "m1"), ("s1", "m2"), ("s2", "m1")]),
-        (("foo.bar", "bazar"), [("s1", "m2")]),
-        (("foo.bar", "ba", "a"), [("s1", "m1"), ("s2", "m1")]),
-        (("foo.bar", "", "a"), [("s1", "m1"), ("s2", "m1"), ("s4", "m4")]),
+        (("plant.hall",), [("s1", "m1"), ("s1", "m2"), ("s2", "m1"), ("s4", "m4")]),
+        (("plant",), []),
+        (("plant.hall", "pu"), [("s1", "m1"), ("s1", "m2"), ("s2", "m1")]),
+        (("plant.hall", "pump7b"), [("s1", "m2")]),
+        (("plant.hall", "pu", "a"), [("s1", "m1"), ("s2", "m1")]),
+        (("plant.hall", "", "a"), [("s1", "m1"), ("s2", "m1"), ("s4", "m4")]),
     ],
 )
 def test_search(linked, entries, args, pairs):
@@ -428,25 +472,27 @@ def test_search(linked, entries, args, pairs):
     [(1, ["s1", "s2"]), ("1", ["s1", "s2"]), ("2", []), ("*1", ["s1", "s2"])],
 )
 def test_search_by_value_gives_ids(linked, entries, value, ids):
-    found = md.search(linked, entries, "foo.bar", "ba", "a", value)
+    found = md.search(linked, entries, "plant.hall", "pu", "a", value)
     assert found.columns == ["series_id"]
     assert sorted(r.series_id for r in found.collect()) == ids
 
 
 @pytest.mark.parametrize(
     "pattern, fits",
-    [("Corp", True), ("Sen*", True), ("*Corp", True), ("Sen*Corp", True), ("*or C*", True),
-     ("corp", False), ("Corp*", False), ("*Sensor", False), ("Sensor C*Corp", False)],
+    [("Flow", True), ("Nor*", True), ("*Flow", True), ("Nor*Flow", True), ("*ic F*", True),
+     ("flow", False), ("Flow*", False), ("*Nordic", False), ("Nordic F*Flow", False), ("*", True),
+     ("N*r*ic*w", True), ("*N*F*", True), ("*F*N*", False), ("N*x*w", False), ("N_rdic Flow", False),
+     ("%ic*", False), ("N*\\\\*", False)],
 )
 def test_partial_values(entries, pattern, fits):
-    text = F.try_element_at("value", F.lit("vendor"))
+    text = F.try_element_at("value", F.lit("maker"))
     hits = entries.filter(F.col("metadata_id") == "m1").filter(md.value_matches(text, pattern))
     assert (hits.count() == 1) == fits
 
 
 def test_arguments_after_none_are_ignored(linked, entries):
     with pytest.warns(UserWarning):
-        assert md.search(linked, entries, "foo.bar", None, "vendor").count() == 4
+        assert md.search(linked, entries, "plant.hall", None, "maker").count() == 4
     with pytest.warns(UserWarning):
         assert md.hierarchical("a", "b", None, "d") == ["a", "b"]
     assert md.hierarchical("a", "b", None, None) == ["a", "b"]
@@ -454,22 +500,22 @@ def test_arguments_after_none_are_ignored(linked, entries):
 
 def test_set_get_browse_delete(spark, entries, linked):
     update = spark.createDataFrame(
-        [("foo.bar", "baz", {"n": "2"}), ("new", "k", {})],
+        [("plant.hall", "pump7", {"n": "2"}), ("new", "k", {})],
         "namespace string, key string, value map<string,string>",
     )
     with pytest.raises(ValueError):
         md.create_metadata(entries, update)
     after = md.create_metadata(entries, update, overwrite=True, user="me")
     assert after.count() == 5
-    changed = md.metadata_get(after, namespace="foo.bar", key="baz").first()
+    changed = md.metadata_get(after, namespace="plant.hall", key="pump7").first()
     assert (changed.metadata_id, changed.value, changed.created_by, changed.last_modified_by) == (
         "m1", {"n": "2"}, None, "me")
-    assert md.metadata_get(after, "m3").first().key == "baz"
+    assert md.metadata_get(after, "m3").first().key == "pump7"
     with pytest.raises(ValueError):
-        md.metadata_get(after, namespace="foo.bar")
-    assert [r.namespace for r in md.metadata_browse(after).collect()] == ["foo.bar", "foo.bar.x", "new"]
-    assert [r.key for r in md.metadata_browse(after, "foo.bar").collect()] == ["baz", "bazar", "other"]
-    assert md.metadata_search(entries, "foo.bar", "baz").count() == 2
+        md.metadata_get(after, namespace="plant.hall")
+    assert [r.namespace for r in md.metadata_browse(after).collect()] == ["new", "plant.hall", "plant.hall.x"]
+    assert [r.key for r in md.metadata_browse(after, "plant.hall").collect()] == ["other", "pump7", "pump7b"]
+    assert md.metadata_search(entries, "plant.hall", "pump7").count() == 2
     gone = spark.createDataFrame([("m1",)], "metadata_id string")
     kept, kept_links = md.metadata_delete(entries, linked, gone)
     assert (kept.count(), kept_links.count()) == (3, 3)
@@ -481,8 +527,17 @@ def test_links(spark, linked):
     assert md.unlink_metadata(linked, again).count() == 4
     for wrong in ((None, None, "k"), (None, "ns", None)):
         with pytest.raises(ValueError):
-            md.check_set_arguments(*wrong)
-    md.check_set_arguments("id", None, None)
+            md.names_an_entry(*wrong)
+    assert md.names_an_entry("id", None, None) and not md.names_an_entry(None, "ns", "k")
+
+
+def test_names_with_the_same_signs_have_their_own_ids(spark, entries):
+    update = spark.createDataFrame(
+        [("a/b", "c", {"n": "1"}), ("a", "b/c", {"n": "2"}), ("1:a", "b", {}), ("1", ":ab", {})],
+        "namespace string, key string, value map<string,string>",
+    )
+    after = md.metadata_set(entries, update)
+    assert after.select("metadata_id").distinct().count() == after.count() == 8
 
 
 def test_info_and_attached_series(spark, linked, entries):

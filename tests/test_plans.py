@@ -8,11 +8,15 @@ import io
 import pytest
 
 import __spark_entry__
+from pyspark.sql import functions as F
+
+from tidemark import session
 from tidemark.operators import aggregate as agg
 from tidemark.operators import read
 from tidemark.operators.overlay import contested_days, overlay
 from tidemark.operators.ingest import manifest_of
 from tidemark.plans import inputs
+from tidemark.plans.oracles import ORACLES
 from tidemark.plans.queries import QUERIES
 from tidemark.sinks.samples import write_samples
 from tidemark.sources.samples import read_samples
@@ -87,4 +91,29 @@ def test_no_query_runs_python_or_all_pairs(spark, sf_dir, name):
 
 def test_driver_contract(spark):
     assert __spark_entry__.entry(spark).count() > 0
-    assert set(__spark_entry__.oracle_sql()) == set(__spark_entry__.queries())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize(
+    "name, most",
+    [("get_found_series", 2), ("series_info", 0), ("metadata_by_id", 0), ("delete_series", 2), ("agg_dense", 1), ("agg_gaps", 1)],
+)
+def test_lookups_are_computed_once_while_a_query_is_built(spark, sf_dir, name, most, monkeypatch):
+    """With nothing else to compute, and each by one write."""
+    made = []
+
+    def counted(df, *label):
+        made.append(df)
+        return session.settle(df, *label)
+
+    monkeypatch.setattr("tidemark.operators.joins.settle", counted)
+    monkeypatch.setattr("tidemark.operators.overlay.settle", counted)
+    QUERIES[name](spark, sf_dir)
+    assert len(made) <= most
+
+
+def test_a_lookup_is_settled_without_a_named_folder(spark, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: None)
+    kept = session.settle(spark.range(10).withColumn("u", F.uuid()))
+    assert kept.collect() == kept.collect()

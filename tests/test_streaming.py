@@ -35,10 +35,10 @@ class Queue:
 
     def stored(self):
         rows = read_ingested(self.spark, self.out).collect()
-        return sorted((r.series_id, r.file_id, r["index"], r.value, r.value_text) for r in rows)
+        return sorted((r.series_id, r.file_id.removesuffix(".csv"), r["index"], r.value, r.value_text) for r in rows)
 
     def states(self):
-        return {r.file_id: r.state for r in read_receipts(self.spark, self.out).collect()}
+        return {r.file_id.removesuffix(".csv"): r.state for r in read_receipts(self.spark, self.out).collect()}
 
 
 @pytest.fixture
@@ -58,7 +58,7 @@ def test_good_files_are_stored_and_bad_ones_put_aside(spark, queue):
     assert queue.stored() == [
         ("7", "good", 1, 1.5, None), ("7", "good", 2, None, None),
         ("t", "text", 1, None, "fo,o"), ("t", "text", 2, None, "1")]
-    kinds = {r.file_id: (r.kind, r.n_samples) for r in read_ingest_manifest(spark, queue.out).collect()}
+    kinds = {r.file_id.removesuffix(".csv"): (r.kind, r.n_samples) for r in read_ingest_manifest(spark, queue.out).collect()}
     assert kinds == {"good": ("numeric", 2), "text": ("text", 2)}
     assert spark.read.parquet(f"{queue.out}/failed").count() == 6
 
@@ -82,14 +82,33 @@ def test_later_file_wins_and_a_repeated_one_does_nothing(queue):
 def test_redelivered_file_is_ignored(spark, queue):
     queue.put("a", "one", "1,1")
     queue.drain()
-    # The same upload once more, under another suffix.
-    (queue.home / "queue" / "series_id=a" / "one.txt").write_text("1,777\n5,5\n")
-    queue.drain()
+    # The same upload once more, in a batch of its own.
+    again = spark.createDataFrame(
+        [("a", "one.csv", 0, "1", "777"), ("a", "one.csv", 0, "5", "5")],
+        "series_id string, file_id string, block_start bigint, index_token string, value_token string",
+    ).withColumn("modified", F.timestamp_millis(F.lit(1_700_000_000_000)))
+    ingest_batch(again, 1, queue.out)
     assert queue.stored() == [("a", "one", 1, 1.0, None)]
     assert known_files(spark, queue.out, 0).count() == 0
     assert known_files(spark, queue.out, 1).count() == 1
 
 
+def test_files_of_one_stem_are_judged_apart(queue):
+    queue.put("a", "one", "1,1", "2,2")
+    (queue.home / "queue" / "series_id=a" / "one.txt").write_text("1,10\n0,5\n")
+    (queue.home / "queue" / "series_id=a" / "one two+%.txt").write_text("7,7\n")
+    queue.drain()
+    assert queue.states() == {"one": "Ready", "one.txt": "Failed", "one two+%.txt": "Ready"}
+    assert [r[1] for r in queue.stored()] == ["one", "one", "one two+%.txt"]
+
+
+def test_numbers_begin_above_those_given_elsewhere(spark, queue):
+    queue.put("a", "one", "1,1")
+    high = 9_000_000_000_000_000_000
+    queue.drain(above=high)
+    assert read_ingested(spark, queue.out).first().file_seq > high
+
+
 def test_small_batches_give_the_same_as_one_batch_job(spark, queue):
     rng = random.Random(1)
     lines = []
@@ -109,7 +128,7 @@ def test_small_batches_give_the_same_as_one_batch_job(spark, queue):
     assert {r.n for r in seqs.collect()} == {1}
     assert read_ingested(spark, queue.out).select("file_seq").distinct().count() == 12
     in_batches = read_ingest_manifest(spark, queue.out).orderBy("file_seq").collect()
-    assert sorted(r.file_id for r in in_batches) == [f"f{n:02}" for n in range(12)]
+    assert sorted(r.file_id for r in in_batches) == [f"f{n:02}.csv" for n in range(12)]
 
 
 def test_a_batch_run_twice_leaves_the_same(spark, queue):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeaxis import (
+    UNIT_SPELLINGS,
     bin_start,
     day_of,
     normalize_period,
@@ -20,37 +21,12 @@ from tidemark.functions.timeaxis import (
 from tidemark.schema import NS_PER_DAY, OPEN_END, OPEN_START
 
 
-@pytest.mark.parametrize(
-    "period, expected",
-    [
-        ("min", (1, "m")),
-        ("tick", (1, "tick")),
-        ("s", (1, "s")),
-        ("h", (1, "h")),
-        ("15minutes", (15, "m")),
-        ("15minute", (15, "m")),
-        ("15min", (15, "m")),
-        ("15m", (15, "m")),
-        ("15hours", (15, "h")),
-        ("15hour", (15, "h")),
-        ("15hr", (15, "h")),
-        ("15seconds", (15, "s")),
-        ("15second", (15, "s")),
-        ("15sec", (15, "s")),
-        ("15milliseconds", (15, "ms")),
-        ("15millisecond", (15, "ms")),
-        ("15millis", (15, "ms")),
-        ("15milli", (15, "ms")),
-        ("100ms", (100, "ms")),
-        ("15microseconds", (15, "microsecond")),
-        ("15micros", (15, "microsecond")),
-        ("15micro", (15, "microsecond")),
-        ("100 ms", (100, "ms")),
-        ("15Min", (15, "m")),
-    ],
-)
-def test_period_spellings(period, expected):
-    assert normalize_period(period) == expected
+@pytest.mark.parametrize("unit, spelling", [(u, s) for u, names in UNIT_SPELLINGS.items() for s in names])
+def test_period_spellings(unit, spelling):
+    assert normalize_period(spelling) == (1, unit)
+    for count in (2, 7, 360):
+        for text in (f"{count}{spelling}", f" {count} {spelling}", f"{count}{spelling.capitalize()}"):
+            assert normalize_period(text) == (count, unit)
 
 
 def test_period_lengths():

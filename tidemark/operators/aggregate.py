@@ -9,125 +9,115 @@ from tidemark.functions.timeaxis import bin_start, long_lit, parse_range, period
 from tidemark.operators.overlay import overlay
 from tidemark.operators.read import of_series, slice_range
 from tidemark.schema import EMPTY_FIRST, EMPTY_LAST
-from tidemark.session import settle
 
 # The four functions and their second names.
 FUNCTION_NAMES = {"mean": "avg", "min": "min", "max": "max", "std": "stdev"}
 
 _SPARK_FUNCTIONS = {"avg": F.avg, "min": F.min, "max": F.max, "stdev": F.stddev_samp}
 
-# Bins per series a dense result may have.
-MAX_DENSE_BINS = 10_000_000
-
 # Bins made from one array; keeps arrays small however long the range is.
 BINS_PER_BLOCK = 4_096
 
-# Bins one task makes, and the most tasks that make them.
-BINS_PER_TASK = 1_000_000
-MAX_GRID_TASKS = 20_000
-
-# A bin is cut into at most this many slices, fewer once the range has enough.
-MAX_SLICES = 1_024
-ENOUGH_SLICES = 8_192
-OPEN_RANGE_SLICES = 8
-
 
 def aggregate_function(name: str):
     """Spark aggregate of a function name; any case, either spelling."""
     key = str(name).lower()
     key = FUNCTION_NAMES.get(key, key)
     if key not in _SPARK_FUNCTIONS:
-        raise ValueError("function must be one of: Avg (mean), Min, Max, Stdev (std)")
+        known = ", ".join(f"{long} or {short}" for long, short in sorted(FUNCTION_NAMES.items()))
+        raise ValueError(f"unknown aggregation {name!r}; known are {known}")
     return _SPARK_FUNCTIONS[key]
 
 
-def reject_text(samples: DataFrame) -> None:
-    """Text cannot be aggregated. Reads no further than the first text value."""
+def numbers_only(samples: DataFrame) -> DataFrame:
+    """The same rows; a text value stops the job that meets it."""
     if "value" not in samples.columns:
-        raise ValueError("a text series cannot be aggregated")
-    if "value_text" in samples.columns:
-        if not samples.filter(F.col("value_text").isNotNull()).isEmpty():
-            raise ValueError("a text series cannot be aggregated")
+        raise ValueError("text has no mean, minimum, maximum or deviation: choose a numeric series")
+    if "value_text" not in samples.columns:
+        return samples
+    refused = F.raise_error(F.lit("text cannot be aggregated")).cast("double")
+    number = F.when(F.col("value_text").isNotNull(), refused).otherwise(F.col("value"))
+    return samples.withColumn("value", number)
+
+
+def _per_block(width_ns: int) -> int:
+    """Bins in a block; fewer of very long ones, whose edges must stay 64-bit numbers."""
+    return max(1, min(BINS_PER_BLOCK, (1 << 61) // width_ns))
+
+
+def _block_end(begin, last, width_ns: int):
+    """Left edge of the last bin of a block that begins at ``begin``, ``last`` at most."""
+    more = long_lit(width_ns * (_per_block(width_ns) - 1))
+    return F.when(last - begin > more, begin + more).otherwise(last)
 
 
-def bin_grid(ids: DataFrame, start: int, end: int, width_ns: int) -> DataFrame:
-    """Left edge of every bin that overlaps ``[start, end)``, for every id.
+def _edges(rows: DataFrame, first, last, width_ns: int) -> DataFrame:
+    """``rows`` once per bin from column ``first`` to ``last``, as ``_edge``.
 
-    The bins are made in two steps, first blocks and then the bins of each, so
-    that no array holds them all; the blocks are spread over as many tasks as
-    the number of bins asks for.
+    The bins are made in two steps, whole blocks and then the bins of each, so
+    that no array is longer than a block however far apart the two are. A row
+    with ``last`` before ``first`` gives none.
+    """
+    step = long_lit(width_ns * _per_block(width_ns))
+    none = F.array().cast("array<bigint>")
+    blocks = F.when(last >= first, F.sequence(first, last, step)).otherwise(none)
+    bins = F.sequence("_block", _block_end(F.col("_block"), last, width_ns), long_lit(width_ns))
+    return rows.withColumn("_block", F.explode(blocks)).withColumn("_edge", F.explode(bins)).drop("_block")
+
+
+def _dense(bins: DataFrame, ids: DataFrame, start: int, end: int, width_ns: int) -> DataFrame:
+    """``series_id, index, value, _empty`` for every bin that overlaps ``[start, end)``.
+
+    ``bins`` has the bins that hold samples. Each id gets one more row at the
+    head of every block of bins; within a block a row is followed by the empty
+    bins up to the next row. Only rows and heads are shuffled; the empty bins
+    are made afterwards, by as many tasks as there are blocks to share out.
     """
     first = start - start % width_ns
     last = (end - 1) - (end - 1) % width_ns
-    n_bins = (last - first) // width_ns + 1
-    if n_bins > MAX_DENSE_BINS:
-        raise ValueError(
-            f"{n_bins} bins per series exceed {MAX_DENSE_BINS}: use a longer period or a shorter range"
-        )
-    ids = settle(ids)
-    n_tasks = min(ids.count() * n_bins // BINS_PER_TASK + 1, MAX_GRID_TASKS)
-    step = width_ns * BINS_PER_BLOCK
-    blocks = ids.select(
+    block = width_ns * _per_block(width_ns)
+    heads = _edges(ids.select("series_id"), long_lit(first), long_lit(last), block)
+    heads = heads.select(
         "series_id",
-        F.explode(F.sequence(long_lit(first), long_lit(last), long_lit(step))).alias("_block"),
-    )
-    if n_tasks > 1:
-        blocks = blocks.repartition(n_tasks, "series_id", "_block")
-    to_block_end = step - width_ns
-    full_block = F.col("_block") <= long_lit(max(last - to_block_end, first - 1))
-    block_last = F.when(full_block, F.col("_block") + long_lit(to_block_end)).otherwise(
-        long_lit(last)
+        F.col("_edge").alias("index"),
+        F.lit(None).cast("double").alias("value"),
+        F.lit(True).alias("_head"),
+        F.col("_edge").alias("_part"),
     )
-    return blocks.select(
-        "series_id", F.explode(F.sequence("_block", block_last, long_lit(width_ns))).alias("index")
+    part = F.col("index") - F.pmod(F.col("index") - long_lit(first), long_lit(block))
+    rows = bins.withColumns({"_head": F.lit(False), "_part": part}).unionByName(heads)
+    within = Window.partitionBy("series_id", "_part").orderBy("index", F.desc("_head"))
+    end_of_part = _block_end(F.col("_part"), long_lit(last), width_ns)
+    until = F.coalesce(F.lead("index").over(within) - long_lit(width_ns), end_of_part)
+    filled = _edges(rows.withColumn("_until", until), F.col("index"), F.col("_until"), width_ns)
+    empty = F.col("_head") | (F.col("_edge") != F.col("index"))
+    return filled.select(
+        "series_id",
+        F.col("_edge").alias("index"),
+        F.when(~empty, F.col("value")).alias("value"),
+        empty.alias("_empty"),
     )
 
 
-def _slice_width(lo: int | None, hi: int | None, width_ns: int) -> int:
-    """Width of the slices a bin is cut into before overlay; it divides the bin.
-
-    Few bins are cut finely, so that the one bin of a hot series does not end
-    in one task; with many bins a bin is one slice.
-    """
-    slices = OPEN_RANGE_SLICES
-    if lo is not None and hi is not None:
-        slices = min(max(ENOUGH_SLICES // ((hi - lo) // width_ns + 1), 1), MAX_SLICES)
-    return next(width_ns // n for n in range(slices, 0, -1) if width_ns % n == 0)
-
-
 def _present(
-    samples: DataFrame, lo: int | None, hi: int | None, width_ns: int, contested
+    samples: DataFrame, lo: int | None, hi: int | None, width_ns: int, contested, check_text: bool = True
 ) -> DataFrame:
     """``(series_id, bin, value)`` of the samples in range that have a value.
 
-    Overlapping uploads are resolved within slices of bins: all rows of a slice
-    meet in one task, which then sends on one partial aggregate per bin.
+    Overlapping uploads are resolved first, by index: however few the bins and
+    however hot the series, its rows are spread by their indices. Each task
+    then sends on one partial aggregate per bin.
     """
     cut = slice_range(samples, lo, hi)
-    time = "index"
+    if check_text:
+        cut = numbers_only(cut)
     if "file_seq" in samples.columns:
-        time = "_slice"
-        slice_of = bin_start("index", _slice_width(lo, hi, width_ns))
-        if contested is None:
-            # The slice is worked out again after the shuffle, not sent through it.
-            cut = cut.select("series_id", "index", "file_seq", "value").repartition(
-                "series_id", slice_of
-            )
-        cut = overlay(
-            cut.withColumn(time, slice_of), kind="numeric", contested=contested, also=(time,)
-        )
+        cut = overlay(cut, kind="numeric", contested=contested)
     return cut.filter(F.col("value").isNotNull()).select(
-        "series_id", bin_start(time, width_ns).alias("index"), "value"
+        "series_id", bin_start("index", width_ns).alias("index"), "value"
     )
 
 
-def _with_grid(rows: DataFrame, ids: DataFrame, lo: int, hi: int, width_ns: int) -> DataFrame:
-    """Empty bins as rows without a value: the functions skip them, and one
-    shuffle serves samples and grid alike."""
-    grid = bin_grid(ids, lo, hi, width_ns)
-    return rows.unionByName(grid.withColumn("value", F.lit(None).cast("double")))
-
-
 def _ids(samples: DataFrame, series) -> DataFrame:
     spark = samples.sparkSession
     if isinstance(series, DataFrame):
@@ -154,7 +144,9 @@ def aggregate(
 
     Bins are aligned to the epoch and labelled with their left edge; only
     samples inside the range count. Periods without samples are left out, or
-    given as NULL with ``include_empty``, then for every id in ``series``.
+    given as NULL with ``include_empty``, then for every id in ``series``; there
+    may be any number of them. A text value in the range stops the job, unless
+    ``check_text`` is off.
     """
     for name, given in (("start", start), ("end", end), ("period", period), ("function", function)):
         if given is None or given == "":
@@ -162,13 +154,11 @@ def aggregate(
     spark_function = aggregate_function(function)
     width = period_ns(period)
     lo, hi = parse_range(start, end)
-    chosen = of_series(samples, series)
-    if check_text:
-        reject_text(slice_range(chosen, lo, hi))
-    rows = _present(chosen, lo, hi, width, contested)
-    if include_empty:
-        rows = _with_grid(rows, _ids(samples, series), lo, hi, width)
-    return rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
+    rows = _present(of_series(samples, series), lo, hi, width, contested, check_text)
+    bins = rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
+    if not include_empty:
+        return bins
+    return _dense(bins, _ids(samples, series), lo, hi, width).drop("_empty")
 
 
 def resample(
@@ -179,6 +169,7 @@ def resample(
     end=None,
     *,
     fill_within: str | None = None,
+    contested: DataFrame | None = None,
 ) -> DataFrame:
     """Aggregate over any span, open ends included, in one pass.
 
@@ -188,36 +179,35 @@ def resample(
     spark_function = aggregate_function(function)
     width = period_ns(period)
     lo, hi = parse_range(start, end)
-    reject_text(slice_range(samples, lo, hi))
-    rows = _present(samples, lo, hi, width, None)
+    rows = _present(samples, lo, hi, width, contested)
     bins = rows.groupBy("series_id", "index").agg(spark_function("value").alias("value"))
     return bins if fill_within is None else _fill(bins, width, period_ns(fill_within))
 
 
 def _fill(bins: DataFrame, width_ns: int, span_ns: int) -> DataFrame:
-    if span_ns % width_ns or span_ns // width_ns > MAX_DENSE_BINS:
-        raise ValueError("the span must be a whole number of periods, and not too many")
+    if span_ns % width_ns:
+        raise ValueError("the span must be a whole number of periods")
     span = Window.partitionBy("series_id", bin_start("index", span_ns)).orderBy("index")
-    following = bins.withColumn("_next", F.lead("index").over(span))
-    last = F.coalesce(F.col("_next") - long_lit(width_ns), F.col("index"))
-    edges = F.explode(F.sequence("index", last, long_lit(width_ns)))
-    return following.select("series_id", "value", "index", edges.alias("_edge")).select(
+    last = F.coalesce(F.lead("index").over(span) - long_lit(width_ns), F.col("index"))
+    filled = _edges(bins.withColumn("_until", last), F.col("index"), F.col("_until"), width_ns)
+    return filled.select(
         "series_id",
         F.col("_edge").alias("index"),
         F.when(F.col("_edge") == F.col("index"), F.col("value")).alias("value"),
     )
 
 
-def gaps(samples: DataFrame, start, end, period: str, *, series=None) -> DataFrame:
+def gaps(
+    samples: DataFrame, start, end, period: str, *, series=None, contested: DataFrame | None = None
+) -> DataFrame:
     """``(series_id, index)`` of the periods in ``[start, end)`` without a sample."""
     width = period_ns(period)
     lo, hi = parse_range(start, end)
-    chosen = of_series(samples, series)
-    reject_text(slice_range(chosen, lo, hi))
-    rows = _present(chosen, lo, hi, width, None)
-    rows = _with_grid(rows, _ids(samples, series), lo, hi, width)
-    counted = rows.groupBy("series_id", "index").agg(F.count("value").alias("n"))
-    return counted.filter(F.col("n") == 0).select("series_id", "index")
+    rows = _present(of_series(samples, series), lo, hi, width, contested)
+    bins = rows.groupBy("series_id", "index").agg(F.max("value").alias("value"))
+    return (
+        _dense(bins, _ids(samples, series), lo, hi, width).filter("_empty").select("series_id", "index")
+    )
 
 
 def sample_extents(samples: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from tidemark.functions.timeaxis import day_of, long_lit
 from tidemark.functions.tokens import chunk_key, urlsafe_base64
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.validate import FAILED, READY
-from tidemark.schema import SERIES
 
 
 def next_file_seq(uploads: DataFrame) -> int:
@@ -82,10 +81,20 @@ def receipts_of(manifest: DataFrame, verdicts: DataFrame) -> DataFrame:
     return extents.withColumn("state", F.lit(READY)).unionByName(_failed_receipts(verdicts))
 
 
-def create_empty(series: DataFrame, series_ids: list[str]) -> DataFrame:
-    """The table of series with new ones that have no samples yet."""
-    listed = [(sid, [], datetime.now(timezone.utc)) for sid in series_ids]
-    return series.unionByName(series.sparkSession.createDataFrame(listed, SERIES))
+def create_empty(series: DataFrame, series_ids: list[str] | DataFrame) -> DataFrame:
+    """The table of series with new ones that have no samples yet.
+
+    ``series_ids`` is a list, or a frame with a ``series_id`` column.
+    """
+    if not isinstance(series_ids, DataFrame):
+        listed = [(sid,) for sid in series_ids]
+        series_ids = series.sparkSession.createDataFrame(listed, "series_id string")
+    new = series_ids.select(
+        "series_id",
+        F.array().cast("array<string>").alias("aliases"),
+        F.lit(datetime.now(timezone.utc)).alias("created"),
+    )
+    return series.unionByName(new)
 
 
 def delete_series(table: DataFrame, ids: DataFrame) -> DataFrame:
@@ -120,7 +129,12 @@ def with_chunk_key(manifest: DataFrame) -> DataFrame:
 
 
 def incremental_ingest(manifest: DataFrame, ingested: DataFrame) -> DataFrame:
-    """Chunks not stored yet; a chunk whose content changed counts as new."""
+    """Chunks not stored yet; a chunk whose content changed counts as new.
+
+    Where both listings know series and day, these are part of the join, so
+    that stored chunks can be pruned and joined as they are laid out.
+    """
     keyed = with_chunk_key(manifest)
-    stored = ingested.select("chunk_key", "md5_key")
-    return keyed.join(stored, ["chunk_key", "md5_key"], "left_anti")
+    shared = [c for c in ("series_id", "day") if c in keyed.columns and c in ingested.columns]
+    keys = [*shared, "chunk_key", "md5_key"]
+    return keyed.join(ingested.select(*keys), keys, "left_anti")

@@ -6,27 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import settle
+from tidemark.session import settle, stored_bytes
 
-# A lookup is broadcast up to these sizes, measured, not estimated.
-MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# A lookup is broadcast up to this many bytes of Parquet, counted after it was
+# written; of compressed keys that is some hundred megabytes in memory at most.
+MAX_BROADCAST_BYTES = 8 * 1024 * 1024
 
-# Beyond them the rows of each key are spread over this many shuffle keys.
+# Beyond that the rows of each key are spread over this many shuffle keys.
 SALTS = 16
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
-) -> bool:
-    """Count rows and bytes; every task sends back two numbers."""
-    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    size = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.length(F.to_json(F.struct("*")))).alias("n_bytes"),
-    ).first()
-    return size.n_rows <= max_rows and (size.n_bytes or 0) <= max_bytes
+def fits_broadcast(settled: DataFrame) -> bool:
+    """Whether a frame that was settled is small enough to send to all executors."""
+    return stored_bytes(settled) <= MAX_BROADCAST_BYTES
 
 
 def _salt(big: DataFrame, lookup: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
@@ -49,12 +41,12 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``big`` to ``lookup`` (inner, left, left_semi or left_anti).
 
-    A lookup of measured small size is broadcast, and ``big`` is not shuffled
+    The lookup is computed once, by one job, whatever it is made from; its size
+    is then that of its files. A small one is broadcast, and ``big`` is not shuffled
     at all. A larger one is copied once per salt, so that no task gets all
     rows of a hot key: a key holding a third of ``big`` becomes ``salts``
     shuffle keys, and adaptive execution splits those further if need be.
-    The lookup is computed once, before its size is taken; ``small`` passes on
-    a size check already made.
+    ``small`` passes on the size of a lookup that is settled already.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")

@@ -36,7 +36,6 @@ def overlay(
     *,
     kind: str = "both",
     contested: DataFrame | None = None,
-    also: tuple[str, ...] = (),
     partitioned: bool = False,
 ) -> DataFrame:
     """One row per ``(series_id, index)``.
@@ -50,26 +49,20 @@ def overlay(
     series that more than one upload touched; all others pass through without
     a shuffle, as the indices within one upload are unique.
 
-    ``also`` names columns that follow from the key and are kept in it, so that
-    rows partitioned by them already are not shuffled again. ``partitioned``
-    says that rows are partitioned by the key or by ``also``.
+    ``partitioned`` says that rows are partitioned by the key already.
     """
     columns = {"numeric": ["value"], "text": ["value_text"], "both": ["value", "value_text"]}[kind]
     if contested is not None:
-        slim = samples.select(*KEY, "day", "file_seq", *also, *columns)
+        slim = samples.select(*KEY, "day", "file_seq", *columns)
         shared, alone = _split(slim, contested)
-        if also:
-            shared = shared.repartition("series_id", *also)
-        return alone.select(*KEY, *also, *columns).unionByName(
-            overlay(shared, kind=kind, also=also, partitioned=bool(also))
-        )
+        return alone.select(*KEY, *columns).unionByName(overlay(shared, kind=kind))
     present = F.col(columns[0]).isNotNull()
     for name in columns[1:]:
         present = present | F.col(name).isNotNull()
     rank = F.when(present, F.col("file_seq"))
     if kind != "numeric" and not partitioned:
         samples = samples.repartition(*KEY)
-    return samples.groupBy(*KEY, *also).agg(*[_newest(name, rank) for name in columns])
+    return samples.groupBy(*KEY).agg(*[_newest(name, rank) for name in columns])
 
 
 def contested_days(manifest: DataFrame) -> DataFrame:
@@ -84,9 +77,20 @@ def contested_days(manifest: DataFrame) -> DataFrame:
 
 
 def combine_first(newer: DataFrame, older: DataFrame) -> DataFrame:
-    """Two frames overlaid: all indices of both, values of ``newer`` first."""
-    n, o = newer.alias("n"), older.alias("o")
-    return (
-        n.join(o, KEY, "full_outer")
-        .select(*KEY, F.coalesce(F.col("n.value"), F.col("o.value")).alias("value"))
-    )
+    """Two frames overlaid: all indices of both, values of ``newer`` first.
+
+    An index keeps what one frame says about it, number and text alike: that of
+    ``newer`` if it says anything. ``value`` and ``value_text`` are returned as
+    far as either frame has them.
+    """
+    values = [c for c in ("value", "value_text") if c in (*newer.columns, *older.columns)]
+    kinds = {"value": "double", "value_text": "string"}
+
+    def full(df: DataFrame) -> DataFrame:
+        missing = {c: F.lit(None).cast(kinds[c]) for c in values if c not in df.columns}
+        return df.withColumns(missing).select(*KEY, *values)
+
+    n, o = full(newer).alias("n"), full(older).alias("o")
+    said = F.coalesce(*[F.col(f"n.{c}").cast("string") for c in values]).isNotNull()
+    merged = [F.when(said, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in values]
+    return n.join(o, KEY, "full_outer").select(*KEY, *merged)

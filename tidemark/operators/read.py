@@ -51,13 +51,15 @@ def get(
     convert_date: bool = False,
     raise_empty: bool = False,
     ordered: bool = True,
+    all_values: bool = False,
 ) -> DataFrame:
     """Samples of ``series`` in ``[start, end)``, sorted by series and index.
 
     ``samples`` is either the stored table, then overlapping uploads are
     resolved after the range is cut, or an already resolved frame.
     ``convert_date`` adds the index as a UTC timestamp. ``raise_empty`` runs a
-    job and raises ValueError if nothing is there.
+    job and raises ValueError if nothing is there. ``all_values`` gives both
+    value columns, NULL where ``kind`` did not read one.
     """
     lo, hi = parse_range(start, end)
     cut = of_series(slice_range(samples, lo, hi), series)
@@ -69,6 +71,10 @@ def get(
         cut = overlay(cut, kind=kind, contested=contested, partitioned=ranged)
     values = {"numeric": ["value"], "text": ["value_text"], "both": ["value", "value_text"]}[kind]
     out = cut.select("series_id", "index", *[v for v in values if v in cut.columns])
+    if all_values:
+        kinds = {"value": "double", "value_text": "string"}
+        missing = {c: F.lit(None).cast(k) for c, k in kinds.items() if c not in out.columns}
+        out = out.withColumns(missing).select("series_id", "index", *kinds)
     if raise_empty and out.isEmpty():
         raise ValueError("no samples in the given interval")
     if convert_date:

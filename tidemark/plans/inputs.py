@@ -8,14 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timeaxis import day_of, long_lit, to_index
 from tidemark.operators.metadata import metadata_id_of
-from tidemark.session import use_utc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A benchmark table. The registered queries pin the session's time zone.
+
+    Its columns are looked up once; every further read needs no job for that.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+_schemas: dict[str, T.StructType] = {}
 
 
 def _null(kind: str):
@@ -64,6 +75,55 @@ def mixed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines uploaded twice: all of them, then returned ones with their
+    quantity doubled. Three series hold everything."""
+    lines = table(spark, sf_dir, "lineitem")
+
+    def upload(rows: DataFrame, file_seq: int, value) -> DataFrame:
+        return rows.select(
+            F.col("l_returnflag").alias("series_id"),
+            long_lit(file_seq).alias("file_seq"),
+            F.format_string("%d-%s", F.lit(file_seq), F.col("l_returnflag")).alias("file_id"),
+            (to_index("l_shipdate") + F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("index"),
+            value.alias("value"),
+            _null("string").alias("value_text"),
+        ).withColumn("day", day_of("index"))
+
+    returned = lines.filter(F.col("l_returnflag") == "R")
+    return upload(lines, 0, F.col("l_quantity")).unionByName(
+        upload(returned, 1, F.col("l_quantity") * 2)
+    )
+
+
+def type_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series per event type, uploaded twice; the second time high values only, negated."""
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.col("event_type"))
+    high = events.filter(F.col("value") > 60)
+    both = _file(events, 0, F.col("value")).unionByName(_file(high, 1, -F.col("value")))
+    return both.withColumn("series_id", F.substring("series_id", 2, 100))
+
+
+def split_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two entries per customer whose names hold the same signs, cut at another place."""
+    customer = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    value = F.create_map(F.lit("name"), F.col("c_name"))
+    one = customer.select(F.concat("c_mktsegment", F.lit("/"), key).alias("namespace"), F.lit("x").alias("key"), value.alias("value"))
+    two = customer.select(F.col("c_mktsegment").alias("namespace"), F.concat(key, F.lit("/x")).alias("key"), value.alias("value"))
+    return one.unionByName(two)
+
+
+def sample_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of an aggregation as JSON text, one page per event type and minute."""
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0Z'")
+    sample = F.struct(time.alias("Timestamp"), F.col("value").alias("Value"))
+    pages = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("series_id"), F.date_trunc("minute", "ts")).agg(
+        F.collect_list(sample).alias("value")
+    )
+    return pages.select("series_id", F.to_json(F.struct("value")).alias("page"))
+
+
 def line_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines, one series per return flag: three series, each a third of
     all rows. The order number is added as nanoseconds."""

@@ -51,27 +51,27 @@ TABLES = {
                     THEN 'Ready' ELSE 'Failed' END AS state
         FROM order_steps GROUP BY series_id, file_id""",
     "metadata": """
-        SELECT md5('customer.' || lower(c_mktsegment) || '/' || c_name) AS metadata_id,
+        SELECT md5(length('customer.' || lower(c_mktsegment)) || ':customer.' || lower(c_mktsegment) || c_name) AS metadata_id,
                'customer.' || lower(c_mktsegment) AS namespace, c_name AS key,
                '{"nation":"' || n_name || '","nationkey":"' || c_nationkey || '"}' AS value_json,
                n_name AS nation, NULL AS region
         FROM customer JOIN nation ON c_nationkey = n_nationkey
         UNION ALL
-        SELECT md5('nation/' || n_name), 'nation', n_name,
+        SELECT md5('6:nation' || n_name), 'nation', n_name,
                '{"region":"' || n_regionkey || '"}', NULL, n_regionkey::VARCHAR
         FROM nation""",
     "links": """
         SELECT 'u' || c_custkey AS series_id,
-               md5('customer.' || lower(c_mktsegment) || '/' || c_name) AS metadata_id
+               md5(length('customer.' || lower(c_mktsegment)) || ':customer.' || lower(c_mktsegment) || c_name) AS metadata_id
         FROM customer WHERE c_acctbal >= 0
         UNION ALL
-        SELECT 'u' || c_custkey, md5('nation/' || n_name)
+        SELECT 'u' || c_custkey, md5('6:nation' || n_name)
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "segment_links": """
-        SELECT 'u' || c_custkey AS series_id, md5('segment/' || c_mktsegment) AS metadata_id
+        SELECT 'u' || c_custkey AS series_id, md5('7:segment' || c_mktsegment) AS metadata_id
         FROM customer
         UNION ALL
-        SELECT 'u' || c_custkey, md5('customer.' || lower(c_mktsegment) || '/' || c_name)
+        SELECT 'u' || c_custkey, md5(length('customer.' || lower(c_mktsegment)) || ':customer.' || lower(c_mktsegment) || c_name)
         FROM customer""",
     "extents": """
         SELECT 'u' || c_custkey AS series_id, c_name AS alias,
@@ -136,9 +136,7 @@ def _period_units() -> str:
         "tick": 100,
     }
     parts = [
-        f"""SELECT '{name}' AS period, count(*) AS n_bins, min("index") AS first_bin,
-               max("index") AS last_bin, round(sum(value), 2) AS sum_max
-            FROM ({binned("samples", width, "max(value)")})"""
+        f"""SELECT *, '{name}' AS period FROM ({binned("samples", width, "max(value)")})"""
         for name, width in units.items()
     ]
     return "\nUNION ALL\n".join(parts)
@@ -193,6 +191,20 @@ ORACLES = {
            FROM line_samples""",
     ),
     "stored_round_trip": sql("resolved", f"SELECT * FROM resolved WHERE {WEEK}"),
+    "chunk_files_round_trip": """
+        SELECT event_type AS series_id, epoch_us(ts) * 1000 AS "index",
+               CASE WHEN value > 60 THEN -value ELSE value END AS value
+        FROM events""",
+    "read_series_csv": """
+        SELECT epoch_us(ts) * 1000 AS "index", value, NULL::VARCHAR AS value_text FROM events""",
+    "read_two_columns": """
+        SELECT epoch_us(ts) * 1000 AS "index", value, NULL::VARCHAR AS value_text FROM events""",
+    "explode_sample_pages": """
+        SELECT event_type AS series_id, epoch_us(ts) * 1000 AS "index", value FROM events""",
+    "export_csv": sql("samples", binned("samples", HOUR, "max(value)")),
+    "create_empty_series": """
+        SELECT 'u' || c_custkey AS series_id, 1 AS n_aliases FROM customer
+        UNION ALL SELECT 's' || s_suppkey, 0 FROM supplier""",
     "format_chunk_lines": """
         SELECT 'u' || user_id AS series_id, (epoch_us(ts) // 86400000000)::INTEGER AS day,
                (epoch_us(ts) * 1000) || ',' ||
@@ -234,7 +246,11 @@ ORACLES = {
         """SELECT series_id, file_id, pos, state = 'Ready' AS kept
            FROM order_uploads JOIN verdicts USING (series_id, file_id)""",
     ),
-    "get_range": sql("resolved", f"SELECT * FROM resolved WHERE {WEEK}"),
+    "get_range": sql(
+        "resolved",
+        f"""SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY "index") AS place
+            FROM resolved WHERE {WEEK}""",
+    ),
     "get_all": sql("resolved", "SELECT * FROM resolved"),
     "get_found_series": sql(
         "resolved",
@@ -255,9 +271,12 @@ ORACLES = {
                CASE WHEN event_type = 'error' THEN event_type END AS value_text
         FROM events""",
     "overlay_contested": sql("resolved", "SELECT * FROM resolved"),
-    "combine_first_join": """
+    "combine_first_join": sql("resolved", "SELECT * FROM resolved"),
+    "combine_first_text": """
         SELECT 'u' || user_id AS series_id, epoch_us(ts) * 1000 AS "index",
-               CASE WHEN event_type = 'error' THEN value * 10 ELSE value END AS value
+               CASE WHEN event_type = 'view' THEN value END AS value,
+               CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN 'ERROR' ELSE event_type END
+                   AS value_text
         FROM events""",
     "upload_manifest": """
         WITH rows AS (
@@ -271,12 +290,19 @@ ORACLES = {
                min(epoch_us(ts) * 1000) AS first_index, max(epoch_us(ts) * 1000) AS last_index,
                count(*) AS n_samples
         FROM rows GROUP BY 1, 2, 3, 4""",
-    "chunks_by_day": sql(
-        "uploads",
-        f"""SELECT DISTINCT series_id, ("index" // {DAY})::INTEGER AS day,
-                   file_seq::BIGINT AS file_seq, file_seq || '-' || series_id AS file_id
-            FROM uploads""",
-    ),
+    "chunks_by_day": """
+        WITH chunks AS (
+            SELECT DISTINCT 'u' || user_id AS series_id, event_type AS file_id,
+                   (epoch_us(ts) // 86400000000)::INTEGER AS day
+            FROM events),
+        numbered AS (
+            SELECT *, dense_rank() OVER (PARTITION BY series_id ORDER BY file_id) - 1 AS file_seq,
+                   (row_number() OVER (PARTITION BY series_id, file_id ORDER BY day) - 1)::INTEGER
+                       AS chunk_seq
+            FROM chunks)
+        SELECT series_id, day, file_seq, chunk_seq, file_id,
+               row_number() OVER (PARTITION BY series_id ORDER BY day, file_seq, chunk_seq) AS place
+        FROM numbered""",
     "concat_days": sql("samples", "SELECT * FROM samples"),
     "incremental_manifest": sql(
         "listing",
@@ -308,6 +334,12 @@ ORACLES = {
         "line_samples",
         binned("line_samples", DAY, "avg(value)", LINES_START, LINES_END),
     ),
+    "agg_hot_uploads": f"""
+        WITH r AS (
+            SELECT l_returnflag AS series_id, l_quantity * CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END AS value,
+                   epoch_us(l_shipdate) * 1000 + l_orderkey * 8 + l_linenumber AS "index"
+            FROM lineitem)
+        {binned("r", 8760 * HOUR, "round(avg(value), 6)", LINES_START, LINES_END)}""",
     "agg_tick": sql(
         "line_samples", binned("line_samples", 100, "max(value)", LINES_START, LINES_END)
     ),
@@ -340,7 +372,7 @@ ORACLES = {
     ),
     "metadata_upsert": sql(
         "metadata updates",
-        """SELECT md5(namespace || '/' || key) AS metadata_id, namespace, key,
+        """SELECT md5(length(namespace) || ':' || namespace || key) AS metadata_id, namespace, key,
                   coalesce(u.value_json, m.value_json) AS value_json,
                   CASE WHEN m.metadata_id IS NULL THEN 'loader' END AS created_by,
                   CASE WHEN u.value_json IS NOT NULL THEN 'loader' END AS last_modified_by
@@ -351,6 +383,12 @@ ORACLES = {
         """SELECT metadata_id, namespace, key, value_json FROM metadata
            WHERE namespace = 'customer.building'""",
     ),
+    "metadata_ids_distinct": sql(
+        "metadata",
+        """SELECT namespace, key, 1 AS n_names FROM metadata
+           UNION ALL SELECT c_mktsegment || '/' || c_custkey, 'x', 1 FROM customer
+           UNION ALL SELECT c_mktsegment, c_custkey || '/x', 1 FROM customer""",
+    ),
     "link_metadata": sql(
         "links segment_links", "SELECT * FROM links UNION SELECT * FROM segment_links"
     ),
@@ -411,6 +449,12 @@ ORACLES = {
            WHERE namespace = 'customer.machinery' AND starts_with(key, 'Customer#')
              AND starts_with(nation, 'NATION') AND ends_with(nation, '2')""",
     ),
+    "search_value_parts": sql(
+        "metadata links",
+        """SELECT DISTINCT series_id FROM links JOIN metadata USING (metadata_id)
+           WHERE namespace = 'customer.machinery' AND starts_with(key, 'Customer#')
+             AND nation LIKE 'N%ION%1%'""",
+    ),
     "series_info": sql(
         "metadata links extents",
         f"""SELECT {INFO_COLUMNS}, metadata_id, namespace, key, value_json

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeaxis import day_of, to_timestamp
@@ -12,11 +12,12 @@ from tidemark.operators import aggregate as agg
 from tidemark.operators import ingest, overlay, read, reshape, validate
 from tidemark.operators import metadata as md
 from tidemark.plans import inputs
+from tidemark.schema import PAGE_JSON
 from tidemark.session import scratch_dir
-from tidemark.sinks.samples import format_lines, write_chunks, write_samples
+from tidemark.sinks.samples import export, format_lines, write_chunks, write_samples
 from tidemark.sources import chunks
-from tidemark.sources.manifest import flatten_manifest
-from tidemark.sources.samples import from_series, read_samples
+from tidemark.sources.manifest import flatten_manifest, read_listed
+from tidemark.sources.samples import explode_pages, from_series, read_parquet_chunks, read_samples
 from tidemark.streaming.ingest import read_ingested, stream_ingest
 
 START, END = "2024-01-01", "2024-01-31"
@@ -29,6 +30,13 @@ def rounded(df: DataFrame, decimals: int = 6) -> DataFrame:
     return df.withColumn("value", F.round("value", decimals))
 
 
+def with_place(df: DataFrame) -> DataFrame:
+    """``place``: which row of its series a row is, in the order that ``df`` has."""
+    ranked = df.withColumn("_row", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("series_id").orderBy("_row"))
+    return ranked.withColumn("place", place).drop("_row")
+
+
 # -- sources ---------------------------------------------------------------
 
 
@@ -72,9 +80,64 @@ def stored_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return week.select(*POINT)
 
 
+def chunk_files_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Write uploads as chunk files, list them, read the listed ones, overlay."""
+    base = scratch_dir(spark, "chunks")
+    uploads = inputs.type_uploads(spark, sf)
+    write_chunks(uploads, base, folders=("series_id", "file_id", "day"))
+    path = F.regexp_extract("path", "(series_id=.*)$", 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+    listed = files.filter(F.col("path").endswith(".txt")).select(
+        path.alias("path"),
+        F.regexp_extract("path", "series_id=([^/]*)/", 1).alias("series_id"),
+        F.regexp_extract("path", "file_id=([^/]*)/", 1).alias("file_id"),
+    )
+    numbered = listed.withColumn("file_seq", F.split_part("file_id", F.lit("-"), F.lit(1)).cast("bigint"))
+    return overlay.overlay(read_listed(spark, numbered, base), kind="numeric")
+
+
+def read_series_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """All events as one series in text files, read back."""
+    path = scratch_dir(spark, "csv")
+    format_lines(inputs.samples(spark, sf).drop("series_id")).select("line").write.text(path)
+    return chunks.read_series_csv(spark, path)
+
+
+def read_two_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """All events as Parquet with the two columns of a stored chunk, read back."""
+    path = scratch_dir(spark, "columns")
+    inputs.samples(spark, sf).select("index", F.col("value").alias("values")).write.parquet(path)
+    return read_parquet_chunks(spark, path)
+
+
+def explode_sample_pages(spark: SparkSession, sf: str) -> DataFrame:
+    pages = inputs.sample_pages(spark, sf)
+    parsed = pages.select("series_id", F.from_json("page", PAGE_JSON).alias("page"))
+    return explode_pages(parsed.select("series_id", "page.value"), keep=["series_id"])
+
+
 # -- sinks and lifecycle ---------------------------------------------------
 
 
+def export_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly maxima exported with a header and read back."""
+    path = scratch_dir(spark, "export")
+    export(agg.aggregate(inputs.samples(spark, sf), START, END, "1h", "max"), path, "csv", header=True)
+    schema = "series_id string, index bigint, value double"
+    return spark.read.schema(schema).csv(path, header=True)
+
+
+def create_empty_series(spark: SparkSession, sf: str) -> DataFrame:
+    """A series per supplier added to one per customer."""
+    known = inputs.series(spark, sf).select(
+        "series_id", F.array("alias").alias("aliases"), F.lit(None).cast("timestamp").alias("created")
+    )
+    suppliers = inputs.table(spark, sf, "supplier")
+    new = suppliers.select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("series_id"))
+    created = ingest.create_empty(known, new)
+    return created.select("series_id", F.size("aliases").alias("n_aliases"))
+
+
 def format_chunk_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = format_lines(inputs.mixed_samples(spark, sf).withColumn("day", day_of("index")))
     return lines.select("series_id", "day", "line")
@@ -132,8 +195,8 @@ def ready_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def get_range(spark: SparkSession, sf: str) -> DataFrame:
-    return read.get(
-        inputs.uploads(spark, sf), None, "2024-01-08", "2024-01-15", kind="numeric"
+    return with_place(
+        read.get(inputs.uploads(spark, sf), None, "2024-01-08", "2024-01-15", kind="numeric")
     )
 
 
@@ -178,9 +241,24 @@ def overlay_contested(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def combine_first_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The three uploads, newest first, two frames at a time."""
     uploads = inputs.uploads(spark, sf)
-    older = uploads.filter(F.col("file_seq") == 0).select(*POINT)
-    newer = uploads.filter(F.col("file_seq") == 1).select(*POINT)
+    first, second, third = (uploads.filter(F.col("file_seq") == n).select(*POINT) for n in range(3))
+    return overlay.combine_first(third, overlay.combine_first(second, first))
+
+
+def combine_first_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts, corrected by texts for errors, by numbers for views, by nothing for others."""
+    older = inputs.text_samples(spark, sf)
+    kind = F.col("value_text")
+    newer = inputs.samples(spark, sf).alias("s").join(
+        older.drop("value"), ["series_id", "index"]
+    ).select(
+        "series_id",
+        "index",
+        F.when(kind == "view", F.col("value")).alias("value"),
+        F.when(kind == "error", F.upper(kind)).alias("value_text"),
+    )
     return overlay.combine_first(newer, older)
 
 
@@ -189,8 +267,9 @@ def upload_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chunks_by_day(spark: SparkSession, sf: str) -> DataFrame:
-    manifest = ingest.manifest_of(inputs.uploads(spark, sf)).withColumn("chunk_seq", F.lit(0))
-    return ingest.chunks_by_day(manifest).select("series_id", "day", "file_seq", "file_id")
+    flat = flatten_manifest(inputs.listing(spark, sf), keep=["series_id"])
+    ordered = with_place(ingest.chunks_by_day(flat))
+    return ordered.select("series_id", "day", "file_seq", "chunk_seq", "file_id", "place")
 
 
 def concat_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,7 +288,8 @@ def incremental_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 def pivot_series(spark: SparkSession, sf: str) -> DataFrame:
     hourly = agg.aggregate(inputs.samples_by_type(spark, sf), START, END, "1h", "max")
-    return reshape.to_wide(hourly, ["click", "error", "purchase", "signup", "view"])
+    names = inputs.table(spark, sf, "events").select("event_type").distinct().orderBy("event_type")
+    return reshape.to_wide(hourly, [row.event_type for row in names.collect()])
 
 
 def unpivot_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,6 +327,12 @@ def agg_hot_series(spark: SparkSession, sf: str) -> DataFrame:
     return agg.aggregate(lines, "1995-01-01", "2002-01-01", "24h", "mean")
 
 
+def agg_hot_uploads(spark: SparkSession, sf: str) -> DataFrame:
+    """One year-long bin after another of three hot series, from overlapping uploads."""
+    lines = inputs.line_uploads(spark, sf)
+    return rounded(agg.aggregate(lines, "1995-01-01", "2002-01-01", "8760h", "mean"))
+
+
 def agg_tick(spark: SparkSession, sf: str) -> DataFrame:
     lines = inputs.line_samples(spark, sf)
     return agg.aggregate(lines, "01/01/1995", "01/01/2002", "tick", "max")
@@ -275,18 +361,8 @@ def agg_gaps(spark: SparkSession, sf: str) -> DataFrame:
 def agg_period_units(spark: SparkSession, sf: str) -> DataFrame:
     rows = inputs.samples(spark, sf)
     units = ["6h", "90m", "45s", "500ms", "250microseconds", "tick"]
-
-    def summary(period: str) -> DataFrame:
-        bins = agg.aggregate(rows, START, END, period, "max")
-        return bins.agg(
-            F.lit(period).alias("period"),
-            F.count(F.lit(1)).alias("n_bins"),
-            F.min("index").alias("first_bin"),
-            F.max("index").alias("last_bin"),
-            F.round(F.sum("value"), 2).alias("sum_max"),
-        )
-
-    return reduce(DataFrame.unionByName, [summary(u) for u in units])
+    bins = [agg.aggregate(rows, START, END, u, "max").withColumn("period", F.lit(u)) for u in units]
+    return reduce(DataFrame.unionByName, bins)
 
 
 def resample_1h_std(spark: SparkSession, sf: str) -> DataFrame:
@@ -331,6 +407,13 @@ def metadata_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def metadata_ids_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """Names that are equal but for where the namespace ends have ids of their own."""
+    entries = md.metadata_set(inputs.metadata(spark, sf), inputs.split_names(spark, sf))
+    shared = entries.groupBy("metadata_id").agg(F.count("*").alias("n_names"))
+    return entries.join(shared, "metadata_id").select("namespace", "key", "n_names")
+
+
 def link_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return md.link_metadata(inputs.links(spark, sf), inputs.segment_links(spark, sf))
 
@@ -398,6 +481,10 @@ def search_value(spark: SparkSession, sf: str) -> DataFrame:
     return _search(spark, sf, "customer.machinery", "Customer#", "nation", "NATION*2")
 
 
+def search_value_parts(spark: SparkSession, sf: str) -> DataFrame:
+    return _search(spark, sf, "customer.machinery", "Customer#", "nation", "N*ION*1*")
+
+
 def series_info(spark: SparkSession, sf: str) -> DataFrame:
     extents = agg.fill_extents(
         inputs.series(spark, sf), agg.sample_extents(inputs.samples(spark, sf))
@@ -428,6 +515,12 @@ QUERIES = {
         index_from_timestamp,
         index_to_timestamp,
         stored_round_trip,
+        chunk_files_round_trip,
+        read_series_csv,
+        read_two_columns,
+        explode_sample_pages,
+        export_csv,
+        create_empty_series,
         format_chunk_lines,
         ingest_receipt,
         append_overwrite,
@@ -444,6 +537,7 @@ QUERIES = {
         overlay_mixed,
         overlay_contested,
         combine_first_join,
+        combine_first_text,
         upload_manifest,
         chunks_by_day,
         concat_days,
@@ -456,6 +550,7 @@ QUERIES = {
         agg_std,
         agg_overlaid_mean,
         agg_hot_series,
+        agg_hot_uploads,
         agg_tick,
         agg_dense,
         agg_gaps,
@@ -465,6 +560,7 @@ QUERIES = {
         series_extent,
         metadata_upsert,
         metadata_conflicts,
+        metadata_ids_distinct,
         link_metadata,
         unlink_metadata,
         metadata_by_id,
@@ -477,6 +573,7 @@ QUERIES = {
         search_ns_key,
         search_ns_key_name,
         search_value,
+        search_value_parts,
         series_info,
         stream_queue,
     ]

@@ -28,8 +28,10 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone; an index is always counted in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """``spark``, if its time zone is UTC: an index is always counted in UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00"):
+        raise ValueError(f"the session's time zone is {zone}: set spark.sql.session.timeZone to UTC")
     return spark
 
 
@@ -41,26 +43,41 @@ def shared_dir(spark: SparkSession) -> str | None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, empty folder under the shared one.
 
-    A machine-local folder is used only on a local master that names none.
+    Where the session names none, a local master gets one of this machine for as
+    long as the application runs; a cluster must name one.
     """
     base = shared_dir(spark)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tidemark-")
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.TemporaryDirectory(prefix="tidemark-")
+        base = _own[app].name
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once when the cluster names a checkpoint folder.
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder in whatever file system its address names, unless it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
-    Used for small intermediate results that are read more than once. Without
-    such a folder the plan is returned as it is and simply runs again.
+
+_own: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """``df`` computed once: written to the scratch folder and read back.
+
+    For intermediate results that are read more than once. What is written
+    survives lost executors, and its size is known to the planner.
     """
     spark = df.sparkSession
-    base = shared_dir(spark)
-    if base is None:
-        return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return df.checkpoint(eager=True)
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files a settled frame is read from."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

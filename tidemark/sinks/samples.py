@@ -13,19 +13,21 @@ ORDER = ["day", "series_id", "index"]
 def by_day(
     df: DataFrame, partitions: int | None = None, folders: tuple[str, ...] = ("day",)
 ) -> DataFrame:
-    """Rows ranged and sorted by folder, day, series and index.
+    """Rows dealt by folder, day and series, and sorted by index.
 
     Files then hold narrow spans of ids and indices, which Parquet statistics
-    can skip, and a hot series or day is split by index over as many tasks as
-    its size asks for. With the folders first, the writer sorts no more.
+    can skip. The deal is rebalanced by adaptive execution: small days and
+    series share a task, a large one is cut into as many tasks as its size asks
+    for. With the folders first, the writer sorts no more.
     """
     keyed = df if "day" in df.columns else df.withColumn("day", day_of("index"))
     keys = [*folders, *[k for k in ORDER if k in keyed.columns and k not in folders]]
+    deal = [F.col(k) for k in keys if k != "index"]
     if partitions is None:
-        ranged = keyed.repartitionByRange(*keys)
+        dealt = keyed.hint("rebalance", *deal)
     else:
-        ranged = keyed.repartitionByRange(partitions, *keys)
-    return ranged.sortWithinPartitions(*keys)
+        dealt = keyed.hint("rebalance", partitions, *deal)
+    return dealt.sortWithinPartitions(*keys)
 
 
 def write_samples(
@@ -56,11 +58,16 @@ def write_chunks(
     df: DataFrame,
     path: str,
     *,
-    folders: tuple[str, ...] = ("day",),
+    folders: tuple[str, ...] = ("series_id", "day"),
     mode: str = "append",
     partitions: int | None = None,
 ) -> None:
-    """Chunk files, headerless text in index order, one folder per day."""
+    """Chunk files, headerless text in index order, one folder per series and day.
+
+    A line holds index and value alone, so a series id must be a folder.
+    """
+    if "series_id" in df.columns and "series_id" not in folders:
+        raise ValueError("the folders must name the series: a line of a chunk file does not")
     lines = format_lines(by_day(df, partitions, folders)).select(*folders, "line")
     lines.write.mode(mode).partitionBy(*folders).text(path)
 

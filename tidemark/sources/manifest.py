@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.timeaxis import day_of
 from tidemark.operators.joins import lookup_join
 from tidemark.schema import MANIFEST_JSON, SAMPLES_RAW
+from tidemark.session import settle
 from tidemark.sources.chunks import infer_value_type, parse_index, read_chunks
 
 
@@ -45,11 +46,17 @@ def read_manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def _below(base: str) -> Column:
-    """Path of a file relative to ``base``, without escapes."""
-    folder = base.rstrip("/").split(":", 1)[-1].replace("//", "/")
-    plain = F.url_decode(F.regexp_replace("chunk", r"\+", "%2B"))
-    return F.substring_index(plain, f"{folder}/", -1)
+def _absolute(spark: SparkSession, base: str) -> str:
+    """``base`` as a full address without a slash at the end."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    return str(path.getFileSystem(conf).makeQualified(path).toString()).rstrip("/")
+
+
+def _address(path: str | Column) -> Column:
+    """A file's full address in one spelling: no escapes, one slash after ``file:``."""
+    plain = F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
 
 
 def read_listed(spark: SparkSession, manifest: DataFrame, base: str) -> DataFrame:
@@ -57,15 +64,27 @@ def read_listed(spark: SparkSession, manifest: DataFrame, base: str) -> DataFram
 
     ``manifest`` has one row per chunk with ``series_id``, ``file_seq``,
     ``file_id`` and ``path``, relative to ``base``. Only the listed files are
-    opened; their names go through the driver, as those of any file scan do.
+    opened, each once, however many uploads list it; their names go through the
+    driver, as those of any file scan do. A listed file that is not there, or a
+    file read that no row lists, stops the job.
     """
-    paths = [f"{base.rstrip('/')}/{row.path}" for row in manifest.select("path").collect()]
+    root = _absolute(spark, base)
+    listed = settle(manifest.select("path", "series_id", "file_seq", "file_id"))
+    names = listed.select("path").distinct().toLocalIterator()
+    paths = [f"{root}/{row.path.lstrip('/')}" for row in names]
     if not paths:
         return spark.createDataFrame([], SAMPLES_RAW)
     typed = infer_value_type(parse_index(read_chunks(spark, paths)), ["chunk"])
+    # The names of the listing are plain, those of the scan are escaped.
+    address = F.concat(F.lit(f"{root}/"), F.regexp_replace("path", "^/+", ""))
+    uploads = listed.withColumn("_address", F.regexp_replace(address, "^file:/+", "file:/"))
     placed = lookup_join(
-        typed.withColumn("path", _below(base)),
-        manifest.select("path", "series_id", "file_seq", "file_id"),
-        ["path"],
+        typed.withColumn("_address", _address("chunk")), uploads.drop("path"), ["_address"], "left"
+    )
+    unlisted = F.raise_error(F.concat(F.lit("not in the listing: "), F.col("_address")))
+    owner = F.coalesce("series_id", unlisted.cast("string"))
+    return (
+        placed.withColumn("series_id", owner)
+        .withColumn("day", day_of("index"))
+        .select(*SAMPLES_RAW.fieldNames())
     )
-    return placed.withColumn("day", day_of("index")).select(*SAMPLES_RAW.fieldNames())

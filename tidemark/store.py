@@ -1,9 +1,12 @@
 """A collection of series and metadata in one folder.
 
-Samples and upload listings are only ever added to. Series, metadata and links
+Samples and upload listings are only ever added to. An upload counts once its
+listing is written, which is the last thing to happen: samples of an upload that
+broke off are in no listing and are never read. Series, metadata and links
 are logs: a change appends a row with a higher version, and the newest version
 of a key counts. Nothing is rewritten in place, so a reader never meets a
-half-written table. One writer at a time is assumed.
+half-written table; :meth:`SeriesStore.compact` rewrites the logs into a new
+folder. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -17,14 +20,15 @@ from pyspark.sql import types as T
 
 from tidemark.functions.timeaxis import long_lit
 from tidemark.operators import aggregate as agg
-from tidemark.operators import ingest
+from tidemark.operators import ingest, read
 from tidemark.operators import metadata as md
-from tidemark.operators import read
+from tidemark.operators.ingest import next_file_seq
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.overlay import contested_days
 from tidemark.operators.validate import index_faults
-from tidemark.schema import LINKS, MANIFEST, METADATA, SAMPLES_RAW, SERIES
-from tidemark.session import use_utc
-from tidemark.sinks.samples import write_chunks, write_samples
+from tidemark.schema import EMPTY_FIRST, EMPTY_LAST, LINKS, MANIFEST, METADATA, SAMPLES_RAW, SERIES
+from tidemark.session import make_folder, settle, use_utc
+from tidemark.sinks.samples import write_samples
 from tidemark.sources.samples import from_pandas, from_series
 from tidemark.streaming.ingest import (
     prepare,
@@ -47,6 +51,7 @@ class SeriesStore:
         for name, schema in self._logs.items():
             # Does nothing if the folder is there already.
             spark.createDataFrame([], schema).write.mode("ignore").parquet(self._path(name))
+        make_folder(spark, self._path("queue"))
         prepare(spark, self._path("ingest"))
 
     # -- tables ------------------------------------------------------------
@@ -54,6 +59,7 @@ class SeriesStore:
     _logs = {
         "samples": SAMPLES_RAW,
         "manifest": MANIFEST,
+        "queued": MANIFEST,
         "series": T.StructType([*SERIES.fields, *_VERSION]),
         "metadata": T.StructType([*METADATA.fields, *_VERSION]),
         "links": T.StructType([*LINKS.fields, *_VERSION]),
@@ -62,6 +68,12 @@ class SeriesStore:
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _known_samples(self, listing: DataFrame) -> DataFrame:
+        """Samples before overlay, direct uploads and the queue's, of listed uploads."""
+        queued = read_ingested(self.spark, self._path("ingest"))
+        uploads = listing.select("file_id").distinct()
+        return lookup_join(self._read("samples").unionByName(queued), uploads, ["file_id"], "left_semi")
+
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.schema(self._logs[name]).parquet(self._path(name))
 
@@ -86,9 +98,8 @@ class SeriesStore:
 
     @property
     def samples(self) -> DataFrame:
-        """All uploaded samples, before overlay: direct uploads and the queue's."""
-        queued = read_ingested(self.spark, self._path("ingest"))
-        return self._read("samples").unionByName(queued)
+        """All uploaded samples, before overlay."""
+        return self._known_samples(self.manifest)
 
     @property
     def manifest(self) -> DataFrame:
@@ -101,7 +112,7 @@ class SeriesStore:
 
     @property
     def metadata(self) -> DataFrame:
-        return self._current("metadata", ["metadata_id"])
+        return self._current("metadata", ["namespace", "key"])
 
     @property
     def links(self) -> DataFrame:
@@ -109,67 +120,143 @@ class SeriesStore:
 
     # -- series ------------------------------------------------------------
 
-    def _as_rows(self, data) -> DataFrame:
+    def _as_rows(self, data, *more: str) -> DataFrame:
         """``pos, index, value`` of a pandas Series or of a frame with them."""
         if not isinstance(data, DataFrame):
             data = from_pandas(self.spark, data)
-        missing = {"pos", "index", "value"} - set(data.columns)
+        missing = {"pos", "index", "value", *more} - set(data.columns)
         if missing:
-            raise ValueError(f"a series needs the columns pos, index and value, not found: {missing}")
+            raise ValueError(f"a series needs pos, index and value; missing: {sorted(missing)}")
         return data
 
     def _check(self, rows: DataFrame) -> None:
-        faults = index_faults(rows.withColumn("file", F.lit(0)), ["file"], ["pos"]).first()
-        if faults is not None and faults.n_unreadable:
-            raise ValueError("index values must not be missing")
-        if faults is not None and faults.n_back:
-            raise ValueError("index not sorted: sort the series on its index first")
-        if faults is not None and faults.n_repeat:
-            raise ValueError("index values must be unique")
-
-    def _upload(self, data, series_id: str, wait: bool) -> dict:
-        rows = self._as_rows(data)
+        """Every series of an upload must be sorted and unique on its index."""
+        faults = index_faults(rows, ["series_id"], ["pos"]).agg(
+            *[F.sum(n).alias(n) for n in ("n_unreadable", "n_back", "n_repeat")]
+        ).first()
+        if faults.n_unreadable:
+            raise ValueError("every sample must have an index")
+        if faults.n_back:
+            raise ValueError("the index steps back: sort the samples by it first")
+        if faults.n_repeat:
+            raise ValueError("an index occurs more than once")
+
+    def _upload(self, rows: DataFrame, series_id, wait: bool) -> str:
+        """Check and write samples of one or many series; returns the upload's id.
+
+        The listing is written last; an upload that waits for the queue is
+        listed as queued, with the number it got when it came.
+        """
         samples = from_series(rows, "index", "value", series_id, keep=["pos"])
         self._check(samples)
-        if not wait:
-            folder = self._path("queue")
-            write_chunks(samples.drop("pos"), folder, folders=("series_id",))
-            return {"TimeSeriesId": series_id, "State": "Queued"}
-        file_id, file_seq = str(uuid.uuid4()), time.time_ns()
+        listed = next_file_seq(self.manifest.unionByName(self._read("queued")))
+        file_id, file_seq = str(uuid.uuid4()), max(time.time_ns(), listed)
         upload = ingest.as_upload(samples, file_seq, file_id)
         write_samples(upload, self._path("samples"))
-        ingest.manifest_of(upload).write.mode("append").parquet(self._path("manifest"))
+        listing = self._path("manifest" if wait else "queued")
+        ingest.manifest_of(upload).write.mode("append").parquet(listing)
+        return file_id
+
+    def _receipt(self, file_id: str, series_id: str, wait: bool) -> dict:
+        if not wait:
+            return {"FileId": file_id, "TimeSeriesId": series_id, "State": "Queued"}
         extent = self._extents().filter(F.col("series_id") == series_id).first()
         return {
             "FileId": file_id,
             "TimeSeriesId": series_id,
-            "TimeOfFirstSample": extent.first_index if extent else 0,
-            "TimeOfLastSample": extent.last_index if extent else -1,
+            "TimeOfFirstSample": extent.first_index if extent else EMPTY_FIRST,
+            "TimeOfLastSample": extent.last_index if extent else EMPTY_LAST,
         }
 
-    def create(self, data=None, *, wait_on_verification: bool = True) -> dict:
+    def _require_series(self, series_id: str) -> None:
+        if self.series.filter(F.col("series_id") == series_id).isEmpty():
+            raise ValueError(f"there is no series {series_id}")
+
+    def create(self, data=None, *, wait_on_verification: bool = True, aliases=()) -> dict:
         """New series, empty or with its first samples; returns the receipt."""
         series_id = str(uuid.uuid4())
-        receipt = {"TimeSeriesId": series_id, "TimeOfFirstSample": 0, "TimeOfLastSample": -1}
+        receipt = {
+            "TimeSeriesId": series_id,
+            "TimeOfFirstSample": EMPTY_FIRST,
+            "TimeOfLastSample": EMPTY_LAST,
+        }
         if data is not None:
-            receipt = self._upload(data, series_id, wait_on_verification)
-        none = self.spark.createDataFrame([], SERIES)
-        self._log("series", ingest.create_empty(none, [series_id]))
+            file_id = self._upload(self._as_rows(data), series_id, wait_on_verification)
+            receipt = self._receipt(file_id, series_id, wait_on_verification)
+        new = ingest.create_empty(self.spark.createDataFrame([], SERIES), [series_id])
+        names = F.array(*map(F.lit, aliases)).cast("array<string>")
+        self._log("series", new.withColumn("aliases", names))
         return receipt
 
     def append(self, data, series_id: str, *, wait_on_verification: bool = True) -> dict:
         """More samples for a series; where indices overlap the new ones win."""
-        if self.series.filter(F.col("series_id") == series_id).isEmpty():
-            raise ValueError(f"there is no series {series_id}")
-        return self._upload(data, series_id, wait_on_verification)
+        self._require_series(series_id)
+        file_id = self._upload(self._as_rows(data), series_id, wait_on_verification)
+        return self._receipt(file_id, series_id, wait_on_verification)
+
+    def create_many(self, data: DataFrame, name: str = "name") -> DataFrame:
+        """A new series per value of column ``name``, which becomes its alias.
+
+        ``data`` has ``name, pos, index, value``; all of it is one upload.
+        Returns ``name, series_id``.
+        """
+        rows = self._as_rows(data, name)
+        ids = settle(rows.select(name).distinct().withColumn("series_id", F.uuid()), "new-series")
+        keyed = lookup_join(rows, ids, [name])
+        self._upload(keyed, F.col("series_id"), True)
+        new = ids.select(
+            "series_id", F.array(F.col(name).cast("string")).alias("aliases"), F.current_timestamp().alias("created")
+        )
+        self._log("series", new)
+        return ids.select(name, "series_id")
+
+    def append_many(self, data: DataFrame) -> str:
+        """One upload of samples for many series: ``series_id, pos, index, value``."""
+        rows = self._as_rows(data, "series_id")
+        unknown = rows.select("series_id").distinct().join(self.series, "series_id", "left_anti").first()
+        if unknown is not None:
+            raise ValueError(f"there is no series {unknown.series_id}")
+        return self._upload(rows, F.col("series_id"), True)
+
+    def set_aliases(self, series_id: str, *aliases: str) -> None:
+        """Other names of a series; they replace the ones it had."""
+        self._require_series(series_id)
+        one = self.series.filter(F.col("series_id") == series_id)
+        names = F.array(*map(F.lit, aliases)).cast("array<string>")
+        self._log("series", settle(one.withColumn("aliases", names), "aliases"))
 
     def process_queue(self) -> DataFrame:
-        """Take in what was queued; returns the receipts of all files so far."""
-        out = self._path("ingest")
+        """Take in what was queued: uploads that did not wait, which are listed
+        now, and chunk files put into the folder ``queue``. Returns the receipts
+        of all files so far."""
+        out, manifest = self._path("ingest"), self._read("manifest")
+        queued = self._read("queued")
+        new = settle(queued.join(manifest.select("file_id").distinct(), "file_id", "left_anti"), "queued")
+        new.select(*MANIFEST.fieldNames()).write.mode("append").parquet(self._path("manifest"))
         stream_ingest(
-            self.spark, self._path("queue"), out, self._path("ingest_state"), once=True
+            self.spark,
+            self._path("queue"),
+            out,
+            self._path("ingest_state"),
+            once=True,
+            above=next_file_seq(self._read("manifest")) - 1,
         ).awaitTermination()
-        return read_receipts(self.spark, out)
+        none = self.spark.createDataFrame([], "series_id string, file_id string, state string")
+        return read_receipts(self.spark, out).unionByName(ingest.receipts_of(queued, none))
+
+    def compact(self, root: str) -> SeriesStore:
+        """The same collection in a new folder, with what no longer counts left
+        out: superseded log rows, deleted series, their samples and uploads that
+        broke off. Samples are not overlaid, so listings stay true."""
+        new = SeriesStore(self.spark, root, user=self.user)
+        alive = settle(self.series.select("series_id"), "alive")
+        manifest = settle(lookup_join(self.manifest, alive, ["series_id"], "left_semi"), "manifest")
+        samples = lookup_join(self._known_samples(manifest), alive, ["series_id"], "left_semi")
+        write_samples(samples, new._path("samples"))
+        for name, rows in (("series", self.series), ("metadata", self.metadata), ("links", self.links)):
+            new._log(name, rows)
+        manifest.write.mode("append").parquet(new._path("manifest"))
+        return new
 
     def delete(self, series_id: str) -> None:
         """Remove a series and its links. An unknown id changes nothing."""
@@ -188,36 +275,43 @@ class SeriesStore:
             return None if ever.isEmpty() else self.series.select("series_id")
         current = self.series.select("series_id")
         if isinstance(series, str):
-            found = current.filter(F.col("series_id") == series)
-            # A plain id reaches the file scan as a filter; no id reads nothing.
-            return found if found.isEmpty() else series
+            # A plain id reaches the file scan as a filter.
+            self._require_series(series)
+            return series
         if isinstance(series, DataFrame):
             return current.join(series.select("series_id"), "series_id", "left_semi")
         return current.filter(F.col("series_id").isin(list(series)))
 
-    def _kind(self, series) -> str:
-        """``numeric``, ``text`` or ``both``, from the listing alone."""
-        kinds = read.of_series(self.manifest, series).select("kind").distinct().collect()
+    def _kind(self, listing: DataFrame) -> str:
+        """``numeric``, ``text`` or ``both``: what has to be read."""
+        kinds = listing.select("kind").distinct().collect()
         names = {row.kind for row in kinds}
         return names.pop() if len(names) == 1 else "both"
 
-    def _contested(self, series) -> DataFrame:
-        return contested_days(read.of_series(self.manifest, series))
+    def _listing(self, series) -> DataFrame:
+        """What was uploaded of these series, worked out once for a whole call."""
+        return settle(read.of_series(self.manifest, series), "listing")
 
     def get(
         self, series_id, start=None, end=None, *, convert_date: bool = True, raise_empty: bool = False
     ) -> DataFrame:
-        """Samples of one, several or (None) all series in ``[start, end)``."""
+        """Samples of one, several or (None) all series in ``[start, end)``.
+
+        The columns are always ``series_id, index, value, value_text``, and
+        ``time`` if wanted. An unknown id is an error, alone; in a list or frame it has no rows.
+        """
         known = self._known(series_id)
+        listing = self._listing(known)
         return read.get(
-            self.samples,
+            self._known_samples(listing),
             known,
             start,
             end,
-            kind=self._kind(known),
-            contested=self._contested(known),
+            kind=self._kind(listing),
+            contested=contested_days(listing),
             convert_date=convert_date,
             raise_empty=raise_empty,
+            all_values=True,
         )
 
     def get_samples_aggregate(
@@ -232,18 +326,19 @@ class SeriesStore:
     ) -> DataFrame:
         """One value per series and period in ``[start, end)``."""
         known = self._known(series_id)
-        kind = self._kind(known)
+        listing = self._listing(known)
+        kind = self._kind(listing)
         if aggregation_function and kind == "text":
-            raise ValueError("a text series cannot be aggregated")
+            raise ValueError("these series hold text, which has no aggregates")
         return agg.aggregate(
-            self.samples,
+            self._known_samples(listing),
             start,
             end,
             aggregation_period,
             aggregation_function,
             include_empty=include_empty_aggregations,
             series=known,
-            contested=self._contested(known),
+            contested=contested_days(listing),
             check_text=kind != "numeric",
         )
 
@@ -262,6 +357,7 @@ class SeriesStore:
 
     def info(self, series_id: str) -> DataFrame:
         """Extent, aliases and metadata of a series, one row per entry."""
+        self._require_series(series_id)
         one = self._all_extents().filter(F.col("series_id") == series_id)
         return md.series_info(
             one, self.links.filter(F.col("series_id") == series_id), self.metadata
@@ -300,8 +396,11 @@ class SeriesStore:
         **namevalues,
     ) -> DataFrame:
         """Link a series to an entry, made first unless its id is given."""
-        md.check_set_arguments(metadata_id, namespace, key)
-        if not metadata_id:
+        self._require_series(series_id)
+        if md.names_an_entry(metadata_id, namespace, key):
+            if self.metadata.filter(F.col("metadata_id") == metadata_id).isEmpty():
+                raise ValueError(f"there is no metadata entry {metadata_id}")
+        else:
             metadata_id = self._put_entry(namespace, key, overwrite, namevalues)
         self._log("links", self._link(series_id, metadata_id))
         return self.info(series_id)

@@ -1,7 +1,8 @@
 """Queued uploads as a stream of chunk files.
 
-An upload is a text file ``<queue>/series_id=<id>/<file_id>.<ext>`` that
-appears in the queue whole. Every file is judged by itself; a failed file is
+An upload is a text file ``<queue>/series_id=<id>/<file_id>`` that appears in
+the queue whole; its full name is its id, and a name that was accepted before is
+the same upload delivered again. Every file is judged by itself; a failed file is
 put aside and none of its rows count. No state is kept across batches: a late
 file is simply a newer upload, and overlap is resolved when data is read.
 """
@@ -35,7 +36,7 @@ def stream_chunks(spark: SparkSession, queue: str, max_files: int = 1_000) -> Da
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     lines = raw.select(
         "series_id",
-        F.regexp_replace(name, r"\.[^.]*$", "").alias("file_id"),
+        F.url_decode(F.regexp_replace(name, r"\+", "%2B")).alias("file_id"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.col("value").alias("line"),
@@ -81,13 +82,14 @@ def judge_files(lines: DataFrame) -> DataFrame:
     return file_verdicts(lines, FILE, ARRIVAL).join(kinds, FILE)
 
 
-def ingest_batch(rows: DataFrame, batch_id: int, out: str) -> None:
+def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> None:
     """Judge the files of one batch; store the good ones, put the others aside.
 
     What is known about a file is one row, and a batch has at most
     ``max_files`` of them: that table is broadcast. Every batch owns its
     folders and replaces them, so a batch that is run again after a failure
-    leaves the same result.
+    leaves the same result. Files are numbered above all earlier batches and
+    above ``above``, the last number given elsewhere.
     """
     spark = rows.sparkSession
     numbered_lines = rows.withColumn("line_no", F.monotonically_increasing_id())
@@ -101,7 +103,7 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str) -> None:
         known = known_files(spark, out, batch_id)
         repeated = known.join(F.broadcast(judged.select(*FILE)), FILE, "left_semi")
         fresh = settle(judged.join(F.broadcast(repeated), FILE, "left_anti"))
-        numbers = number_files(fresh, last_file_seq(spark, out, batch_id))
+        numbers = number_files(fresh, max(above, last_file_seq(spark, out, batch_id)))
         files = fresh.drop("modified").join(F.broadcast(numbers), FILE)
         marked = lines.join(F.broadcast(files), FILE)
         ready = type_values(marked.filter(F.col("state") == READY))
@@ -139,13 +141,18 @@ def stream_ingest(
     *,
     max_files: int = 1_000,
     once: bool = False,
+    above: int = -1,
 ) -> StreamingQuery:
-    """Start taking in the queue. ``once`` stops after what is there now."""
+    """Start taking in the queue. ``once`` stops after what is there now.
+
+    ``max_files`` is the size of a batch: what is known about a batch's files,
+    one row each, is broadcast and numbered by one task.
+    """
     prepare(spark, out)
     writer = (
         stream_chunks(spark, queue, max_files)
         .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda rows, batch_id: ingest_batch(rows, batch_id, out))
+        .foreachBatch(lambda rows, batch_id: ingest_batch(rows, batch_id, out, above))
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
 
