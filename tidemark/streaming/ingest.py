@@ -9,22 +9,24 @@ file is simply a newer upload, and overlap is resolved when data is read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.timeaxis import day_of, long_lit
+from tidemark.functions.timeaxis import day_of
 from tidemark.functions.tokens import is_numeric
 from tidemark.operators.ingest import manifest_of, next_file_seq, receipts_of
 from tidemark.operators.validate import FAILED, READY, file_verdicts
 from tidemark.schema import MANIFEST, RECEIPTS, SAMPLES_RAW
-from tidemark.session import settle
 from tidemark.sinks.samples import by_day
 from tidemark.sources.chunks import ARRIVAL, parse_index, split_lines, type_values
 
 FILE = ["series_id", "file_id"]
 
+_NAMES = "series_id string, file_id string"
+_FILES = f"{_NAMES}, state string, is_text boolean, file_seq bigint"
+
 _QUEUE = T.StructType(
     [T.StructField("value", T.StringType()), T.StructField("series_id", T.StringType())]
 )
@@ -44,15 +46,16 @@ def stream_chunks(spark: SparkSession, queue: str, max_files: int = 1_000) -> Da
     return split_lines(lines)
 
 
-def number_files(files: DataFrame, above: int) -> DataFrame:
-    """``file_seq`` from the time a file arrived, and above all earlier ones.
+def number_files(files: list[tuple], above: int) -> dict[tuple, int]:
+    """``file_seq`` by file from the time it arrived, and above all earlier ones.
 
-    Files of one batch are ordered by time and name; there are at most
-    ``max_files`` of them, so one task can do it.
+    ``files`` has ``(series_id, file_id, microseconds)``; files of one batch are
+    ordered by time and name.
     """
-    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("modified", *FILE))
-    base = F.greatest(F.unix_millis("modified") * 1_000_000, long_lit(above))
-    return files.select(*FILE, (base + rank).alias("file_seq"))
+    out = {}
+    for rank, (series_id, file_id, arrived) in enumerate(sorted(files, key=lambda f: (f[2], f[0], f[1])), 1):
+        out[series_id, file_id] = max(arrived // 1000 * 1_000_000, above) + rank
+    return out
 
 
 def _read(spark: SparkSession, out: str, name: str, schema: T.StructType) -> DataFrame:
@@ -86,7 +89,8 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> N
     """Judge the files of one batch; store the good ones, put the others aside.
 
     What is known about a file is one row, and a batch has at most
-    ``max_files`` of them: that table is broadcast. Every batch owns its
+    ``max_files`` of them: these rows go through the driver and back as a
+    broadcast, whatever the files hold. Every batch owns its
     folders and replaces them, so a batch that is run again after a failure
     leaves the same result. Files are numbered above all earlier batches and
     above ``above``, the last number given elsewhere.
@@ -99,12 +103,16 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> N
         return f"{out}/{name}/batch={batch_id}"
 
     try:
-        judged = settle(judge_files(lines))
+        arrived = F.unix_micros("modified").alias("arrived")
+        judged = judge_files(lines).select(*FILE, "state", "is_text", arrived).collect()
+        names = spark.createDataFrame([(r.series_id, r.file_id) for r in judged], _NAMES)
         known = known_files(spark, out, batch_id)
-        repeated = known.join(F.broadcast(judged.select(*FILE)), FILE, "left_semi")
-        fresh = settle(judged.join(F.broadcast(repeated), FILE, "left_anti"))
-        numbers = number_files(fresh, max(above, last_file_seq(spark, out, batch_id)))
-        files = fresh.drop("modified").join(F.broadcast(numbers), FILE)
+        seen = {tuple(r) for r in known.join(F.broadcast(names), FILE, "left_semi").collect()}
+        new = [r for r in judged if (r.series_id, r.file_id) not in seen]
+        last = max(above, last_file_seq(spark, out, batch_id))
+        numbers = number_files([(r.series_id, r.file_id, r.arrived) for r in new], last)
+        rows_of_files = [(*k, r.state, r.is_text, numbers[k]) for r in new for k in [(r.series_id, r.file_id)]]
+        files = spark.createDataFrame(rows_of_files, _FILES)
         marked = lines.join(F.broadcast(files), FILE)
         ready = type_values(marked.filter(F.col("state") == READY))
         stored = ready.withColumn("day", day_of("index")).select(*SAMPLES_RAW.fieldNames())
@@ -114,11 +122,11 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> N
         ).write.mode("overwrite").parquet(folder("failed"))
     finally:
         lines.unpersist()
-    # From here on only what was stored is read.
-    taken = _read(spark, out, "samples", SAMPLES_RAW).filter(F.col("batch") == batch_id)
+    # From here on only what was stored is read, and only this batch's folders.
+    taken = spark.read.schema(SAMPLES_RAW).parquet(folder("samples"))
     manifest_of(taken).write.mode("overwrite").parquet(folder("manifest"))
-    taken = _read(spark, out, "manifest", MANIFEST).filter(F.col("batch") == batch_id)
-    receipts_of(taken, fresh).write.mode("overwrite").parquet(folder("receipts"))
+    taken = spark.read.schema(MANIFEST).parquet(folder("manifest"))
+    receipts_of(taken, files).coalesce(1).write.mode("overwrite").parquet(folder("receipts"))
 
 
 def prepare(spark: SparkSession, out: str) -> None:
