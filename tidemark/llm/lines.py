@@ -61,8 +61,8 @@ def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ["doc_id", "th", "fingerprint", "at", "lines"],
             )
 
-    plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType().add("doc_id", plain.schema["doc_id"].dataType).add("th", "long").add("fingerprint", "long").add("at", "integer").add("lines", T.ArrayType(T.LongType()))
+    plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType().add("doc_id", "long").add("th", "long").add("fingerprint", "long").add("at", "integer").add("lines", T.ArrayType(T.LongType()))
     return plain.mapInArrow(run, schema)
 
 
@@ -70,23 +70,33 @@ def repeated_windows(windows: DataFrame, run_lines: int = RUN_LINES) -> DataFram
     """``doc_id``, ``th`` and ``at`` of every window whose lines stand at an earlier position too.
 
     Positions are ordered by document, then line. Fingerprints with one position
-    are dropped first. Around the others the windows are compared by the hashes
-    of all their lines; the earliest position of each content is an aggregate
-    with partial sums, so a line that a third of all documents hold is no group
-    in one task.
+    are dropped first. Around the others the windows are compared by a 128-bit
+    hash of all their lines; the earliest position of each content is an aggregate
+    with partial results, so a line that a third of all documents hold is no group
+    in one task. Keys, positions and counts have a fixed width and are hashed.
     """
-    twice = windows.groupBy("fingerprint").agg(
-        F.count("*").alias("n"), F.max(F.size("lines")).alias("most")
-    ).where(f"n > 1 or most > {run_lines}").select("fingerprint")
-    around = F.transform(
-        F.sequence(F.lit(0), F.size("lines") - run_lines),
-        lambda i: F.struct((F.col("at") + i).alias("at"), F.slice("lines", i + 1, run_lines).alias("content")),
+    twice = (
+        windows.groupBy("fingerprint")
+        .agg(F.count("*").alias("n"), F.max(F.size("lines")).alias("most"))
+        .where(f"n > 1 or most > {run_lines}")
+        .select("fingerprint")
     )
+
+    def around(i):
+        content = F.slice("lines", i + 1, run_lines)
+        return F.struct((F.col("at") + i).alias("at"), F.xxhash64(content).alias("one"), F.xxhash64(F.lit("two"), content).alias("two"))
+
+    places = F.explode(F.transform(F.sequence(F.lit(0), F.size("lines") - run_lines), around))
     spots = stored(
-        windows.join(twice, "fingerprint").select("doc_id", "th", F.explode(around).alias("w")).select("doc_id", "th", "w.*"), "line-windows"
+        windows.join(stored(twice, "repeated-fingerprints"), "fingerprint").select("doc_id", "th", places.alias("w")).select("doc_id", "th", "w.*"),
+        "line-windows",
     )
-    earliest = spots.groupBy("content").agg(F.min(F.struct("doc_id", "at")).alias("origin"), F.count("*").alias("n")).where("n > 1")
-    return spots.join(earliest, "content").where("doc_id != origin.doc_id or at != origin.at").select("doc_id", "th", "at")
+    # a document's number and a line's in one decimal: the order of both, in a fixed width
+    position = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("at")
+    spots = spots.withColumn("position", position.cast("decimal(38,0)"))
+    earliest = spots.groupBy("one", "two").agg(F.min("position").alias("origin"), F.count("*").alias("n")).where("n > 1").drop("n")
+    found = spots.join(stored(earliest, "repeated-windows"), ["one", "two"])
+    return found.where("position != origin").select("doc_id", "th", "at")
 
 
 def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = RUN_LINES) -> DataFrame:
@@ -100,7 +110,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     windows and stay. Rows that repeat an id with another text are judged as
     one document's texts: their positions are equal, and do not remove each
     other. Rows with a null id or a null or empty text are returned unchanged.
-    Equal lines are told by 64-bit hashes. Columns of ``docs`` with the names of
+    Ids must be whole numbers. Equal lines are told by 64-bit hashes. Columns of ``docs`` with the names of
     the two counts are replaced; all others are kept.
     """
     ship_code(docs.sparkSession)
@@ -110,7 +120,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spots = repeated_windows(windows, run_lines).groupBy("doc_id", "th").agg(F.collect_set("at").alias("_spots"))
     rows = docs.select(*kept, F.xxhash64(text_col).alias("_th"))
     joined = rows.join(
-        spots.withColumnRenamed("doc_id", "_doc").withColumnRenamed("th", "_hash"), (rows[id_col] == F.col("_doc")) & (F.col("_th") == F.col("_hash")), "left"
+        spots.withColumnRenamed("doc_id", "_doc").withColumnRenamed("th", "_hash"), (rows[id_col].cast("long") == F.col("_doc")) & (F.col("_th") == F.col("_hash")), "left"
     ).select(*kept, "_spots")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
