@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import Codec, SuffixAutomaton, decode_documents, encode_documents
+from tidemark.llm.bpe import Codec, SuffixAutomaton, decode_documents, decode_ids, encode_documents
 from tidemark.llm.queries import documents, tokenizer_path
 
 ODD = [
@@ -48,7 +48,7 @@ def test_odd_texts(library, codec):
     plain = [x for x in ODD if not x or "<|" not in x]
     assert ids_of(codec, plain) == [library.encode(x or "", add_special_tokens=False).ids for x in plain]
     assert [codec.encode(x or "") for x in ODD] == want
-    assert [codec.decode(x) for x in want] == [library.decode(x, skip_special_tokens=False) for x in want]
+    assert [decode_ids(codec.names, x) for x in want] == [library.decode(x, skip_special_tokens=False) for x in want]
 
 
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("abcdeinrst'0129.,!<|> \nñéßΣİ日́"), st.characters(codec="utf-8")), max_size=40), max_size=5))
@@ -107,6 +107,9 @@ def test_nulls_repeats_empty_tables_and_clashing_names(spark):
     got = encode_documents(docs, tokenizer_path())
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got.collect()) == [(0, 2), (1, 0), (1, 0), (1, 2), (1, 2)]
     assert encode_documents(docs.limit(0), tokenizer_path()).count() == 0
+    both = encode_documents(docs, tokenizer_path(), decoded=True)
+    again = decode_documents(both, tokenizer_path())
+    assert sorted(r.decoded for r in both.collect()) == sorted(r.decoded for r in again.collect()) == ["", "", "a</w> b</w>", "a</w> b</w>", "a</w> b</w>"]
     odd = spark.createDataFrame([(1, None, "old")], "doc_id long, ids binary, decoded string")
     assert decode_documents(odd, tokenizer_path()).first().decoded is None
 

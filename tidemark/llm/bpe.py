@@ -32,7 +32,7 @@ from tidemark.llm.runtime import ship_code
 from tidemark.llm.textbatch import range_hashes, slices, utf8
 
 #: Words that a worker remembers at least; it holds up to twice as many. The ids are the same without.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 #: Bytes of text encoded at a time; a longer text is taken alone.
 ENCODE_BYTES = 2 << 20
 
@@ -116,7 +116,7 @@ class Codec:
         mark = model["end_of_word_suffix"] or ""
         ids: dict[str, int] = model["vocab"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.names = {i: s for s, i in ids.items()} | {i: s for s, i in self.special.items()}
+        self.names = token_names(model_json)
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # What a letter is depends on a library's version of Unicode. Texts beyond ASCII are
         # split by the library that the ids must agree with; it is not asked for ids.
@@ -128,7 +128,7 @@ class Codec:
         if mark != "</w>" or spec["decoder"] is not None or model["unk_token"] is not None:
             raise ValueError("the model must be byte-level with the word end </w> and no decoder")
 
-        rank = [-1] * (max(self.names) + 1)
+        rank = [-1] * len(self.names)
         left, right, merged = [0] * len(rank), [0] * len(rank), {}
         size = len(rank)
         for r, pair in enumerate(model["merges"]):
@@ -261,7 +261,7 @@ class Codec:
         if len(recent) > CACHE_ENTRIES:
             self._older, self._recent = recent, {}
             recent, older = self._recent, self._older
-        if len(self._pairs) > 4 * CACHE_ENTRIES:
+        if len(self._pairs) > 3 * CACHE_ENTRIES:
             self._pairs.clear()
         simple, mixed = {}, []
         for piece in pieces:
@@ -325,10 +325,6 @@ class Codec:
         out = table[np.repeat(source, each) + np.arange(total[-1])]
         return out, total[np.searchsorted(begin, at)]
 
-    def decode(self, ids: list[int]) -> str:
-        """Names of the tokens with a blank between them."""
-        return " ".join(map(self.names.__getitem__, ids))
-
 
 def _one_word(text: str) -> bool:
     """Whether the text is surely one word of letters, lower-cased as a whole.
@@ -360,15 +356,32 @@ def codec_of(model_json: str) -> Codec:
     return _codecs[key]
 
 
+def token_names(model_json: str) -> list[str]:
+    """The vocabulary by id, special tokens included."""
+    spec = json.loads(model_json)
+    names = {i: s for s, i in spec["model"]["vocab"].items()} | {x["id"]: x["content"] for x in spec["added_tokens"]}
+    if spec["decoder"] is not None:
+        raise ValueError("the model must have no decoder")
+    return [names.get(i, "") for i in range(max(names) + 1)]
+
+
+def decode_ids(names: list[str], ids: list[int]) -> str:
+    """Names of the tokens with a blank between them."""
+    return " ".join([names[i] for i in ids])
+
+
 def broadcast_model(spark: SparkSession, model_path: str):
     ship_code(spark)
     with open(model_path, encoding="utf-8") as file:
         return spark.sparkContext.broadcast(file.read())
 
 
-def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``id_col``, ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit) of every row.
 
+    With ``decoded`` also that column: the ids of each row decoded again, by the
+    same worker, as :func:`decode_documents` would.
+
     Whole texts are encoded as the ``tokenizers`` library does with
     ``add_special_tokens=False``. A null or empty text has no ids; rows with
     null or repeated ids are rows like any other; other columns are not read.
@@ -381,12 +394,16 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
             all_ids, at = codec.encode_column(batch.column("text"))
             raw = all_ids.astype("<u4", copy=False).tobytes()
             ids = [raw[4 * x : 4 * y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            counts = pa.array(np.diff(at), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), counts, pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
+            columns = [batch.column("id"), pa.array(np.diff(at), pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([decode_ids(codec.names, np.frombuffer(x, "<u4").tolist()) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = plain.schema["id"].dataType
     schema = T.StructType().add("id", kind).add("n_tokens", "long").add("ids", "binary")
+    if decoded:
+        schema = schema.add("decoded", "string")
     return plain.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
@@ -400,10 +417,10 @@ def decode_documents(encoded: DataFrame, model_path: str, ids_col: str = "ids")
     kept = [c for c in encoded.columns if c != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(model.value)
-        for batch in batches:
+        names = token_names(model.value)
+        for batch in slices(batches, ids_col, ENCODE_BYTES):
             raw = batch.column(ids_col).to_pylist()
-            texts = [None if x is None else codec.decode(np.frombuffer(x, "<u4").tolist()) for x in raw]
+            texts = [None if x is None else decode_ids(names, np.frombuffer(x, "<u4").tolist()) for x in raw]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(texts, pa.string())], [*kept, "decoded"])
 
     plain = encoded.select(*kept)

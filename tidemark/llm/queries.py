@@ -65,9 +65,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_documents(documents(spark, sf_dir), tokenizer_path())
-    decoded = bpe.decode_documents(encoded, tokenizer_path())
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    coded = bpe.encode_documents(documents(spark, sf_dir), tokenizer_path(), decoded=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

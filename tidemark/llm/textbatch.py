@@ -17,6 +17,9 @@ import pyarrow.compute as pc
 #: Bytes of text that are turned into arrays at a time; a longer text is taken alone.
 SLICE_BYTES = 1 << 20
 
+#: Bytes whose hashes are worked out at a time.
+HASH_BYTES = 1 << 17
+
 _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD6E8FEB86659FD93 | 1
 _powers: dict[int, np.ndarray] = {}
@@ -31,10 +34,10 @@ class Words:
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column, and where each text begins (one more at the end)."""
+    """The bytes of a string or binary column, and where each value begins (one more at the end)."""
     if column.null_count:
-        column = pc.fill_null(column, "")
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+        column = pc.fill_null(column, pa.scalar("").cast(column.type))
+    kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     _, offsets, data = column.buffers()
     if len(column) == 0 or offsets is None:
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
@@ -109,8 +112,20 @@ class Rolling:
 
 
 def range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """One 64-bit number for each range of bytes; equal ranges have equal numbers."""
-    return Rolling(data.astype(np.uint64) + np.uint64(1), _BYTE_BASE).ranges(begin, end)
+    """One 64-bit number for each range of bytes; equal ranges have equal numbers.
+
+    The ranges are in order and do not overlap; some hundred kilobytes are taken
+    at a time, which the caches of a processor hold.
+    """
+    out = np.empty(len(begin), np.uint64)
+    at = 0
+    while at < len(begin):
+        base = begin[at]
+        stop = max(at + 1, int(np.searchsorted(end, base + HASH_BYTES, side="right")))
+        part = Rolling(data[base : end[stop - 1]].astype(np.uint64) + np.uint64(1), _BYTE_BASE)
+        out[at:stop] = part.ranges(begin[at:stop] - base, end[at:stop] - base)
+        at = stop
+    return out
 
 
 def word_hashes(w: Words) -> np.ndarray:
