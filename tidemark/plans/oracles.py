@@ -248,7 +248,7 @@ ORACLES = {
     ),
     "get_range": sql(
         "resolved",
-        f"""SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY "index") AS place
+        f"""SELECT *, (row_number() OVER (PARTITION BY series_id ORDER BY "index"))::INTEGER AS place
             FROM resolved WHERE {WEEK}""",
     ),
     "get_all": sql("resolved", "SELECT * FROM resolved"),
@@ -301,7 +301,8 @@ ORACLES = {
                        AS chunk_seq
             FROM chunks)
         SELECT series_id, day, file_seq, chunk_seq, file_id,
-               row_number() OVER (PARTITION BY series_id ORDER BY day, file_seq, chunk_seq) AS place
+               (row_number() OVER (PARTITION BY series_id ORDER BY day, file_seq, chunk_seq))::INTEGER
+                   AS place
         FROM numbered""",
     "concat_days": sql("samples", "SELECT * FROM samples"),
     "incremental_manifest": sql(
@@ -385,9 +386,9 @@ ORACLES = {
     ),
     "metadata_ids_distinct": sql(
         "metadata",
-        """SELECT namespace, key, 1 AS n_names FROM metadata
-           UNION ALL SELECT c_mktsegment || '/' || c_custkey, 'x', 1 FROM customer
-           UNION ALL SELECT c_mktsegment, c_custkey || '/x', 1 FROM customer""",
+        """SELECT namespace, key, 1::BIGINT AS n_names FROM metadata
+           UNION ALL SELECT c_mktsegment || '/' || c_custkey, 'x', 1::BIGINT FROM customer
+           UNION ALL SELECT c_mktsegment, c_custkey || '/x', 1::BIGINT FROM customer""",
     ),
     "link_metadata": sql(
         "links segment_links", "SELECT * FROM links UNION SELECT * FROM segment_links"
