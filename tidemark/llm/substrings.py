@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.rules import let
 from tidemark.llm.runtime import ship_code, stored
 from tidemark.llm.textbatch import Rolling, slices, union_of_spans, utf8, windows_by_minimum, word_hashes, words
 
@@ -211,9 +212,26 @@ def match_windows(shards: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
             )
 
     rows = shards.select("anchor", "passage", "doc_id", "words").mapInArrow(run, "anchor long, passage long, doc_id long, at int, one long, two long")
-    first = rows.groupBy("one", "two").agg(F.min("doc_id").alias("origin"))
+    first = stored(rows.groupBy("one", "two").agg(F.min("doc_id").alias("origin")), "first-documents")
     found = rows.join(first, ["one", "two"]).select("anchor", "passage", F.struct("at", F.lit(1).alias("n"), "origin").alias("run"))
-    return found.groupBy("anchor", "passage").agg(F.collect_list("run").alias("runs"))
+    return found.groupBy("anchor", "passage").agg(_merged(F.sort_array(F.collect_list("run"))).alias("runs"))
+
+
+def _merged(runs):
+    """Neighbouring windows with one origin as one run; ``runs`` is in order.
+
+    A run begins where the one before is no neighbour or has another origin, and
+    ends where the next one begins.
+    """
+
+    def joined(runs):
+        follows = lambda a, b: (a["origin"] == b["origin"]) & (a["at"] + a["n"] == b["at"])
+        heads = F.filter(runs, lambda r, i: ~F.coalesce(follows(F.get(runs, i - 1), r), F.lit(False)))
+        tails = F.filter(runs, lambda r, i: ~F.coalesce(follows(r, F.get(runs, i + 1)), F.lit(False)))
+        whole = lambda h, t: F.struct(h["at"].alias("at"), (t["at"] + t["n"] - h["at"]).alias("n"), h["origin"].alias("origin"))
+        return F.zip_with(heads, tails, whole)
+
+    return let(runs, joined).cast(_RUN)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, shard_passages: int = SHARD_PASSAGES) -> DataFrame:
@@ -225,7 +243,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     found = stored(passages(docs, id_col, text_col, window), "passages")
     shared = found.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    found = stored(found.join(shared, "anchor"), "shared-passages")
+    found = stored(found.join(stored(shared, "shared-anchors"), "anchor"), "shared-passages")
     where = F.struct("doc_id", "th", "at", "n")
     different = stored(found.groupBy("anchor", "passage").agg(F.min(where).alias("w")).select("anchor", "passage", "w.*"), "different-passages")
     sizes = different.groupBy("anchor").agg(F.count("*").alias("members")).where("members > 1")
