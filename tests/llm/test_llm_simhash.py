@@ -8,6 +8,7 @@ import re
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from tidemark.llm import simhash
 from tidemark.llm.components import components
 from tidemark.llm.queries import documents, op10_simhash
@@ -116,3 +117,36 @@ def test_components_of_a_long_path_and_a_hub(spark):
     found = {r.node: r.component for r in components(edges).collect()}
     assert found == {i: 100 for i in range(100, 161)} | {7: 7} | {i: 7 for i in range(1000, 1300)}
     assert components(edges.limit(0)).count() == 0
+
+
+def jaccard(a, b):
+    sets = []
+    for text in (a, b):
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
+
+
+def test_the_stage_leaves_no_near_copies(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(40):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice((6, 60, 150, 300)))]
+        rows.append((i, " ".join(base)))
+        for _ in range(rng.randrange(4)):
+            copy = list(base)
+            for _ in range(rng.randrange(8)):
+                copy[rng.randrange(len(copy))] = f"new{rng.randrange(1000)}"
+            rows.append((100 + len(rows), " \n ".join(copy).upper()))
+    hub = [f"hub{i}" for i in range(400)]
+    rows += [(1000 + i, " ".join(hub[:i] + ["x"] + hub[i:])) for i in range(0, 400, 8)]
+    rows += [(5, rows[0][1]), (5, "a text of its own under a repeated id"), (None, rows[0][1]), (2000, None), (2001, " "), (2002, "a b"), (2003, "A  b")]
+    docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, n int")
+    kept = corpus_pipeline.deduplicate_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    stay = [(r.doc_id, r.text) for r in kept.collect()]
+    assert not [(a, b) for a in stay for b in stay if None not in (a[0], b[0]) and a[0] < b[0] and jaccard(a[1], b[1]) >= 0.8]
+    gone = [x for x in rows if x not in stay]
+    assert all(any(a[0] is not None and a[0] < b[0] and jaccard(a[1], b[1]) >= 0.8 for a in rows) for b in gone)
+    assert len(gone) > 60 and (None, rows[0][1]) in stay and {(5, "a text of its own under a repeated id"), (2000, None), (2002, "a b")} <= set(stay)
+    assert corpus_pipeline.deduplicate_near_copies(spark, docs.limit(0), "").count() == 0

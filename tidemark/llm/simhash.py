@@ -13,6 +13,7 @@ is left early.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -24,13 +25,19 @@ from pyspark.sql import types as T
 
 from tidemark.llm.components import components, local_roots
 from tidemark.llm.runtime import ship_code, stored
-from tidemark.llm.textbatch import slices, words
+from tidemark.llm.textbatch import Rolling, mix, range_hashes, slices, words
 
 SHINGLE_WORDS = 3
 RADIUS = 2
 #: Fingerprints of one bucket that are compared in one task; larger buckets are cut and compared block by block.
 BLOCK_ROWS = 1024
 
+#: Words in a shingle, least Jaccard coefficient in per cent, and radius of near-copies.
+#: Shingle sets at 80 % differ in 9.7 bits on average, with a deviation of 2.9.
+COPY_WORDS = 5
+COPY_PERCENT = 80
+COPY_RADIUS = 20
+
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _TABLES = tuple(combinations(range(4), 2))
 _ONES = np.uint64(0x0101010101010101)
@@ -262,3 +269,119 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = simhash_groups(docs, id_col, text_col)
     gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone_id")).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+
+
+def shingle_sets(column: pa.Array, size: int = COPY_WORDS) -> Iterator[np.ndarray]:
+    """The different shingle hashes of each text, sorted.
+
+    A-Z are lower-cased. A text of fewer words is one shingle; one without words has none.
+    """
+    w = words(column)
+    rolling = Rolling(range_hashes(np.frombuffer(_LOWER, np.uint8)[w.data], w.starts, w.ends))
+    for a, b in zip(w.first[:-1], w.first[1:], strict=True):
+        begin = np.arange(a, max(a, b - size) + 1) if b > a else np.zeros(0, np.int64)
+        yield np.unique(rolling.ranges(begin, np.minimum(begin + size, b)))
+
+
+def shingle_sketches(docs: DataFrame, size: int = COPY_WORDS, percent: int = COPY_PERCENT) -> DataFrame:
+    """``id``, ``th``, ``n`` (shingles), ``fp`` and ``whole`` (of the set), and ``prefix`` for rows of ``id``, ``th``, ``text``.
+
+    ``prefix`` has the smallest hashes of the set, so many that two sets with a
+    Jaccard coefficient of ``percent`` or more share one of them at least.
+    """
+    ship_code(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            n, fp, whole, least = [], [], [], []
+            for h in shingle_sets(batch.column("text"), size):
+                n.append(len(h))
+                fp.append(majority(h))
+                whole.append(int(mix(h ^ np.uint64(size)).sum(dtype=np.uint64)))
+                least.append(h[: len(h) - -(-percent * len(h) // 100) + 1])
+            at = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in least]))), pa.int32())
+            prefix = pa.ListArray.from_arrays(at, pa.array(np.concatenate(least).view(np.int64)))
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (n, fp, whole)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), *longs, prefix], ["id", "th", "n", "fp", "whole", "prefix"])
+
+    schema = T.StructType([docs.schema["id"], docs.schema["th"]])
+    for name in ("n", "fp", "whole"):
+        schema = schema.add(name, "long")
+    return docs.mapInArrow(run, schema.add("prefix", T.ArrayType(T.LongType())))
+
+
+def _verified(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> DataFrame:
+    """``id`` and ``th`` of the later row of each pair whose shingle sets have a Jaccard coefficient of ``percent`` at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = list(shingle_sets(batch.column("text"), size))
+            at = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in sets]))), pa.int32())
+            lists = pa.ListArray.from_arrays(at, pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), lists], ["id", "th", "s"])
+
+    ends = pairs.select(F.col("x_id").alias("id"), F.col("x_th").alias("th")).union(pairs.select("id", "th")).distinct()
+    schema = T.StructType([plain.schema["id"], plain.schema["th"]]).add("s", T.ArrayType(T.LongType()))
+    sets = stored(plain.join(ends, ["id", "th"], "left_semi").mapInArrow(run, schema), "shingle-sets")
+    first = sets.select(F.col("id").alias("x_id"), F.col("th").alias("x_th"), F.col("s").alias("x_s"))
+    both = pairs.join(first, ["x_id", "x_th"]).join(sets, ["id", "th"]).withColumn("i", F.size(F.array_intersect("x_s", "s")))
+    near = both.where(100 * F.col("i") >= percent * (F.size("x_s") + F.size("s") - F.col("i")))
+    return stored(near.select("id", "th").distinct(), "near-copies")
+
+
+def _candidates(first: DataFrame, places: DataFrame, radius: int, percent: int) -> DataFrame:
+    """Pairs of rows that share a hash and may be near-copies by size and fingerprint; ``x_`` has the smaller id."""
+    pairs = first.select("h", *(F.col(c).alias(f"x_{c}") for c in ("id", "th", "n", "fp"))).join(places, "h")
+    sizes = (100 * F.col("x_n") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("x_n"))
+    close = (F.col("x_id") < F.col("id")) & sizes & (F.bit_count(F.col("x_fp").bitwiseXOR(F.col("fp"))) <= radius)
+    return stored(pairs.where(close).select("x_id", "x_th", "id", "th").distinct(), "near-pairs")
+
+
+def without_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = COPY_WORDS, percent: int = COPY_PERCENT, radius: int = COPY_RADIUS
+) -> DataFrame:
+    """The rows of ``docs`` that stay when later near-copies go.
+
+    Near-copies have sets of ``size``-word shingles with a Jaccard coefficient of
+    ``percent`` at least and fingerprints of these sets within ``radius`` bits.
+    Of two rows that stay none is a near-copy of the other, and each row that
+    goes has a near-copy with a smaller id in ``docs``. At such radii, tables of
+    fingerprint bits cost more than comparing everything; candidates instead
+    share one of the smallest hashes of their sets, which loses no pair. Equal
+    sets are one node from the start. Then every node is compared with the
+    first one of each of its hashes, until that takes few away, so that large
+    groups shrink before the rest are compared with each other. Texts without
+    words are copies of each other. Rows with a null id stay, as do rows that
+    repeat an id and are copies of each other only. Shingles are told apart by
+    64-bit hashes, equal sets by two. Ids must be whole numbers. All columns are
+    returned as they are.
+    """
+    named = docs.where(F.col(id_col).isNotNull())
+    plain = named.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
+    found = stored(shingle_sketches(plain, size, percent), "shingle-sketches")
+    same = ["whole", "fp", "n"]
+    least = found.groupBy(*same).agg(F.min("id").alias("id"))
+    # one row for each set: of the smallest id, any text
+    nodes = found.join(stored(least, "least-ids"), [*same, "id"]).groupBy(*same, "id").agg(F.min("th").alias("th"))
+    nodes = stored(nodes, "shingle-nodes")
+    places = found.join(nodes, [*same, "id", "th"], "left_semi").select("id", "th", "n", "fp", F.explode("prefix").alias("h"))
+    shared = stored(places.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "shared-shingles")
+    left = stored(places.join(shared, "h"), "shared-places")
+    gone = []
+    while True:
+        first = left.join(left.groupBy("h").agg(F.min("id").alias("id")), ["h", "id"])
+        out = _verified(_candidates(first, left, radius, percent), plain, size, percent)
+        gone.append(out)
+        taken, before = out.count(), left.select("id", "th").distinct().count()
+        if taken:
+            left = stored(left.join(out, ["id", "th"], "left_anti"), "shared-places")
+        if 100 * taken <= before:
+            break
+    gone.append(_verified(_candidates(left, left, radius, percent), plain, size, percent))
+    every = reduce(DataFrame.union, gone).withColumn("late", F.lit(True))
+    late = nodes.join(every, ["id", "th"], "left").select(*same, F.col("id").alias("least"), "late")
+    # a set that goes takes all of its rows along
+    rows = found.join(late, same).where("late or id > least").select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct()
+    rows = stored(rows, "near-copy-rows")
+    there = (docs[id_col].cast("long") == rows["_gone_id"]) & (F.xxhash64(docs[text_col].cast("string")) == rows["_gone_th"])
+    return docs.join(rows, there, "left_anti")
