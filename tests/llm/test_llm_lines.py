@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 from tidemark.llm.lines import remove_repeated_lines
 
 
@@ -67,3 +68,52 @@ def test_a_common_line_alone_stays_and_an_empty_table(spark):
 def test_a_very_long_text(spark):
     text = "\n".join(f"line number {i}" for i in range(40_000))
     check(spark, [(1, text), (2, "first\n" + text)], 3)
+
+
+def plain_runs(rows, run, least):
+    """As plain(), where fewer lines are a run by their words, or as a whole text without a run."""
+    places, full = {}, []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        at = [i for i, x in enumerate(lines) if x.strip(" \t\n\x0b\x0c\r")]
+        runs = []
+        for k in range(len(at)):
+            for n in range(1, min(run, len(at) - k) + 1):
+                key = tuple(lines[i] for i in at[k : k + n])
+                kind = 1 if n == run or sum(len(x.split()) for x in key) >= least else 2 if n == len(at) else 0
+                if kind:
+                    runs.append((k, n, (kind, key)))
+        full.append((lines, at, runs))
+        if doc is not None:
+            for k, _, key in runs:
+                places[key] = min(places.get(key, (doc, k)), (doc, k))
+    out = []
+    for (doc, text), (lines, at, runs) in zip(rows, full, strict=True):
+        gone = {i for k, n, key in runs if doc is not None and places[key] != (doc, k) for i in at[k : k + n]}
+        out.append((None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone), len(at), len(gone)))
+    return out
+
+
+def test_runs_by_content(spark):
+    rng = random.Random(9)
+    pool = [" ".join(rng.choice(("a", "bc", "def")) for _ in range(rng.randint(1, 7))) for _ in range(40)] + ["", " ", "x"]
+    sizes = (0, 1, 1, 2, 2, 3, 9)
+    rows = [
+        (i, "\n".join(rng.choice(pool) if rng.random() < 0.5 else f"line {i} {k}" for k in range(rng.choice(sizes))) + rng.choice(["", "\n"]))
+        for i in range(120)
+    ]
+    rows += [(3, rows[3][1]), (3, rows[7][1]), (200, rows[5][1]), (None, rows[6][1]), (201, None), (202, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "", r[2])
+    for run, least in ((3, 5), (2, 4), (3, 1)):
+        have = sorted((tuple(r) for r in remove_repeated_lines(docs, run_lines=run, least_words=least).collect()), key=key)
+        assert have == sorted(((d, *p) for (d, _), p in zip(rows, plain_runs(rows, run, least), strict=True)), key=key)
+    assert remove_repeated_lines(docs.limit(0), least_words=5).count() == 0
+
+
+def test_the_stage_cuts_single_lines_and_short_texts(spark):
+    common = [(i, f"start {i}\nthis boilerplate stands between unique lines\nend {i}") for i in range(30)]
+    short = [(40, "two\nlines"), (41, "two\nlines"), (42, "one line"), (43, "one line")]
+    docs = spark.createDataFrame(common + short, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.deduplicate_lines(spark, docs, "").collect()}
+    assert kept == {i: common[0][1] if i == 0 else f"start {i}\nend {i}" for i in range(30)} | {40: "two\nlines", 42: "one line"}

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,8 @@ from tidemark.llm.textbatch import range_hashes, slices, utf8, windows_by_minimu
 
 #: Lines in a window. A repeated run this long always shares a fingerprint.
 RUN_LINES = 3
+#: Words that a shorter run must have for its content alone to tell it apart.
+LEAST_WORDS = 5
 
 
 def _full_lines(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -99,14 +101,75 @@ def repeated_windows(windows: DataFrame, run_lines: int = RUN_LINES) -> DataFram
     return found.where("position != origin").select("doc_id", "th", "at")
 
 
-def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = RUN_LINES) -> DataFrame:
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = RUN_LINES, least_words: int = LEAST_WORDS) -> DataFrame:
+    """``doc_id``, ``th`` and ``at`` of every line in a run that stands at an earlier position too.
+
+    A run is ``run_lines`` lines, fewer lines that have ``least_words`` words, or
+    a whole text that has neither, which is compared with other such texts. Every
+    line of a repeated run is repeated, so runs are made only of lines found twice;
+    a longer run is covered by its runs of up to ``run_lines`` lines.
+    """
+    ship_code(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            column = batch.column("text")
+            data, begin, end, first = _full_lines(column)
+            names = range_hashes(data, begin, end) if len(begin) else np.zeros(0, np.uint64)
+            starts = words(column).starts
+            sizes = np.searchsorted(starts, end) - np.searchsorted(starts, begin)
+            at = pa.array(first, pa.int32())
+            lists = [pa.ListArray.from_arrays(at, x) for x in (pa.array(names.view(np.int64)), pa.array(sizes, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), *lists], ["doc_id", "th", "lines", "sizes"])
+
+    plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType().add("doc_id", "long").add("th", "long").add("lines", T.ArrayType(T.LongType())).add("sizes", T.ArrayType(T.LongType()))
+    texts = stored(plain.mapInArrow(run, schema).where(F.size("lines") > 0), "text-lines")
+    lines = texts.select("doc_id", "th", F.posexplode("lines").alias("at", "h"), F.col("sizes"), F.size("lines").alias("n_lines"))
+    lines = lines.select("doc_id", "th", "at", "h", "n_lines", F.col("sizes")[F.col("at")].alias("n_words"))
+    twice = stored(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-lines")
+    found = stored(lines.join(twice, "h"), "lines-found-twice")
+    # the repeated lines of a text by place; a run has no gap
+    order = Window.partitionBy("doc_id", "th").orderBy("at")
+    none = F.lit(0).cast("long")
+    whole, size = F.col("at") == 0, none
+    names, spots = [], []
+    for k in range(run_lines):
+        # a row that repeats an id and a text stands at the same places
+        there = F.lead("at", k).over(order) == F.col("at") + k
+        found = found.dropDuplicates(["doc_id", "th", "at"]) if not k else found
+        found = found.withColumn(f"h{k}", F.when(there, F.lead("h", k).over(order))).withColumn(f"w{k}", F.when(there, F.lead("n_words", k).over(order)))
+    found = stored(found.drop("h", "n_words"), "runs-of-lines")
+    for k in range(run_lines):
+        names.append(f"h{k}")
+        size = size + F.col(f"w{k}")
+        # 1: a run by its size; 2: a whole text too short for that
+        kind = F.when((F.lit(k + 1) >= run_lines) | (size >= least_words), 1).when(whole & (F.col("n_lines") == k + 1), 2)
+        key = [F.col(x) if x in names else none.alias(x) for x in (f"h{i}" for i in range(run_lines))]
+        spots.append(found.where(F.col(f"h{k}").isNotNull()).select("doc_id", "th", "at", F.lit(k + 1).alias("size"), kind.alias("kind"), *key).where("kind is not null"))
+    every = spots[0]
+    for more in spots[1:]:
+        every = every.union(more)
+    position = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("at")
+    every = stored(every.withColumn("position", position.cast("decimal(38,0)")), "runs-by-content")
+    content = ["size", "kind", *(f"h{i}" for i in range(run_lines))]
+    earliest = every.groupBy(*content).agg(F.min("position").alias("origin"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = every.join(stored(earliest, "repeated-runs"), content).where("position != origin")
+    return later.select("doc_id", "th", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("at"))
+
+
+def remove_repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = RUN_LINES, least_words: int | None = None
+) -> DataFrame:
     """``docs`` without the later copies of runs of lines, and ``n_lines``, ``n_lines_removed``.
 
     A line with a word is removed if it lies in a window of ``run_lines``
     such lines of its document whose lines, byte for byte, also stand in a row
     at an earlier position of any document, its own included; positions go by
     document id, then line. Windows that touch grow together to the longest
-    repeated run. Windows are judged on the input. Blank lines are no part of
+    repeated run. With ``least_words``, runs of fewer lines go as well if they have
+    that many words, and so do later copies of whole texts that are shorter than
+    either. Windows are judged on the input. Blank lines are no part of
     windows and stay. Rows that repeat an id with another text are judged as
     one document's texts: their positions are equal, and do not remove each
     other. Rows with a null id or a null or empty text are returned unchanged.
@@ -116,8 +179,13 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ship_code(docs.sparkSession)
     counts = ("n_lines", "n_lines_removed")
     kept = [c for c in docs.columns if c not in counts]
-    windows = stored(line_windows(docs, id_col, text_col, run_lines), "line-fingerprints")
-    spots = repeated_windows(windows, run_lines).groupBy("doc_id", "th").agg(F.collect_set("at").alias("_spots"))
+    if least_words is None:
+        width = run_lines
+        found = repeated_windows(stored(line_windows(docs, id_col, text_col, run_lines), "line-fingerprints"), run_lines)
+    else:
+        width = 1
+        found = repeated_runs(docs, id_col, text_col, run_lines, least_words)
+    spots = found.groupBy("doc_id", "th").agg(F.collect_set("at").alias("_spots"))
     rows = docs.select(*kept, F.xxhash64(text_col).alias("_th"))
     joined = rows.join(
         spots.withColumnRenamed("doc_id", "_doc").withColumnRenamed("th", "_hash"), (rows[id_col].cast("long") == F.col("_doc")) & (F.col("_th") == F.col("_hash")), "left"
@@ -132,7 +200,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 removed = [0] * len(texts)
                 for k, spots in enumerate(batch.column("_spots").to_pylist()):
                     if spots:
-                        gone = np.unique((np.array(spots)[:, None] + np.arange(run_lines)).ravel()) + first[k]
+                        gone = np.unique((np.array(spots)[:, None] + np.arange(width)).ravel()) + first[k]
                         texts[k] = _without(texts[k].encode(), (begin[gone] - base[k]).tolist(), (end[gone] - base[k]).tolist()).decode()
                         removed[k] = len(gone)
                 columns = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in kept]
