@@ -63,6 +63,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote, in whatever file system; nothing if it is gone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _own: dict[str, tempfile.TemporaryDirectory] = {}
 
 
