@@ -38,7 +38,7 @@ def test_query_equals_sql(spark, sql, sf_dir, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(names)
     assert set(ORACLES) <= set(entry.oracle_sql()) and set(entry.oracle_sql()) <= set(names)
 

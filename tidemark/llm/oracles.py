@@ -122,10 +122,41 @@ links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id, vec_id <= coalesce(b, vec_id) AS kept
 FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN links ON links.a = vec_id"""
 
+
+def _clusters(k: int = 40, rounds: int = 5) -> str:
+    """Each round a pair of tables: who is nearest to what, and the centroids after it."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, x, best.c AS cluster, best.d AS distance FROM (
+    SELECT vec_id, x, min({{'d': d, 'c': c}}) AS best FROM (
+      SELECT v.vec_id, v.x, cluster AS c, list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(v.x, c{i}.x)])::BIGINT AS d
+      FROM v, c{i}) GROUP BY vec_id, x))""")
+        if i < rounds:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.cluster, coalesce(m.x, c{i}.x) AS x FROM c{i} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY p) AS x FROM (
+      SELECT cluster, p, sum(e) AS s, count(*) AS n FROM (SELECT cluster, unnest(x) AS e, unnest(range(64)) AS p FROM a{i}) GROUP BY cluster, p)
+    GROUP BY cluster) m USING (cluster))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, [CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT) for e in embedding] AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len([e for e in embedding if e IS NULL OR NOT isfinite(e)]) = 0),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY mark) - 1 AS INTEGER) AS cluster, x FROM (
+    SELECT sha256('2:' || vec_id) AS mark, x FROM v ORDER BY mark LIMIT {k})),{",".join(steps)}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
 ORACLES = {
     "op1_embedding_near_dedup": _VECTORS,
     "op2_substring_dedup": _PASSAGES,
     "op4_quality_rules": _quality_rules(),
     "op8_license_scan": _licenses(),
     "op9_line_dedup": _LINES,
+    "op11_centroid_clustering": _clusters(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, licenses, lines, packing, quality, rules, simhash, substrings, vectors
+from tidemark.llm import bpe, clustering, langid, licenses, lines, packing, quality, rules, simhash, substrings, vectors
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -84,6 +84,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component_id").cast("long").alias("component_id"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clusters = clustering.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return clusters.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,5 +103,6 @@ QUERIES = {
         op8_license_scan,
         op9_line_dedup,
         op10_simhash,
+        op11_centroid_clustering,
     )
 }

@@ -44,6 +44,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return settle(df, label)
 
 
+def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`stored`, with the folder, so that it can be removed when it is no longer read."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed now and kept in the checkpoint folder; lineage is cut."""
     spark = df.sparkSession
