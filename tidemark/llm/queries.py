@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, clustering, langid, licenses, lines, packing, quality, rules, simhash, substrings, vectors
+from tidemark.llm import bpe, clustering, langid, licenses, lines, packing, pieces, quality, rules, simhash, substrings, vectors
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -90,6 +90,12 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_pieces(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), decoded=True)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    return coded.select("doc_id", "n_tokens", digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,5 +110,6 @@ QUERIES = {
         op9_line_dedup,
         op10_simhash,
         op11_centroid_clustering,
+        op12_sentencepiece,
     )
 }
