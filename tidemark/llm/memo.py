@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
@@ -49,7 +50,7 @@ class PieceTable:
         self._used += int(sizes.sum())
         self._flat = _grown(self._flat, self._used)
         self._start, self._size = _grown(self._start, have + len(pieces)), _grown(self._size, have + len(pieces))
-        self._flat[begin : self._used] = np.concatenate([np.asarray(v, np.uint32) for v in values])
+        self._flat[begin : self._used] = np.fromiter(chain.from_iterable(values), np.uint32, int(sizes.sum()))
         self._size[have : have + len(pieces)] = sizes
         self._start[have : have + len(pieces)] = begin + np.cumsum(sizes) - sizes
         self._slot.update(zip(pieces, range(have, have + len(pieces)), strict=True))

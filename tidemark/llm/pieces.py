@@ -185,13 +185,14 @@ class PieceCodec:
         return reach.ravel()
 
     def encode_runs(self, runs: list[str]) -> list[list[int]]:
-        """Tokens of texts made of known letters, blanks as ``BLANK``; fastest when sorted.
+        """Ids of texts made of known letters, blanks as ``BLANK``; fastest when sorted.
 
         The table of a text holds for every prefix its last token and where that
         token begins; neighbours share it as far as they begin alike.
         """
         go, link, length, nearest, ending = self.go, self.link, self.length, self.nearest, self.ending
         letter, width, size, pairs = self.letter, self.width, self.size, self._pairs
+        emitted, pieces = self.emitted, len(self.kinds)
         if len(pairs) > MOST_PAIRS:
             pairs.clear()
         token: list[int] = []
@@ -230,41 +231,29 @@ class PieceCodec:
                     break
                 token.append(t)
                 begin.append(i - n)
-            found, i = [], len(run) - 1
+            ids, i, spelled = [], len(run) - 1, False
             while i >= 0:
-                found.append(token[i])
+                t = token[i]
+                ids.append(t)
+                spelled = spelled or t >= pieces
                 i = begin[i]
-            out.append(found[::-1])
+            ids.reverse()
+            out.append([x for t in ids for x in emitted[t]] if spelled else ids)
         return out
 
     def _encode_parts(self, parts: list[bytes]) -> list[list[int]]:
         """Ids of pieces of text that no token reaches beyond."""
-        letter, emitted = self.letter, self.emitted
+        known = self.letter.keys()
         texts = [p.decode().replace(" ", BLANK) for p in parts]
-        cut, runs = [], set()
-        for text in texts:
-            spans: list[tuple[str, bool]] = []
-            for c in text:
-                known = c in letter
-                if known and spans and spans[-1][1]:
-                    spans[-1] = (spans[-1][0] + c, True)
-                else:
-                    spans.append((c, known))
-            cut.append(spans)
-            runs.update(s for s, known in spans if known)
-        order = sorted(runs)
-        tokens = dict(zip(order, self.encode_runs(order), strict=True))
-        out = []
-        for spans in cut:
-            ids: list[int] = []
-            for s, known in spans:
-                if known:
-                    for t in tokens[s]:
-                        ids.extend(emitted[t])
-                else:
-                    ids.extend(self._bytes_of(s))
-            out.append(ids)
-        return out
+        odd = [text for text in texts if not known >= set(text)]
+        if not odd:
+            return self.encode_runs(texts)
+        cut = {text: _spans(text, known) for text in odd}
+        runs = sorted({s for spans in cut.values() for s, ok in spans if ok} | (set(texts) - cut.keys()))
+        found = dict(zip(runs, self.encode_runs(runs), strict=True))
+        for text, spans in cut.items():
+            found[text] = [i for s, ok in spans for i in (found[s] if ok else self._bytes_of(s))]
+        return [found[text] for text in texts]
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column in a row, and where each text's ids begin (one more at the end)."""
@@ -336,6 +325,17 @@ class PieceCodec:
         return pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.string())
 
 
+def _spans(text: str, known) -> list[tuple[str, bool]]:
+    """``text`` cut into runs of known letters (True) and single others (False)."""
+    out: list[tuple[str, bool]] = []
+    begin = 0
+    for i, c in enumerate(text):
+        if c not in known:
+            out += [(text[begin:i], True)] * (i > begin) + [(c, False)]
+            begin = i + 1
+    return out + [(text[begin:], True)] * (begin < len(text))
+
+
 def _text_of(raw: bytearray) -> str:
     out, i = [], 0
     while i < len(raw):
