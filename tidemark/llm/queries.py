@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, clustering, langid, licenses, lines, packing, pieces, quality, rules, simhash, substrings, vectors
+from tidemark.llm import bpe, clustering, langid, licenses, lines, packing, pieces, quality, rules, simhash, spelling, substrings, vectors
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -96,6 +96,10 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -111,5 +115,6 @@ QUERIES = {
         op10_simhash,
         op11_centroid_clustering,
         op12_sentencepiece,
+        op13_spelling_variants,
     )
 }
