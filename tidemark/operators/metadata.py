@@ -69,7 +69,7 @@ def create_metadata(
     """As :func:`metadata_set`, but an existing entry is an error unless
     ``overwrite`` is given."""
     if not overwrite and not metadata_conflicts(metadata, updates).isEmpty():
-        raise ValueError("metadata already exists: specify overwrite=True to replace it")
+        raise ValueError("an entry of this name is there; it is kept unless overwrite is set")
     return metadata_set(metadata, updates, **audit)
 
 
@@ -146,7 +146,7 @@ def hierarchical(*args) -> list:
     if None in kept:
         cut = kept.index(None)
         if any(a is not None for a in kept[cut:]):
-            warnings.warn("arguments after a None argument are ignored by the search")
+            warnings.warn("a None ends the criteria: those behind it play no part")
         kept = kept[:cut]
     return kept
 

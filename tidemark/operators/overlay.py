@@ -45,6 +45,9 @@ def overlay(
     strings and are sorted, once and after the shuffle. With ``both`` an index
     that changed kind keeps only the newest.
 
+    An upload has every index once (:func:`~tidemark.operators.validate.check_unique`);
+    which row of an upload that broke this rule counts is not defined.
+
     ``contested`` (see :func:`contested_days`) limits the work to the days of a
     series that more than one upload touched; all others pass through without
     a shuffle, as the indices within one upload are unique.

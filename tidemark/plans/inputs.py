@@ -77,8 +77,13 @@ def mixed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines uploaded twice: all of them, then returned ones with their
-    quantity doubled. Three series hold everything."""
-    lines = table(spark, sf_dir, "lineitem")
+    quantity doubled. Three series hold everything. An upload is unique on its
+    index: a line that is there more than once counts with its largest quantity."""
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber")
+        .agg(F.max("l_quantity").alias("l_quantity"))
+    )
 
     def upload(rows: DataFrame, file_seq: int, value) -> DataFrame:
         return rows.select(
@@ -287,6 +292,27 @@ def chunk_listing(events: DataFrame) -> DataFrame:
 # -- metadata --------------------------------------------------------------
 
 
+def search_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of a search as JSON, one per nation and segment, with two entries per customer.
+
+    Texts hold single quotes, bare or escaped, nested values, and are broken off
+    for overdrawn accounts.
+    """
+    nation = table(spark, sf_dir, "nation")
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    quote = F.when(F.col("c_nationkey") % 2 == 0, "\\'").otherwise("'")
+    own = F.concat(
+        F.lit("{'Namespace':'"), _segment(), F.lit("','Key':'"), "c_name", F.lit("','Value':{'owner':'O"), quote, "c_name",
+        F.lit("','home':{'nation':'"), "n_name", F.lit("','region':"), F.col("n_regionkey").cast("string"),
+        F.lit("},'balance':"), F.col("c_acctbal").cast("string"), F.lit(",'tags':['"), "c_mktsegment", F.lit("',null,true]}}"),
+    )
+    cut = F.when(F.col("c_acctbal") < 0, F.regexp_replace(own, "'home'.*", "'ho")).otherwise(own)
+    home = F.concat(F.lit("{'Namespace':'nation','Key':'"), "n_name", F.lit("','Value':{'region':'"), F.col("n_regionkey").cast("string"), F.lit("'}}"))
+    hits = rows.select("c_nationkey", "c_mktsegment", F.struct(F.concat(F.lit("u"), "c_custkey").alias("key"), F.array(cut, home).alias("value")).alias("hit"))
+    answers = hits.groupBy("c_nationkey", "c_mktsegment").agg(F.map_from_entries(F.collect_list("hit")).alias("hits"))
+    return answers.select(F.to_json("hits").alias("answer"))
+
+
 def _entries(df: DataFrame, namespace, key, value) -> DataFrame:
     return df.select(namespace.alias("namespace"), key.alias("key"), value.alias("value")).select(
         metadata_id_of("namespace", "key").alias("metadata_id"),

@@ -201,6 +201,23 @@ ORACLES = {
         SELECT epoch_us(ts) * 1000 AS "index", value, NULL::VARCHAR AS value_text FROM events""",
     "explode_sample_pages": """
         SELECT event_type AS series_id, epoch_us(ts) * 1000 AS "index", value FROM events""",
+    "search_hits_json": r'''
+        WITH c AS (
+            SELECT *, 'u' || c_custkey AS series_id, 'customer.' || lower(c_mktsegment) AS namespace,
+                   CASE WHEN c_nationkey % 2 = 0 THEN '\' ELSE '' END || chr(39) AS quote
+            FROM customer JOIN nation ON c_nationkey = n_nationkey)
+        SELECT series_id, namespace, c_name AS key, 'O' || chr(39) || c_name AS owner,
+               '{"nation":"' || n_name || '","region":' || n_regionkey || '}' AS home,
+               c_acctbal::VARCHAR AS balance, '["' || c_mktsegment || '",null,true]' AS tags,
+               NULL AS region, NULL AS bad
+        FROM c WHERE c_acctbal >= 0
+        UNION ALL
+        SELECT series_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+               replace('{"Namespace":"' || namespace || '","Key":"' || c_name || '","Value":{"owner":"O', '"', chr(39)) ||
+               quote || c_name || replace('","ho', '"', chr(39))
+        FROM c WHERE c_acctbal < 0
+        UNION ALL
+        SELECT series_id, 'nation', n_name, NULL, NULL, NULL, NULL, n_regionkey::VARCHAR, NULL FROM c''',
     "export_csv": sql("samples", binned("samples", HOUR, "max(value)")),
     "create_empty_series": """
         SELECT 'u' || c_custkey AS series_id, 1 AS n_aliases FROM customer
@@ -336,10 +353,15 @@ ORACLES = {
         binned("line_samples", DAY, "avg(value)", LINES_START, LINES_END),
     ),
     "agg_hot_uploads": f"""
-        WITH r AS (
-            SELECT l_returnflag AS series_id, l_quantity * CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END AS value,
+        WITH lines AS (
+            SELECT l_returnflag AS series_id, max(l_quantity) AS value,
                    epoch_us(l_shipdate) * 1000 + l_orderkey * 8 + l_linenumber AS "index"
-            FROM lineitem)
+            FROM lineitem GROUP BY l_returnflag, l_shipdate, l_orderkey, l_linenumber),
+        raw AS (
+            SELECT 0 AS file_seq, * FROM lines
+            UNION ALL SELECT 1, series_id, value * 2, "index" FROM lines WHERE series_id = 'R'),
+        r AS (
+            SELECT series_id, "index", max_by(value, file_seq) AS value FROM raw GROUP BY series_id, "index")
         {binned("r", 8760 * HOUR, "round(avg(value), 6)", LINES_START, LINES_END)}""",
     "agg_tick": sql(
         "line_samples", binned("line_samples", 100, "max(value)", LINES_START, LINES_END)

@@ -16,6 +16,7 @@ from tidemark.schema import PAGE_JSON
 from tidemark.session import scratch_dir
 from tidemark.sinks.samples import export, format_lines, write_chunks, write_samples
 from tidemark.sources import chunks
+from tidemark.sources.hits import explode_hits
 from tidemark.sources.manifest import flatten_manifest, read_listed
 from tidemark.sources.samples import explode_pages, from_series, read_parquet_chunks, read_samples
 from tidemark.streaming.ingest import read_ingested, stream_ingest
@@ -116,6 +117,13 @@ def explode_sample_pages(spark: SparkSession, sf: str) -> DataFrame:
     return explode_pages(parsed.select("series_id", "page.value"), keep=["series_id"])
 
 
+def search_hits_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits as the service gives them, every customer's; what cannot be read is put aside."""
+    hits = explode_hits(inputs.search_answers(spark, sf))
+    named = {name: F.try_element_at("value", F.lit(name)) for name in ("owner", "home", "balance", "tags", "region")}
+    return hits.select("series_id", "namespace", "key", *[c.alias(n) for n, c in named.items()], "bad")
+
+
 # -- sinks and lifecycle ---------------------------------------------------
 
 
@@ -519,6 +527,7 @@ QUERIES = {
         read_series_csv,
         read_two_columns,
         explode_sample_pages,
+        search_hits_json,
         export_csv,
         create_empty_series,
         format_chunk_lines,
