@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.overlay import overlay
 from tidemark.sources.chunks import infer_value_type, parse_index, split_lines
+from tidemark.streaming import ingest as ingest_module
 from tidemark.streaming.ingest import (
     ingest_batch,
     known_files,
+    last_file_seq,
+    prepare,
     read_ingest_manifest,
     read_ingested,
     read_receipts,
+    runs_before,
     stream_ingest,
 )
 
@@ -143,3 +147,42 @@ def test_a_batch_run_twice_leaves_the_same(spark, queue):
         ingest_batch(raw, 1, queue.out)
         assert len(queue.stored()) == len(before) + 2
         assert len(queue.states()) == 2
+
+
+def test_runs_cover_all_earlier_batches_with_few_folders():
+    for n in (0, 1, 15, 16, 17, 255, 256, 257, 5_000):
+        runs = runs_before(n)
+        spans = [range(start, start + 16**level) for level, start in runs]
+        assert [b for span in spans for b in span] == list(range(n))
+        assert len(runs) <= 15 * 4
+    assert len(runs_before(65_536)) == 1
+
+
+def test_names_are_found_in_merged_runs_by_few_folders(spark, queue, monkeypatch):
+    monkeypatch.setattr(ingest_module, "FAN", 2)
+    columns = "series_id string, file_id string, block_start bigint, index_token string, value_token string"
+
+    def batch(number, *files):
+        rows = [("a", f, 0, "1", str(number)) for f in files]
+        raw = spark.createDataFrame(rows, columns).withColumn("modified", F.timestamp_millis(F.lit(1_700_000_000_000)))
+        ingest_batch(raw, number, queue.out)
+
+    prepare(spark, queue.out)
+    for n in range(4):
+        batch(n, f"f{n}", f"g{n}")
+    for _ in range(2):  # a batch that is run again merges again
+        batch(3, "f3", "g3")
+    assert runs_before(4) == [(2, 0)]
+    names = [("a", "f0"), ("a", "new")]
+    known = known_files(spark, queue.out, 4, names)
+    assert ("a", "f0") in {tuple(r) for r in known.collect()}
+    parts = {ingest_module._name_hash(*n)[:2] for n in names}
+    read = known.select(F.input_file_name().alias("path")).distinct().collect()
+    assert {r.path.split("part=")[1][:2] for r in read} <= parts
+    assert known_files(spark, queue.out, 4).count() == 8
+    batch(4, "f0", "g2", "h")
+    assert {r[1]: r[3] for r in queue.stored()}["f0"] == 0.0 and len(queue.stored()) == 9
+    seqs = [r.file_seq for r in read_ingested(spark, queue.out).filter("file_id = 'h'").collect()]
+    assert seqs[0] == last_file_seq(spark, queue.out, 5) > last_file_seq(spark, queue.out, 4)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part" in plan

@@ -5,6 +5,8 @@ An upload is accepted or ignored as a whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +25,13 @@ def index_faults(
     file_cols: list[str],
     order_cols: list[str],
     block_rows: int = BLOCK_ROWS,
+    carry: dict[str, Callable] | None = None,
 ) -> DataFrame:
     """Per file: rows, unreadable indices, steps back and steps of zero.
 
+    ``carry`` names further columns and the aggregate, such as ``F.max``, that
+    sums each of them up per file in the same pass.
+
     ``order_cols`` give the arrival order; the last is an integer, unique
     within the others. A file of any size is cut into blocks of consecutive
     rows. Blocks are ordered by separate tasks, and only the first and last
@@ -33,7 +39,8 @@ def index_faults(
     """
     *prefix, place = order_cols
     block = F.col(place) - F.pmod(F.col(place), long_lit(block_rows))
-    rows = df.select(*file_cols, *order_cols, "index", block.alias("_block"))
+    carry = carry or {}
+    rows = df.select(*file_cols, *order_cols, "index", *carry, block.alias("_block"))
     in_block = [*file_cols, *prefix, "_block"]
     before = F.lag("index").over(Window.partitionBy(*in_block).orderBy(place))
     blocks = (
@@ -46,6 +53,7 @@ def index_faults(
             F.count_if(F.col("index") == F.col("_before")).alias("n_repeat"),
             F.min_by("index", place).alias("_first"),
             F.max_by("index", place).alias("_last"),
+            *[total(name).alias(name) for name, total in carry.items()],
         )
     )
     across = Window.partitionBy(*file_cols).orderBy(*prefix, "_block")
@@ -57,6 +65,7 @@ def index_faults(
             F.sum("n_unreadable").alias("n_unreadable"),
             (F.sum("n_back") + F.count_if(F.col("_first") < F.col("_before"))).alias("n_back"),
             (F.sum("n_repeat") + F.count_if(F.col("_first") == F.col("_before"))).alias("n_repeat"),
+            *[total(name).alias(name) for name, total in carry.items()],
         )
     )
 
@@ -76,18 +85,22 @@ def check_unique(df: DataFrame, file_cols: list[str]) -> DataFrame:
 
 
 def file_verdicts(
-    df: DataFrame, file_cols: list[str], order_cols: list[str], block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    file_cols: list[str],
+    order_cols: list[str],
+    block_rows: int = BLOCK_ROWS,
+    carry: dict[str, Callable] | None = None,
 ) -> DataFrame:
-    """Per file: ``state`` Ready or Failed.
+    """Per file: ``state`` Ready or Failed, and what ``carry`` asks for.
 
     Ready means every index reads, none steps back and none repeats. In a file
     that never steps back equal indices are neighbours, so the ordering pass
     finds them too and no second shuffle is needed.
     """
-    faults = index_faults(df, file_cols, order_cols, block_rows)
+    faults = index_faults(df, file_cols, order_cols, block_rows, carry)
     good = (F.col("n_unreadable") == 0) & (F.col("n_back") == 0) & (F.col("n_repeat") == 0)
     return faults.withColumn("state", F.when(good, READY).otherwise(FAILED)).select(
-        *file_cols, "state", "n_rows", "n_unreadable", "n_back", "n_repeat"
+        *file_cols, "state", "n_rows", "n_unreadable", "n_back", "n_repeat", *(carry or {})
     )
 
 

@@ -19,7 +19,7 @@ from tidemark.sources import chunks
 from tidemark.sources.hits import explode_hits
 from tidemark.sources.manifest import flatten_manifest, read_listed
 from tidemark.sources.samples import explode_pages, from_series, read_parquet_chunks, read_samples
-from tidemark.streaming.ingest import read_ingested, stream_ingest
+from tidemark.streaming.ingest import ingest_batch, read_ingested, read_queue, stream_ingest
 
 START, END = "2024-01-01", "2024-01-31"
 FILE = ["series_id", "file_id"]
@@ -513,6 +513,36 @@ def stream_queue(spark: SparkSession, sf: str) -> DataFrame:
     return overlay.overlay(read_ingested(spark, f"{home}/out"), kind="numeric")
 
 
+def stream_queue_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Weeks of events queued in two goes and taken in by batches of four files.
+
+    The second week's errors come backwards, so that file fails; the second go
+    brings late weeks and corrected high values; then everything is delivered once more.
+    """
+    home = scratch_dir(spark, "stream")
+    queue, out = f"{home}/queue", f"{home}/out"
+    rows = inputs.samples_by_type(spark, sf).withColumn("week", F.floor((day_of("index") - 19723) / 7))
+    backwards = (F.col("week") == 1) & (F.col("series_id") == "error")
+    order = F.when(backwards, -F.col("index")).otherwise(F.col("index"))
+
+    def put(files: DataFrame) -> None:
+        dealt = files.withColumn("_order", order).repartition("series_id").sortWithinPartitions("series_id", "_order")
+        format_lines(dealt.select("series_id", "index", "value")).write.mode("append").partitionBy("series_id").text(queue)
+
+    def drain() -> None:
+        stream_ingest(spark, queue, out, f"{home}/state", max_files=4, once=True).awaitTermination()
+
+    for week in range(3):
+        put(rows.filter(F.col("week") == week))
+    drain()
+    for week in range(3, 5):
+        put(rows.filter(F.col("week") == week))
+    put(rows.filter(F.col("value") > 60).withColumns({"value": F.col("value") * 2, "week": F.lit(9)}))
+    drain()
+    ingest_batch(read_queue(spark, queue), 1_000, out)
+    return overlay.overlay(read_ingested(spark, out), kind="numeric")
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -585,5 +615,6 @@ QUERIES = {
         search_value_parts,
         series_info,
         stream_queue,
+        stream_queue_many,
     ]
 }

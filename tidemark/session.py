@@ -63,6 +63,11 @@ def make_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder))
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote, in whatever file system; nothing if it is gone."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,10 +5,19 @@ the queue whole; its full name is its id, and a name that was accepted before is
 the same upload delivered again. Every file is judged by itself; a failed file is
 put aside and none of its rows count. No state is kept across batches: a late
 file is simply a newer upload, and overlap is resolved when data is read.
+
+A batch has to know which of its files came before and the highest number given
+so far, without reading what all earlier batches left. Names of accepted files
+are kept in runs: every ``FAN`` batches their names are merged into one run, every
+``FAN`` of those into a larger one, cut into folders by the first digits of a
+hash of the name. So batch n looks into fewer than ``FAN`` runs per level, and in
+each only into the folders of its own names. The number is one row per batch.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,14 +25,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.timeaxis import day_of
 from tidemark.functions.tokens import is_numeric
-from tidemark.operators.ingest import manifest_of, next_file_seq, receipts_of
+from tidemark.operators.ingest import manifest_of, receipts_of
 from tidemark.operators.validate import FAILED, READY, file_verdicts
 from tidemark.schema import MANIFEST, RECEIPTS, SAMPLES_RAW
 from tidemark.sinks.samples import by_day
+from tidemark.session import drop_folder, folder_exists, make_folder
 from tidemark.sources.chunks import ARRIVAL, parse_index, split_lines, type_values
 
 FILE = ["series_id", "file_id"]
 
+#: Runs of names that are merged into one.
+FAN = 16
+#: Digits of the hash that a run is cut by at most: 4 096 folders.
+MOST_DIGITS = 3
+
 _NAMES = "series_id string, file_id string"
 _FILES = f"{_NAMES}, state string, is_text boolean, file_seq bigint"
 
@@ -34,7 +49,15 @@ _QUEUE = T.StructType(
 
 def stream_chunks(spark: SparkSession, queue: str, max_files: int = 1_000) -> DataFrame:
     """Lines of new chunk files, with the file and the split they come from."""
-    raw = spark.readStream.schema(_QUEUE).option("maxFilesPerTrigger", max_files).text(queue)
+    return queued_lines(spark.readStream.schema(_QUEUE).option("maxFilesPerTrigger", max_files).text(queue))
+
+
+def read_queue(spark: SparkSession, queue: str) -> DataFrame:
+    """The lines of all files in the queue, as :func:`stream_chunks` gives them."""
+    return queued_lines(spark.read.schema(_QUEUE).text(queue))
+
+
+def queued_lines(raw: DataFrame) -> DataFrame:
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     lines = raw.select(
         "series_id",
@@ -63,26 +86,93 @@ def _read(spark: SparkSession, out: str, name: str, schema: T.StructType) -> Dat
     return spark.read.schema(with_batch).parquet(f"{out}/{name}")
 
 
-def known_files(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
-    """Files that earlier batches have accepted."""
-    seen = _read(spark, out, "receipts", RECEIPTS)
-    return seen.filter((F.col("batch") != batch_id) & (F.col("state") == READY)).select(*FILE)
+def _digits(level: int) -> int:
+    return min(level, MOST_DIGITS)
+
+
+def _name_hash(series_id: str, file_id: str) -> str:
+    return hashlib.md5(f"{series_id}/{file_id}".encode()).hexdigest()
+
+
+def runs_before(batch_id: int) -> list[tuple[int, int]]:
+    """``(level, first batch)`` of the runs that hold the names of all batches before this one.
+
+    A run of level k spans ``FAN ** k`` batches; there are fewer than ``FAN`` of each level.
+    """
+    out, start, level = [], 0, 0
+    while FAN ** (level + 1) <= batch_id:
+        level += 1
+    for k in range(level, -1, -1):
+        while start + FAN**k <= batch_id:
+            out.append((k, start))
+            start += FAN**k
+    return out
+
+
+def _run(spark: SparkSession, out: str, level: int, start: int, hashes: list[str] | None = None) -> DataFrame | None:
+    """Names in one run, of the folders that ``hashes`` may be in; None if there is no such run."""
+    if level == 0:
+        path = f"{out}/receipts/batch={start}"
+        if not folder_exists(spark, path):
+            return None
+        return spark.read.schema(RECEIPTS).parquet(path).filter(F.col("state") == READY).select(*FILE)
+    path = f"{out}/known/level={level}/start={start}"
+    if not folder_exists(spark, path):
+        return None
+    names = spark.read.schema(f"{_NAMES}, part string").parquet(path)
+    if hashes is not None:
+        names = names.filter(F.col("part").isin(sorted({h[: _digits(level)] for h in hashes})))
+    return names.select(*FILE)
+
+
+def known_files(
+    spark: SparkSession, out: str, batch_id: int, names: list[tuple[str, str]] | None = None
+) -> DataFrame:
+    """Files that earlier batches have accepted; with ``names`` only where those may be."""
+    hashes = None if names is None else [_name_hash(*n) for n in names]
+    found = spark.createDataFrame([], _NAMES)
+    for level, start in runs_before(batch_id):
+        run = _run(spark, out, level, start, hashes)
+        if run is not None:
+            found = found.unionByName(run)
+    return found
+
+
+def merge_runs(spark: SparkSession, out: str, batch_id: int) -> None:
+    """Merge the runs that are complete with this batch. Run again, it leaves the same."""
+    level = 1
+    while (batch_id + 1) % FAN**level == 0:
+        start, step = batch_id + 1 - FAN**level, FAN ** (level - 1)
+        parts = [_run(spark, out, level - 1, start + i * step) for i in range(FAN)]
+        names = spark.createDataFrame([], _NAMES)
+        for part in parts:
+            if part is not None:
+                names = names.unionByName(part)
+        mark = F.md5(F.concat("series_id", F.lit("/"), "file_id"))
+        cut = names.withColumn("part", F.substring(mark, 1, _digits(level)))
+        cut.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{out}/known/level={level}/start={start}")
+        level += 1
 
 
 def last_file_seq(spark: SparkSession, out: str, batch_id: int) -> int:
-    """Highest ``file_seq`` of the batches before this one."""
-    earlier = _read(spark, out, "manifest", MANIFEST).filter(F.col("batch") < batch_id)
-    return next_file_seq(earlier) - 1
+    """Highest ``file_seq`` of the batches before this one: what the last of them noted.
+
+    Only where that note is missing, as after batches of other numbers, all are read.
+    """
+    before = f"{out}/marks/batch={batch_id - 1}"
+    if folder_exists(spark, before):
+        return spark.read.schema("file_seq bigint").parquet(before).first().file_seq
+    marks = spark.read.schema("file_seq bigint, batch bigint").parquet(f"{out}/marks")
+    newest = marks.filter(F.col("batch") < batch_id).agg(F.max("file_seq").alias("newest")).first().newest
+    return -1 if newest is None else newest
 
 
 def judge_files(lines: DataFrame) -> DataFrame:
     """One row per file: verdict, kind of its values, time of arrival."""
-    text = ~is_numeric(F.col("value_token"))
-    kinds = lines.groupBy(*FILE).agg(
-        F.max("modified").alias("modified"),
-        F.coalesce(F.bool_or(text), F.lit(False)).alias("is_text"),
+    text = F.coalesce(~is_numeric(F.col("value_token")), F.lit(False))
+    return file_verdicts(
+        lines.withColumn("is_text", text), FILE, ARRIVAL, carry={"modified": F.max, "is_text": F.bool_or}
     )
-    return file_verdicts(lines, FILE, ARRIVAL).join(kinds, FILE)
 
 
 def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> None:
@@ -93,7 +183,8 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> N
     broadcast, whatever the files hold. Every batch owns its
     folders and replaces them, so a batch that is run again after a failure
     leaves the same result. Files are numbered above all earlier batches and
-    above ``above``, the last number given elsewhere.
+    above ``above``, the last number given elsewhere. The cost of a batch follows
+    its own files, not those taken in before.
     """
     spark = rows.sparkSession
     numbered_lines = rows.withColumn("line_no", F.monotonically_increasing_id())
@@ -105,8 +196,9 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> N
     try:
         arrived = F.unix_micros("modified").alias("arrived")
         judged = judge_files(lines).select(*FILE, "state", "is_text", arrived).collect()
-        names = spark.createDataFrame([(r.series_id, r.file_id) for r in judged], _NAMES)
-        known = known_files(spark, out, batch_id)
+        listed = [(r.series_id, r.file_id) for r in judged]
+        known = known_files(spark, out, batch_id, listed)
+        names = spark.createDataFrame(listed, _NAMES)
         seen = {tuple(r) for r in known.join(F.broadcast(names), FILE, "left_semi").collect()}
         new = [r for r in judged if (r.series_id, r.file_id) not in seen]
         last = max(above, last_file_seq(spark, out, batch_id))
@@ -117,9 +209,12 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> N
         ready = type_values(marked.filter(F.col("state") == READY))
         stored = ready.withColumn("day", day_of("index")).select(*SAMPLES_RAW.fieldNames())
         by_day(stored).write.mode("overwrite").partitionBy("day").parquet(folder("samples"))
-        marked.filter(F.col("state") == FAILED).select(
-            *FILE, *ARRIVAL, "index", "value_token"
-        ).write.mode("overwrite").parquet(folder("failed"))
+        if any(r.state == FAILED for r in new):
+            marked.filter(F.col("state") == FAILED).select(
+                *FILE, *ARRIVAL, "index", "value_token"
+            ).write.mode("overwrite").parquet(folder("failed"))
+        else:
+            drop_folder(spark, folder("failed"))
     finally:
         lines.unpersist()
     # From here on only what was stored is read, and only this batch's folders.
@@ -127,18 +222,15 @@ def ingest_batch(rows: DataFrame, batch_id: int, out: str, above: int = -1) -> N
     manifest_of(taken).write.mode("overwrite").parquet(folder("manifest"))
     taken = spark.read.schema(MANIFEST).parquet(folder("manifest"))
     receipts_of(taken, files).coalesce(1).write.mode("overwrite").parquet(folder("receipts"))
+    highest = max([last, *numbers.values()])
+    spark.createDataFrame([(highest,)], "file_seq bigint").write.mode("overwrite").parquet(folder("marks"))
+    merge_runs(spark, out, batch_id)
 
 
 def prepare(spark: SparkSession, out: str) -> None:
     """Make the folders, so that they can be read before the first batch."""
-    for name, schema, folders in (
-        ("samples", SAMPLES_RAW, ["batch", "day"]),
-        ("manifest", MANIFEST, ["batch"]),
-        ("receipts", RECEIPTS, ["batch"]),
-    ):
-        with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-        empty = spark.createDataFrame([], with_batch)
-        empty.write.mode("ignore").partitionBy(*folders).parquet(f"{out}/{name}")
+    for name in ("samples", "manifest", "receipts", "marks"):
+        make_folder(spark, f"{out}/{name}")
 
 
 def stream_ingest(
