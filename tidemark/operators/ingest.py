@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeaxis import day_of, long_lit
@@ -13,6 +14,10 @@ from tidemark.functions.tokens import chunk_key, urlsafe_base64
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.validate import FAILED, READY
 
+# What a stored chunk is known by, and the folders its keys are hashed to.
+STORED_KEY = ["chunk_key", "md5_key"]
+KEY_BUCKETS = 64
+
 
 def next_file_seq(uploads: DataFrame) -> int:
     """Number of the next upload. One counter serves all series, so a batch of
@@ -128,6 +133,39 @@ def with_chunk_key(manifest: DataFrame) -> DataFrame:
     )
 
 
+def _bucketed(spark: SparkSession, path: str, buckets: int) -> str:
+    """The table of stored keys at ``path``, made known to this session; returns its name."""
+    name = "stored_keys_" + hashlib.md5(f"{path}#{buckets}".encode()).hexdigest()
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"{c} STRING" for c in STORED_KEY)
+        keys = ", ".join(STORED_KEY)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+            f"INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return name
+
+
+def remember_ingested(spark: SparkSession, path: str, chunks: DataFrame, buckets: int = KEY_BUCKETS) -> None:
+    """Add the keys of stored chunks to the set at ``path``, laid out by their hash.
+
+    ``buckets`` belongs to the set: it must be the same in every call.
+    """
+    name = _bucketed(spark, path, buckets)
+    rows = chunks.select(*STORED_KEY).repartition(buckets, *STORED_KEY)
+    rows.write.mode("append").insertInto(name)
+
+
+def not_ingested(spark: SparkSession, path: str, manifest: DataFrame, buckets: int = KEY_BUCKETS) -> DataFrame:
+    """As :func:`incremental_ingest`, against a long history remembered at ``path``.
+
+    Only the new listing is shuffled, to the layout of the stored keys; these are
+    read where they lie, a bucket by each task.
+    """
+    stored = spark.table(_bucketed(spark, path, buckets))
+    return with_chunk_key(manifest).join(stored.hint("merge"), STORED_KEY, "left_anti")
+
+
 def incremental_ingest(manifest: DataFrame, ingested: DataFrame) -> DataFrame:
     """Chunks not stored yet; a chunk whose content changed counts as new.
 

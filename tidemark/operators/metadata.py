@@ -192,10 +192,11 @@ def search(
         raise ValueError("namespace is mandatory")
     hits = matching_entries(metadata, args)
     if len(args) == 4:
-        found = lookup_join(links, hits.select("metadata_id"), ["metadata_id"], "left_semi")
+        # Not settled: whoever uses the ids does that once, and sizes are known at run time.
+        found = links.join(hits.select("metadata_id"), "metadata_id", "left_semi")
         return found.select("series_id").distinct()
     entries = hits.select("metadata_id", *NAME, value_json().alias("value_json"))
-    return lookup_join(links, entries, ["metadata_id"]).select(
+    return links.join(entries, "metadata_id").select(
         "series_id", "metadata_id", *NAME, "value_json"
     )
 

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import lookup_join
+from tidemark.session import settle
+
 # The text a boolean sample arrives as.
 TRUE_TEXT = ["true", "True"]
 FALSE_TEXT = ["false", "False"]
 
+# Columns that are made by one aggregate.
+BLOCK_COLUMNS = 200
+
 
 def to_wide(samples: DataFrame, series_ids: list[str], value: str = "value") -> DataFrame:
     """One column per listed series, aligned on the index, NULL where it has none.
@@ -22,6 +28,28 @@ def to_wide(samples: DataFrame, series_ids: list[str], value: str = "value") ->
     )
 
 
+def to_wide_blocks(
+    samples: DataFrame, series_ids: list[str], value: str = "value", block: int = BLOCK_COLUMNS
+) -> DataFrame:
+    """As :func:`to_wide` for thousands of series.
+
+    The columns are made in blocks, so that no aggregate has more than ``block``
+    of them. All blocks, and the indices they are put beside, are partitioned by
+    index alone; putting them together needs no further shuffle.
+    """
+    ids = list(dict.fromkeys(series_ids))
+    listed = samples.sparkSession.createDataFrame([(i, n // block) for n, i in enumerate(ids)], "series_id string, _block int")
+    wanted = lookup_join(samples.select("series_id", "index", F.col(value).alias("_value")), listed, ["series_id"])
+    dealt = settle(wanted, "blocks")
+    wide = dealt.select("index").distinct()
+    for at in range(0, len(ids), block):
+        mine = dealt.filter(F.col("_block") == at // block).groupBy("index").agg(
+            *[F.max(F.when(F.col("series_id") == sid, F.col("_value"))).alias(sid) for sid in ids[at : at + block]]
+        )
+        wide = wide.join(mine.hint("merge"), "index", "left")
+    return wide
+
+
 def to_long(table: DataFrame, columns: list[str], index_col: str = "index") -> DataFrame:
     """A table broken into one series per column; empty cells are no samples."""
     long = table.unpivot(index_col, columns, "series_id", "value")

@@ -148,6 +148,8 @@ WEEK = f'"index" >= {19730 * DAY} AND "index" < {19737 * DAY}'
 
 LINES_START, LINES_END = 9131 * DAY, 11688 * DAY
 
+EDGES = 19724 * DAY + 6 * HOUR, 19751 * DAY + 18 * HOUR
+
 ORACLES = {
     "read_lines_first_comma": """
         SELECT event_id, epoch_us(ts) * 1000 AS "index",
@@ -329,6 +331,21 @@ ORACLES = {
                   translate(to_base64(encode(md5(path || '-' || n_now))), '+/', '-_') AS md5_key
            FROM listing WHERE n_now <> n_before""",
     ),
+    "incremental_manifest_bucketed": sql(
+        "listing",
+        """SELECT series_id, day::INTEGER AS day, path,
+                  'parquet' || regexp_replace(path, '[-_/.]', '', 'g') AS chunk_key,
+                  translate(to_base64(encode(md5(path || '-' || n_now))), '+/', '-_') AS md5_key
+           FROM listing WHERE n_now <> n_before""",
+    ),
+    "overlay_after_merge": sql("resolved", "SELECT * FROM resolved"),
+    "delete_rewrites_files": sql(
+        "resolved",
+        """SELECT * FROM resolved WHERE series_id NOT IN (
+               SELECT 'u' || c_custkey FROM customer
+               WHERE c_acctbal >= 0 AND c_mktsegment = 'MACHINERY')""",
+    ),
+    "pivot_blocks": sql("samples", binned("samples", HOUR, "max(value)")),
     "pivot_series": sql(
         "by_type",
         f"""SELECT "index" - "index" % {HOUR} AS "index",
@@ -363,6 +380,15 @@ ORACLES = {
         r AS (
             SELECT series_id, "index", max_by(value, file_seq) AS value FROM raw GROUP BY series_id, "index")
         {binned("r", 8760 * HOUR, "round(avg(value), 6)", LINES_START, LINES_END)}""",
+    "agg_rollup_mean": sql("resolved", binned("resolved", 6 * HOUR, "round(avg(value), 6)", *EDGES)),
+    "agg_rollup_std": sql("resolved", binned("resolved", 6 * HOUR, "round(stddev_samp(value), 6)", *EDGES)),
+    "agg_rollup_max": sql("resolved", binned("resolved", 6 * HOUR, "max(value)", *EDGES)),
+    "agg_mean_exact": sql(
+        "line_samples",
+        binned(
+            "line_samples", DAY, "CAST(sum(CAST(value / 8 * 1000000 AS HUGEINT)) AS DOUBLE) / 1000000.0::DOUBLE / count(value)::DOUBLE", LINES_START, LINES_END
+        ),
+    ),
     "agg_tick": sql(
         "line_samples", binned("line_samples", 100, "max(value)", LINES_START, LINES_END)
     ),
@@ -478,6 +504,12 @@ ORACLES = {
            WHERE namespace = 'customer.machinery' AND starts_with(key, 'Customer#')
              AND nation LIKE 'N%ION%1%'""",
     ),
+    "search_value_indexed": sql(
+        "metadata links",
+        """SELECT DISTINCT series_id FROM links JOIN metadata USING (metadata_id)
+           WHERE namespace = 'customer.machinery' AND starts_with(key, 'Customer#')
+             AND nation LIKE 'N%ION%1%'""",
+    ),
     "series_info": sql(
         "metadata links extents",
         f"""SELECT {INFO_COLUMNS}, metadata_id, namespace, key, value_json

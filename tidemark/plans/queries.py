@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timeaxis import day_of, to_timestamp
 from tidemark.operators import aggregate as agg
-from tidemark.operators import ingest, overlay, read, reshape, validate
+from tidemark.operators import ingest, overlay, read, reshape, rollup, validate
 from tidemark.operators import metadata as md
+from tidemark.operators.search_index import search_indexed, write_search_index
 from tidemark.plans import inputs
 from tidemark.schema import PAGE_JSON
 from tidemark.session import scratch_dir
+from tidemark.sinks import rewrite
 from tidemark.sinks.samples import export, format_lines, write_chunks, write_samples
 from tidemark.sources import chunks
 from tidemark.sources.hits import explode_hits
@@ -294,6 +296,44 @@ def incremental_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return new.select("series_id", "day", "path", "chunk_key", "md5_key")
 
 
+def incremental_manifest_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """As above, from keys that were stored in two goes."""
+    events = inputs.table(spark, sf, "events")
+    before = ingest.with_chunk_key(inputs.chunk_listing(events.filter(F.col("event_type") != "error")))
+    path = scratch_dir(spark, "keys")
+    early = F.col("day") < 19738
+    for part in (before.filter(early), before.filter(~early)):
+        ingest.remember_ingested(spark, path, part)
+    new = ingest.not_ingested(spark, path, inputs.chunk_listing(events))
+    return new.select("series_id", "day", "path", "chunk_key", "md5_key")
+
+
+def overlay_after_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Uploads stored, contested days folded to one upload each, then read."""
+    path = scratch_dir(spark, "merged")
+    uploads = inputs.uploads(spark, sf)
+    write_samples(uploads, path)
+    listing = rewrite.merge_contested(spark, path, ingest.manifest_of(uploads))
+    return overlay.overlay(read_samples(spark, path), kind="numeric", contested=overlay.contested_days(listing))
+
+
+def delete_rewrites_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The series of found customers removed from the stored files."""
+    path = scratch_dir(spark, "deleted")
+    write_samples(inputs.uploads(spark, sf), path)
+    gone = md.search(inputs.links(spark, sf), inputs.metadata(spark, sf), "customer.machinery")
+    rewrite.delete_series_files(spark, path, gone)
+    return overlay.overlay(read_samples(spark, path), kind="numeric")
+
+
+def pivot_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """A column for every user, in blocks, and back to rows."""
+    hourly = agg.aggregate(inputs.samples(spark, sf), START, END, "1h", "max")
+    users = inputs.table(spark, sf, "events").select(F.concat(F.lit("u"), "user_id").alias("id")).distinct().orderBy("id")
+    names = [row.id for row in users.collect()]
+    return reshape.to_long(reshape.to_wide_blocks(hourly, names), names)
+
+
 def pivot_series(spark: SparkSession, sf: str) -> DataFrame:
     hourly = agg.aggregate(inputs.samples_by_type(spark, sf), START, END, "1h", "max")
     names = inputs.table(spark, sf, "events").select("event_type").distinct().orderBy("event_type")
@@ -360,6 +400,40 @@ def agg_dense(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _rolled_up(spark: SparkSession, sf: str, function: str) -> DataFrame:
+    """Six-hour values from hourly partial results of the first upload, stored by day.
+
+    The range cuts its first and last day; days that later uploads touched are read again.
+    """
+    path = scratch_dir(spark, "rollup")
+    uploads = inputs.uploads(spark, sf)
+    hourly = rollup.rollup(uploads.filter(F.col("file_seq") == 0), "1h")
+    hourly.write.partitionBy("day").parquet(path)
+    stored = spark.read.schema(hourly.schema).parquet(path)
+    changed = uploads.filter(F.col("file_seq") > 0).select("series_id", "day")
+    return rollup.aggregate_rollup(
+        stored, uploads, "2024-01-02T06:00", "2024-01-29T18:00", "6h", function, base_period="1h", changed=changed
+    )
+
+
+def agg_rollup_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_rolled_up(spark, sf, "mean"))
+
+
+def agg_rollup_std(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_rolled_up(spark, sf, "std"))
+
+
+def agg_rollup_max(spark: SparkSession, sf: str) -> DataFrame:
+    return _rolled_up(spark, sf, "max")
+
+
+def agg_mean_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Means to the last bit, over rows in no particular order."""
+    lines = inputs.line_samples(spark, sf).withColumn("value", F.col("value") / 8)
+    return rollup.exact_mean(lines.repartition(7), "1995-01-01", "2002-01-01", "24h")
+
+
 def agg_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return agg.gaps(
         inputs.samples(spark, sf), START, END, "24h", series=inputs.series(spark, sf)
@@ -493,6 +567,13 @@ def search_value_parts(spark: SparkSession, sf: str) -> DataFrame:
     return _search(spark, sf, "customer.machinery", "Customer#", "nation", "N*ION*1*")
 
 
+def search_value_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """As above, from sorted entries and postings of letter triples."""
+    path = scratch_dir(spark, "index")
+    write_search_index(inputs.metadata(spark, sf), path)
+    return search_indexed(spark, path, inputs.links(spark, sf), "customer.machinery", "Customer#", "nation", "N*ION*1*")
+
+
 def series_info(spark: SparkSession, sf: str) -> DataFrame:
     extents = agg.fill_extents(
         inputs.series(spark, sf), agg.sample_extents(inputs.samples(spark, sf))
@@ -581,6 +662,10 @@ QUERIES = {
         chunks_by_day,
         concat_days,
         incremental_manifest,
+        incremental_manifest_bucketed,
+        overlay_after_merge,
+        delete_rewrites_files,
+        pivot_blocks,
         pivot_series,
         unpivot_table,
         agg_mean,
@@ -593,6 +678,10 @@ QUERIES = {
         agg_tick,
         agg_dense,
         agg_gaps,
+        agg_rollup_mean,
+        agg_rollup_std,
+        agg_rollup_max,
+        agg_mean_exact,
         agg_period_units,
         resample_1h_std,
         resample_day_by_day,
@@ -613,6 +702,7 @@ QUERIES = {
         search_ns_key_name,
         search_value,
         search_value_parts,
+        search_value_indexed,
         series_info,
         stream_queue,
         stream_queue_many,

@@ -74,6 +74,12 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def delete_file(spark: SparkSession, address: str) -> None:
+    """Remove one file, given by its escaped address as ``_metadata.file_path`` has it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(address))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
 _own: dict[str, tempfile.TemporaryDirectory] = {}
 
 

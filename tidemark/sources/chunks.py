@@ -17,9 +17,10 @@ from tidemark.operators.joins import lookup_join
 ARRIVAL = ["block_start", "line_no"]
 
 
-def with_origin(raw: DataFrame) -> DataFrame:
+def with_origin(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Text rows plus the file and the place in it they come from."""
     return raw.select(
+        *(keep or []),
         F.col("_metadata.file_path").alias("chunk"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_no"),

@@ -28,6 +28,7 @@ from tidemark.operators.overlay import contested_days
 from tidemark.operators.validate import index_faults
 from tidemark.schema import EMPTY_FIRST, EMPTY_LAST, LINKS, MANIFEST, METADATA, SAMPLES_RAW, SERIES
 from tidemark.session import make_folder, settle, use_utc
+from tidemark.sinks.rewrite import merge_contested
 from tidemark.sinks.samples import write_samples
 from tidemark.sources.samples import from_pandas, from_series
 from tidemark.streaming.ingest import (
@@ -247,7 +248,8 @@ class SeriesStore:
     def compact(self, root: str) -> SeriesStore:
         """The same collection in a new folder, with what no longer counts left
         out: superseded log rows, deleted series, their samples and uploads that
-        broke off. Samples are not overlaid, so listings stay true."""
+        broke off. Days of a series that several uploads touched are folded into
+        one, so that later reads of them need no shuffle."""
         new = SeriesStore(self.spark, root, user=self.user)
         alive = settle(self.series.select("series_id"), "alive")
         manifest = settle(lookup_join(self.manifest, alive, ["series_id"], "left_semi"), "manifest")
@@ -255,7 +257,8 @@ class SeriesStore:
         write_samples(samples, new._path("samples"))
         for name, rows in (("series", self.series), ("metadata", self.metadata), ("links", self.links)):
             new._log(name, rows)
-        manifest.write.mode("append").parquet(new._path("manifest"))
+        merged = merge_contested(self.spark, new._path("samples"), manifest)
+        merged.write.mode("append").parquet(new._path("manifest"))
         return new
 
     def delete(self, series_id: str) -> None:
