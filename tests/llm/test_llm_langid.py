@@ -116,6 +116,12 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in identify(asked, nothing).collect()} == {"und"}
 
 
+def test_signs_of_numbers_are_no_letters(spark):
+    model = train_languages(spark.createDataFrame([(1, "der und die das", "de"), (2, "the and of that", "en")], "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(1, "½ ²"), (2, "① Ⅷ _ 4"), (3, "½ und")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred == "und" for r in identify(asked, model).collect()} == {1: True, 2: True, 3: False}
+
+
 def test_sample_is_bounded_and_fixed(spark, sf_dir):
     from tidemark.llm.sampling import sample_per_label
 

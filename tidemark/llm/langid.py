@@ -12,7 +12,6 @@ the code length in every language for each byte. A text costs two table reads pe
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +35,6 @@ LEAST_COUNT = 2
 STRAND = 256
 
 UNDECIDED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -219,7 +217,7 @@ def identify(docs: DataFrame, model: ContextTrees, text_col: str = "text") -> Da
                     best = bits.argmin(axis=1)
                     share = 1.0 / np.exp2(np.maximum(bits.min(axis=1)[:, None] - bits, -1000.0)).sum(axis=1)
                     for i, text in enumerate(texts):
-                        if text and _LETTER.search(text):
+                        if text and any(map(str.isalpha, text)):
                             found[i], scores[i] = trees.languages[best[i]], share[i]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(found, pa.string()), pa.array(scores)], [*kept, *names])
 
