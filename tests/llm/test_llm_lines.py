@@ -117,3 +117,16 @@ def test_the_stage_cuts_single_lines_and_short_texts(spark):
     docs = spark.createDataFrame(common + short, "doc_id long, text string")
     kept = {r.doc_id: r.text for r in corpus_pipeline.deduplicate_lines(spark, docs, "").collect()}
     assert kept == {i: common[0][1] if i == 0 else f"start {i}\nend {i}" for i in range(30)} | {40: "two\nlines", 42: "one line"}
+
+
+def test_weak_hashes_and_clashing_names_cut_nothing(spark):
+    # words that polynomials modulo 2**64 do not tell apart
+    one = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{one}\nsame\nother"), (2, f"{two}\nsame\nother"), (3, f"{one}\nsame\nother")]
+    docs = spark.createDataFrame([(d, x, 1, 2, 3, 4) for d, x in rows], "doc_id long, text string, _th int, _doc int, _Hash int, _spots int")
+    got = remove_repeated_lines(docs, run_lines=3)
+    assert got.columns == [*docs.columns, "n_lines", "n_lines_removed"]
+    assert {r.doc_id: r.n_lines_removed for r in got.collect()} == {1: 0, 2: 0, 3: 3}
+    cut = remove_repeated_lines(docs.select("doc_id", "text"), run_lines=3, least_words=5)
+    assert {r.doc_id: r.n_lines_removed for r in cut.collect()} == {1: 0, 2: 0, 3: 3}

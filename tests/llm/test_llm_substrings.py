@@ -134,3 +134,18 @@ def test_long_texts_and_an_empty_table(spark):
         4: (5000, 5000, digest("")),
     }
     assert remove_repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_weak_hashes_and_clashing_names_cut_nothing(spark):
+    # words that polynomials modulo 2**64 do not tell apart
+    one = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"{rest} {one} {rest}"), (2, f"{one} x"), (3, f"{rest.upper()} {two} {rest}")]
+    docs = spark.createDataFrame([(d, x, 1, 2, 3, 4) for d, x in rows], "doc_id long, text string, _th int, _doc int, _Hash int, _spans int")
+    got = remove_repeated_passages(docs)
+    assert got.columns == [*docs.columns, "n_words", "n_words_removed"]
+    assert {r.doc_id: r.n_words_removed for r in got.collect()} == {1: 0, 2: 0, 3: 60}
+    mixed = [(1, " ".join([one] * 25 + [two] * 25)), (2, " ".join([two] * 25 + [one] * 25)), (3, " ".join([one] * 25 + [two] * 25))]
+    found = remove_repeated_passages(spark.createDataFrame(mixed, "doc_id long, text string"))
+    assert {r.doc_id: r.n_words_removed for r in found.collect()} == {1: 0, 2: 0, 3: 50}

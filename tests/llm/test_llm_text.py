@@ -9,7 +9,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm.textbatch import range_hashes, slices, sliding_min, union_of_spans, windows_by_minimum, word_hashes, words
+from tidemark.llm.textbatch import Names, range_hashes, slices, sliding_min, union_of_spans, windows_by_minimum, word_hashes, word_names, words
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab é\n\t\x0b日\x1c", max_size=30)), max_size=6)
 
@@ -71,3 +71,18 @@ def test_slices_keep_all_rows_and_take_a_long_text_alone():
 
 def test_union_of_spans():
     assert union_of_spans([(5, 7), (0, 2), (2, 3), (6, 9)]) == [(0, 3), (5, 9)]
+
+
+def test_names_tell_apart_what_one_polynomial_does_not():
+    word = "".join("ab"[i.bit_count() & 1] for i in range(2048))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), word]
+    w = words(pa.array(texts))
+    assert len(set(word_hashes(w).tolist())) == 1
+    one, two, again = word_names(w).tolist()
+    assert one == again != two
+    signs = np.array([i.bit_count() & 1 for i in range(4096)], np.uint64) + np.uint64(7)
+    both = Names(np.concatenate((signs, np.uint64(15) - signs)))
+    a, b = both.ranges(np.array([0, 4096]), np.array([4096, 8192])).tolist()
+    assert a != b
+    grams = both.grams(50)
+    assert grams[10] == Names(signs[10:60]).ranges(np.array([0]), np.array([50]))[0] or len(grams) == 8192 - 49

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.runtime import ship_code, stored
-from tidemark.llm.textbatch import range_hashes, slices, utf8, windows_by_minimum, words
+from tidemark.llm.runtime import free_names, ship_code, stored
+from tidemark.llm.textbatch import range_names, slices, utf8, windows_by_minimum, words
 
 #: Lines in a window. A repeated run this long always shares a fingerprint.
 RUN_LINES = 3
@@ -51,7 +51,7 @@ def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, begin, end, first = _full_lines(batch.column("text"))
-            names = range_hashes(data, begin, end) if len(begin) else np.zeros(0, np.uint64)
+            names = range_names(data, begin, end) if len(begin) else np.zeros(0, np.uint64)
             text, a, b, least, _ = windows_by_minimum(names, first, run_lines, 1)
             sizes = b - a
             total = np.concatenate(([0], np.cumsum(sizes)))
@@ -115,7 +115,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in slices(batches):
             column = batch.column("text")
             data, begin, end, first = _full_lines(column)
-            names = range_hashes(data, begin, end) if len(begin) else np.zeros(0, np.uint64)
+            names = range_names(data, begin, end) if len(begin) else np.zeros(0, np.uint64)
             starts = words(column).starts
             sizes = np.searchsorted(starts, end) - np.searchsorted(starts, begin)
             at = pa.array(first, pa.int32())
@@ -185,11 +185,10 @@ def remove_repeated_lines(
     else:
         width = 1
         found = repeated_runs(docs, id_col, text_col, run_lines, least_words)
-    spots = found.groupBy("doc_id", "th").agg(F.collect_set("at").alias("_spots"))
-    rows = docs.select(*kept, F.xxhash64(text_col).alias("_th"))
-    joined = rows.join(
-        spots.withColumnRenamed("doc_id", "_doc").withColumnRenamed("th", "_hash"), (rows[id_col].cast("long") == F.col("_doc")) & (F.col("_th") == F.col("_hash")), "left"
-    ).select(*kept, "_spots")
+    th, doc, mark, at_lines = free_names(docs, "_th", "_doc", "_hash", "_spots")
+    spots = found.groupBy("doc_id", "th").agg(F.collect_set("at").alias(at_lines)).withColumnsRenamed({"doc_id": doc, "th": mark})
+    rows = docs.select(*kept, F.xxhash64(text_col).alias(th))
+    joined = rows.join(spots, (F.col(id_col).cast("long") == F.col(doc)) & (F.col(th) == F.col(mark)), "left").select(*kept, at_lines)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -198,7 +197,7 @@ def remove_repeated_lines(
                 _, begin, end, first = _full_lines(batch.column(text_col))
                 base = utf8(batch.column(text_col))[1]
                 removed = [0] * len(texts)
-                for k, spots in enumerate(batch.column("_spots").to_pylist()):
+                for k, spots in enumerate(batch.column(at_lines).to_pylist()):
                     if spots:
                         gone = np.unique((np.array(spots)[:, None] + np.arange(width)).ravel()) + first[k]
                         texts[k] = _without(texts[k].encode(), (begin[gone] - base[k]).tolist(), (end[gone] - base[k]).tolist()).decode()

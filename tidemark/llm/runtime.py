@@ -34,6 +34,17 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def free_names(df: DataFrame, *wishes: str) -> list[str]:
+    """Column names like the wishes that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wishes:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.components import components, local_roots
 from tidemark.llm.runtime import ship_code, stored
-from tidemark.llm.textbatch import Rolling, mix, range_hashes, slices, words
+from tidemark.llm.textbatch import Names, mix, range_names, slices, words
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -277,7 +277,7 @@ def shingle_sets(column: pa.Array, size: int = COPY_WORDS) -> Iterator[np.ndarra
     A-Z are lower-cased. A text of fewer words is one shingle; one without words has none.
     """
     w = words(column)
-    rolling = Rolling(range_hashes(np.frombuffer(_LOWER, np.uint8)[w.data], w.starts, w.ends))
+    rolling = Names(range_names(np.frombuffer(_LOWER, np.uint8)[w.data], w.starts, w.ends))
     for a, b in zip(w.first[:-1], w.first[1:], strict=True):
         begin = np.arange(a, max(a, b - size) + 1) if b > a else np.zeros(0, np.int64)
         yield np.unique(rolling.ranges(begin, np.minimum(begin + size, b)))

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.rules import let
-from tidemark.llm.runtime import ship_code, stored
-from tidemark.llm.textbatch import Rolling, slices, union_of_spans, utf8, windows_by_minimum, word_hashes, words
+from tidemark.llm.runtime import free_names, ship_code, stored
+from tidemark.llm.textbatch import Names, slices, union_of_spans, utf8, windows_by_minimum, word_names, words
 
 WINDOW_WORDS = 50
 ANCHOR_WORDS = 8
@@ -45,7 +45,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             w = words(batch.column("text"))
-            text, begin, end, anchor, passage = windows_by_minimum(word_hashes(w), w.first, window, gram)
+            text, begin, end, anchor, passage = windows_by_minimum(word_names(w), w.first, window, gram)
             pick = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -198,8 +198,8 @@ def match_windows(shards: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "words"):
             w = words(batch.column("words"))
-            values = word_hashes(w)
-            one, two = Rolling(values).grams(window), Rolling(values, 0xC2B2AE3D27D4EB4F).grams(window)
+            values = word_names(w)
+            one, two = Names(values).grams(window), Names(values, 0xC2B2AE3D27D4EB4F).grams(window)
             at = np.arange(len(one))
             text = np.searchsorted(w.first, at, side="right") - 1
             inside = at + window <= w.first[np.minimum(text + 1, len(w.first) - 1)]
@@ -296,9 +296,10 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     ship_code(docs.sparkSession)
     counts = ("n_words", "n_words_removed")
     kept = [c for c in docs.columns if c not in counts]
-    spans = repeated_spans(docs, id_col, text_col, window).withColumnsRenamed({"doc_id": "_doc", "th": "_hash", "spans": "_spans"})
-    rows = docs.select(*kept, F.xxhash64(text_col).alias("_th"))
-    joined = rows.join(spans, (rows[id_col].cast("long") == F.col("_doc")) & (F.col("_th") == F.col("_hash")), "left").select(*kept, "_spans")
+    th, doc, mark, found = free_names(docs, "_th", "_doc", "_hash", "_spans")
+    spans = repeated_spans(docs, id_col, text_col, window).withColumnsRenamed({"doc_id": doc, "th": mark, "spans": found})
+    rows = docs.select(*kept, F.xxhash64(text_col).alias(th))
+    joined = rows.join(spans, (F.col(id_col).cast("long") == F.col(doc)) & (F.col(th) == F.col(mark)), "left").select(*kept, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -307,7 +308,7 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
                 texts = batch.column(text_col).to_pylist()
                 removed = [0] * len(texts)
                 base = utf8(batch.column(text_col))[1]
-                for k, spans in enumerate(batch.column("_spans").to_pylist()):
+                for k, spans in enumerate(batch.column(found).to_pylist()):
                     if spans:
                         first, after = int(w.first[k]), int(w.first[k + 1])
                         raw = w.data[base[k] : base[k + 1]].tobytes()

@@ -111,7 +111,53 @@ class Rolling:
         return mix((self.sums[k:] - self.sums[:n]) * self.back[:n])
 
 
-def range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+_PRIME = (1 << 31) - 1
+_PRIME_BASE = 0x5BD1E995
+_prime_powers: list[np.ndarray] = []
+
+
+def _power_of_prime(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the second base and of its inverse modulo the prime."""
+    if not _prime_powers or len(_prime_powers[0]) < n:
+        size = max(n, 1 << 16)
+        _prime_powers[:] = [_powers_modulo(b, size) for b in (_PRIME_BASE, pow(_PRIME_BASE, -1, _PRIME))]
+    return _prime_powers[0][:n], _prime_powers[1][:n]
+
+
+def _powers_modulo(base: int, size: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < size:
+        out = np.concatenate((out, out * np.uint64(pow(base, len(out), _PRIME)) % np.uint64(_PRIME)))
+    return out
+
+
+class Names(Rolling):
+    """As :class:`Rolling`, with a second polynomial, modulo a prime.
+
+    Modulo 2**64 alone there are sequences, such as a Thue-Morse word of 1 024
+    signs and its complement, that have one value under every base.
+    """
+
+    def __init__(self, values: np.ndarray, base: int = _WORD_BASE):
+        super().__init__(values, base)
+        n = len(values)
+        forth, self.prime_back = _power_of_prime(n + 1)
+        self.prime_sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values % np.uint64(_PRIME) * forth[:n] % np.uint64(_PRIME), out=self.prime_sums[1:])
+
+    def _second(self, begin, end) -> np.ndarray:
+        return mix((self.prime_sums[end] - self.prime_sums[begin]) % np.uint64(_PRIME) * self.prime_back[begin] % np.uint64(_PRIME))
+
+    def ranges(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix(super().ranges(begin, end) ^ self._second(begin, end))
+
+    def grams(self, k: int) -> np.ndarray:
+        first = super().grams(k)
+        at = np.arange(len(first))
+        return mix(first ^ self._second(at, at + k))
+
+
+def range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, kind: type[Rolling] = Rolling) -> np.ndarray:
     """One 64-bit number for each range of bytes; equal ranges have equal numbers.
 
     The ranges are in order and do not overlap; some hundred kilobytes are taken
@@ -122,7 +168,7 @@ def range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nda
     while at < len(begin):
         base = begin[at]
         stop = max(at + 1, int(np.searchsorted(end, base + HASH_BYTES, side="right")))
-        part = Rolling(data[base : end[stop - 1]].astype(np.uint64) + np.uint64(1), _BYTE_BASE)
+        part = kind(data[base : end[stop - 1]].astype(np.uint64) + np.uint64(1), _BYTE_BASE)
         out[at:stop] = part.ranges(begin[at:stop] - base, end[at:stop] - base)
         at = stop
     return out
@@ -133,6 +179,16 @@ def word_hashes(w: Words) -> np.ndarray:
     return range_hashes(w.data, w.starts, w.ends)
 
 
+def range_names(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """As :func:`range_hashes`, for telling ranges apart."""
+    return range_hashes(data, begin, end, Names)
+
+
+def word_names(w: Words) -> np.ndarray:
+    """As :func:`word_hashes`, for telling words apart."""
+    return range_names(w.data, w.starts, w.ends)
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` neighbours."""
     if len(values) < width:
@@ -156,7 +212,7 @@ def windows_by_minimum(values: np.ndarray, first: np.ndarray, width: int, gram:
     names wherever they stand. Returns for each run: text, first unit, unit after
     the last, name, and a hash of its units.
     """
-    rolling = Rolling(values)
+    rolling = Names(values)
     names = sliding_min(rolling.grams(gram), width - gram + 1)
     if not len(names):
         none = np.zeros(0, np.int64)
