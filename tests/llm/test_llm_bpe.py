@@ -12,6 +12,8 @@ from tokenizers import Tokenizer
 from tidemark.llm.bpe import Codec, SuffixAutomaton, decode_documents, decode_ids, encode_documents
 from tidemark.llm.queries import documents, tokenizer_path
 
+# Two words that polynomials modulo 2**64 do not tell apart.
+THUE_MORSE = "".join("ab"[i.bit_count() & 1] for i in range(1024))
 ODD = [
     None,
     "",
@@ -23,6 +25,8 @@ ODD = [
     "aaaaaaaaaaaaaaaa eeeeeeeeeee !!!!!!!!!!!!!!!!!! ----------=======",
     ",'s ''s it's, 's.a1b2 'ree é's á ,́",
     "a|b < c",
+    THUE_MORSE,
+    THUE_MORSE.translate(str.maketrans("ab", "ba")),
 ]
 
 
@@ -67,7 +71,7 @@ def test_every_token_of_the_vocabulary_is_its_own_encoding(codec):
 def test_a_memory_that_is_emptied_changes_nothing(codec, monkeypatch):
     texts = ["some words that come again", "again some other words", "that come"]
     want = ids_of(codec, texts)
-    monkeypatch.setattr("tidemark.llm.bpe.CACHE_ENTRIES", 1)
+    monkeypatch.setattr("tidemark.llm.memo.MOST_PIECES", 0)
     assert [ids_of(codec, [t])[0] for t in texts] == want
 
 

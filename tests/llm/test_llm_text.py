@@ -9,7 +9,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm.textbatch import Names, range_hashes, slices, sliding_min, union_of_spans, windows_by_minimum, word_hashes, word_names, words
+from tidemark.llm.textbatch import Names, equal_ranges, range_hashes, slices, sliding_min, union_of_spans, windows_by_minimum, word_hashes, word_names, words
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab é\n\t\x0b日\x1c", max_size=30)), max_size=6)
 
@@ -73,6 +73,15 @@ def test_union_of_spans():
     assert union_of_spans([(5, 7), (0, 2), (2, 3), (6, 9)]) == [(0, 3), (5, 9)]
 
 
+def test_equal_ranges_are_equal():
+    word = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    w = words(pa.array([" ".join(["x", other, word, "y", other, "x", word, other[:-1]])]))
+    group, shown = equal_ranges(w.data, w.starts, w.ends)
+    texts = [w.data[a:b].tobytes() for a, b in zip(w.starts, w.ends, strict=True)]
+    assert [texts[shown[g]] for g in group] == texts and len(shown) == 5
+
+
 def test_names_tell_apart_what_one_polynomial_does_not():
     word = "".join("ab"[i.bit_count() & 1] for i in range(2048))
     texts = [word, word.translate(str.maketrans("ab", "ba")), word]

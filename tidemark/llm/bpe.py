@@ -20,7 +20,6 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
+from tidemark.llm.memo import PieceTable
 from tidemark.llm.runtime import ship_code
-from tidemark.llm.textbatch import range_hashes, slices, utf8
+from tidemark.llm.textbatch import slices, utf8
 
-#: Words that a worker remembers at least; it holds up to twice as many. The ids are the same without.
-CACHE_ENTRIES = 150_000
+#: Pairs of tokens whose verdict a worker remembers.
+MOST_PAIRS = 450_000
 #: Bytes of text encoded at a time; a longer text is taken alone.
 ENCODE_BYTES = 2 << 20
 
@@ -150,15 +150,14 @@ class Codec:
         here: list[list[tuple[int, int]]] = [[] for _ in self.length]
         for (token, sequence), state in zip(whole, automaton.ends, strict=True):
             here[state].append((len(sequence), token))
-        # nearest state on the suffix path, itself included, where a token ends
-        self.here, self.up = here, [0] * len(here)
-        for state in sorted(range(1, len(here)), key=self.length.__getitem__):
-            self.up[state] = state if here[state] else self.up[self.link[state]]
         for x in here:
             x.sort(reverse=True)
+        # all tokens on the suffix path of a state, long ones first
+        self.ending: list[tuple[tuple[int, int], ...]] = [()] * len(here)
+        for state in sorted(range(1, len(here)), key=self.length.__getitem__):
+            self.ending[state] = (*here[state], *self.ending[self.link[state]])
         self._pairs: dict[int, bool] = {}
-        self._recent: dict[bytes, bytes] = {}
-        self._older: dict[bytes, bytes] = {}
+        self._table = PieceTable(self._encode_pieces)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the symbols of ``a`` followed by those of ``b`` are encoded as ``a, b``.
@@ -188,7 +187,7 @@ class Codec:
         that token begins. Two neighbours with a common beginning share that
         part of the table, so it is filled only from where they differ.
         """
-        go, link, length, up, here, size = self.go, self.link, self.length, self.up, self.here, self.size
+        go, link, length, ending, size = self.go, self.link, self.length, self.ending, self.size
         inner, final, pairs = self.inner, self.final, self._pairs
         last: list[int] = []
         begins: list[int] = []
@@ -209,24 +208,19 @@ class Codec:
                     state = link[state]
                     matched = length[state]
                 state, matched = to, matched + 1
-                at, found = up[state], False
-                while not found:
-                    for n, token in here[at]:
-                        if n > matched:
-                            continue
-                        if n <= i:
-                            key = last[i - n] * size + token
-                            fits = pairs.get(key)
-                            if fits is None:
-                                fits = pairs[key] = self.compatible(last[i - n], token)
-                            if not fits:
-                                continue
-                        last.append(token)
-                        begins.append(i - n)
-                        found = True
-                        break
-                    else:
-                        at = up[link[at]]
+                for n, token in ending[state]:
+                    if n > i:
+                        if n <= matched:
+                            break
+                    elif n <= matched:
+                        key = last[i - n] * size + token
+                        fits = pairs.get(key)
+                        if fits is None:
+                            fits = pairs[key] = self.compatible(last[i - n], token)
+                        if fits:
+                            break
+                last.append(token)
+                begins.append(i - n)
                 states.append(state)
                 matches.append(matched)
             ids, i = [], end
@@ -255,38 +249,27 @@ class Codec:
             out.extend([self.special[word]] if word in self.special else self.encode_words([word.encode()])[0])
         return out
 
-    def _encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids, as bytes, of pieces that each hold whole words."""
-        recent, older = self._recent, self._older
-        if len(recent) > CACHE_ENTRIES:
-            self._older, self._recent = recent, {}
-            recent, older = self._recent, self._older
-        if len(self._pairs) > 3 * CACHE_ENTRIES:
+    def _encode_pieces(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of different pieces that each hold whole words."""
+        if len(self._pairs) > MOST_PAIRS:
             self._pairs.clear()
         simple, mixed = {}, []
         for piece in pieces:
-            if piece not in recent:
-                known = older.get(piece)
-                if known is not None:
-                    recent[piece] = known
-                elif piece.isalpha():  # ASCII letters only: one word
-                    simple.setdefault(piece, []).append(piece)
-                elif _one_word(text := piece.decode()):
-                    simple.setdefault(text.lower().encode(), []).append(piece)
-                else:
-                    mixed.append(piece)
-        order = sorted(simple)
-        for word, ids in zip(order, self.encode_words(order), strict=True):
-            raw = np.array(ids, "<u4").tobytes()
-            for piece in simple[word]:
-                recent[piece] = raw
+            if piece.isalpha():  # ASCII letters only: one word
+                simple[piece] = piece
+            elif _one_word(text := piece.decode()):
+                simple[piece] = text.lower().encode()
+            else:
+                mixed.append(piece)
         split = {piece: self.split(piece.decode()) for piece in mixed}
-        words = sorted({w.encode() for ws in split.values() for w in ws if w not in self.special})
-        known = dict(zip(words, self.encode_words(words), strict=True))
+        words = set(simple.values())
+        words.update(w.encode() for ws in split.values() for w in ws if w not in self.special)
+        order = sorted(words)
+        known = dict(zip(order, self.encode_words(order), strict=True))
+        out = {piece: known[word] for piece, word in simple.items()}
         for piece, ws in split.items():
-            ids = [i for w in ws for i in ((self.special[w],) if w in self.special else known[w.encode()])]
-            recent[piece] = np.array(ids, "<u4").tobytes()
-        return [recent[x] for x in pieces]
+            out[piece] = tuple(i for w in ws for i in ((self.special[w],) if w in self.special else known[w.encode()]))
+        return [out[piece] for piece in pieces]
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, one after the other, and where each text's ids begin.
@@ -311,19 +294,8 @@ class Codec:
         begin, end = begin[:-1], begin[1:]
         full = ~blank[begin]
         begin, end = begin[full], end[full]
-        names = range_hashes(data, begin, end)
-        which, different = pd.factorize(names)
-        shown = np.empty(len(different), np.int64)
-        shown[which[::-1]] = np.arange(len(which))[::-1]
-        raw = data.tobytes()
-        ids = self._encode_pieces([raw[x:y] for x, y in zip(begin[shown].tolist(), end[shown].tolist(), strict=True)])
-        table = np.frombuffer(b"".join(ids), "<u4")
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
-        each = sizes[which]
-        total = np.concatenate(([0], np.cumsum(each)))
-        source = (np.cumsum(sizes) - sizes)[which] - total[:-1]
-        out = table[np.repeat(source, each) + np.arange(total[-1])]
-        return out, total[np.searchsorted(begin, at)]
+        ids, total = self._table.numbers(data, begin, end)
+        return ids, total[np.searchsorted(begin, at)]
 
 
 def _one_word(text: str) -> bool:

@@ -81,15 +81,14 @@ class PieceCodec:
         usable = [(len(text), t, tuple(self.letter[c] for c in text)) for text, t in self.token.items() if self.left[t] is not None or len(text) == 1]
         automaton = SuffixAutomaton([symbols for _, _, symbols in usable], width)
         self.width, self.go, self.link, self.length = width, automaton.go, automaton.link, automaton.length
+        #: tokens on the suffix path of a state, long ones first
         self.ending: list[list[tuple[int, int]]] = [[] for _ in self.length]
         for (size, t, _), state in zip(usable, automaton.ends, strict=True):
             self.ending[state].append((size, t))
-        #: nearest state on the suffix path, itself included, at which a token ends
-        self.nearest = [0] * len(self.ending)
-        for state in sorted(range(1, len(self.ending)), key=self.length.__getitem__):
-            self.nearest[state] = state if self.ending[state] else self.nearest[self.link[state]]
         for found in self.ending:
             found.sort(reverse=True)
+        for state in sorted(range(1, len(self.ending)), key=self.length.__getitem__):
+            self.ending[state] += self.ending[self.link[state]]
 
         self.reaches = self._reaches()
         self._pairs: dict[int, bool] = {}
@@ -190,7 +189,7 @@ class PieceCodec:
         The table of a text holds for every prefix its last token and where that
         token begins; neighbours share it as far as they begin alike.
         """
-        go, link, length, nearest, ending = self.go, self.link, self.length, self.nearest, self.ending
+        go, link, length, ending = self.go, self.link, self.length, self.ending
         letter, width, size, pairs = self.letter, self.width, self.size, self._pairs
         emitted, pieces = self.emitted, len(self.kinds)
         if len(pairs) > MOST_PAIRS:
@@ -213,22 +212,17 @@ class PieceCodec:
                     matched = length[state]
                 state, matched = to, matched + 1
                 path.append((state, matched))
-                at = nearest[state]
-                while True:
-                    for n, t in ending[at]:
+                for n, t in ending[state]:
+                    if n > i:
                         if n <= matched:
-                            if n > i:
-                                break
-                            key = token[i - n] * size + t
-                            fits = pairs.get(key)
-                            if fits is None:
-                                fits = pairs[key] = self.compatible(token[i - n], t)
-                            if fits:
-                                break
-                    else:
-                        at = nearest[link[at]]
-                        continue
-                    break
+                            break
+                    elif n <= matched:
+                        key = token[i - n] * size + t
+                        fits = pairs.get(key)
+                        if fits is None:
+                            fits = pairs[key] = self.compatible(token[i - n], t)
+                        if fits:
+                            break
                 token.append(t)
                 begin.append(i - n)
             ids, i, spelled = [], len(run) - 1, False
@@ -269,9 +263,7 @@ class PieceCodec:
         edge[1:-1] = ~self.reaches[(data[:-1].astype(np.uint16) << 8) | data[1:]]
         edge[at] = True
         begin = np.flatnonzero(edge)
-        raw, places = data.tobytes(), begin.tolist()
-        parts = [raw[x:y] for x, y in zip(places[:-1], places[1:], strict=True)]
-        ids, total = self._table.numbers(parts)
+        ids, total = self._table.numbers(data, begin[:-1], begin[1:])
         return ids, total[np.searchsorted(begin, at)]
 
     # -- decoding ----------------------------------------------------------

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -184,6 +185,36 @@ def range_names(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     return range_hashes(data, begin, end, Names)
 
 
+def equal_ranges(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each range the number of its group of equal ones, and for each group one of its ranges.
+
+    Groups are found by hash and then compared byte by byte with the one that is
+    shown; ranges that differ from it, which only happens where hashes collide, get groups of their own.
+    """
+    group, different = pd.factorize(range_hashes(data, begin, end))
+    shown = np.empty(len(different), np.int64)
+    shown[group[::-1]] = np.arange(len(group))[::-1]
+    like = shown[group]
+    size = end - begin
+    apart = size != size[like]
+    again = np.flatnonzero((like != np.arange(len(like))) & ~apart)
+    each = size[again]
+    before = np.cumsum(each) - each
+    at = np.repeat(begin[again] - before, each)
+    at += np.arange(len(at))
+    unlike = data[at] != data[at + np.repeat(begin[like[again]] - begin[again], each)]
+    if unlike.any():
+        apart[again[np.searchsorted(before, np.flatnonzero(unlike), side="right") - 1]] = True
+    own: dict[bytes, int] = {}
+    for i in np.flatnonzero(apart).tolist():
+        raw = data[begin[i] : end[i]].tobytes()
+        if raw not in own:
+            own[raw] = len(shown)
+            shown = np.append(shown, i)
+        group[i] = own[raw]
+    return group, shown
+
+
 def word_names(w: Words) -> np.ndarray:
     """As :func:`word_hashes`, for telling words apart."""
     return range_names(w.data, w.starts, w.ends)
