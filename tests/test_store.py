@@ -262,6 +262,19 @@ def test_compaction_leaves_out_what_no_longer_counts(store, spark, tmp_path):
     assert new.get(a).count() == 3 and store.get(a).count() == 2
 
 
+def test_compaction_that_merges(store, spark, tmp_path):
+    day = 86_400_000_000_000
+    a = store.create(pd.Series([1.0, 2.0, 5.0], index=[1, 2, day + 1]))["TimeSeriesId"]
+    store.append(pd.Series([20.0, 30.0], index=[2, 3]), a)
+    new = store.compact(str(tmp_path / "merged"), merge=True)
+    assert points(new.get(a)) == points(store.get(a)) == [(1, 1.0), (2, 20.0), (3, 30.0), (day + 1, 5.0)]
+    assert new.samples.count() == 4 and store.samples.count() == 5
+    assert new.manifest.groupBy("series_id", "day").count().filter("count > 1").isEmpty()
+    new.append(pd.Series([21.0], index=[2]), a)
+    assert points(new.get(a))[1] == (2, 21.0)
+    assert new.info(a).first().last_index == day + 1
+
+
 def test_one_schema_whatever_is_stored(store):
     n = store.create(pd.Series([1.0], index=[1]))["TimeSeriesId"]
     t = store.create(pd.Series(["x"], index=[1]))["TimeSeriesId"]

@@ -245,11 +245,12 @@ class SeriesStore:
         none = self.spark.createDataFrame([], "series_id string, file_id string, state string")
         return read_receipts(self.spark, out).unionByName(ingest.receipts_of(queued, none))
 
-    def compact(self, root: str) -> SeriesStore:
+    def compact(self, root: str, *, merge: bool = False) -> SeriesStore:
         """The same collection in a new folder, with what no longer counts left
         out: superseded log rows, deleted series, their samples and uploads that
-        broke off. Days of a series that several uploads touched are folded into
-        one, so that later reads of them need no shuffle."""
+        broke off. Samples are not overlaid, so listings stay true. With ``merge``
+        the days of a series that several uploads touched are folded into one
+        upload, so that later reads of them need no shuffle."""
         new = SeriesStore(self.spark, root, user=self.user)
         alive = settle(self.series.select("series_id"), "alive")
         manifest = settle(lookup_join(self.manifest, alive, ["series_id"], "left_semi"), "manifest")
@@ -257,8 +258,9 @@ class SeriesStore:
         write_samples(samples, new._path("samples"))
         for name, rows in (("series", self.series), ("metadata", self.metadata), ("links", self.links)):
             new._log(name, rows)
-        merged = merge_contested(self.spark, new._path("samples"), manifest)
-        merged.write.mode("append").parquet(new._path("manifest"))
+        if merge:
+            manifest = merge_contested(self.spark, new._path("samples"), manifest)
+        manifest.write.mode("append").parquet(new._path("manifest"))
         return new
 
     def delete(self, series_id: str) -> None:
