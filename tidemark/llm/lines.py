@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.runtime import free_names, ship_code, stored
+from tidemark.llm.runtime import free_names, ship_code, stored, temporary
 from tidemark.llm.textbatch import range_names, slices, utf8, windows_by_minimum, words
 
 #: Lines in a window. A repeated run this long always shares a fingerprint.
@@ -179,14 +179,15 @@ def remove_repeated_lines(
     ship_code(docs.sparkSession)
     counts = ("n_lines", "n_lines_removed")
     kept = [c for c in docs.columns if c not in counts]
-    if least_words is None:
-        width = run_lines
-        found = repeated_windows(stored(line_windows(docs, id_col, text_col, run_lines), "line-fingerprints"), run_lines)
-    else:
-        width = 1
-        found = repeated_runs(docs, id_col, text_col, run_lines, least_words)
+    width = run_lines if least_words is None else 1
     th, doc, mark, at_lines = free_names(docs, "_th", "_doc", "_hash", "_spots")
-    spots = found.groupBy("doc_id", "th").agg(F.collect_set("at").alias(at_lines)).withColumnsRenamed({"doc_id": doc, "th": mark})
+    with temporary(docs.sparkSession):
+        if least_words is None:
+            found = repeated_windows(stored(line_windows(docs, id_col, text_col, run_lines), "line-fingerprints"), run_lines)
+        else:
+            found = repeated_runs(docs, id_col, text_col, run_lines, least_words)
+        spots = stored(found.groupBy("doc_id", "th").agg(F.collect_set("at").alias(at_lines)), "lines-to-cut", keep=True)
+    spots = spots.withColumnsRenamed({"doc_id": doc, "th": mark})
     rows = docs.select(*kept, F.xxhash64(text_col).alias(th))
     joined = rows.join(spots, (F.col(id_col).cast("long") == F.col(doc)) & (F.col(th) == F.col(mark)), "left").select(*kept, at_lines)
 

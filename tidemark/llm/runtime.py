@@ -5,15 +5,20 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import scratch_dir, settle, shared_dir
+from tidemark.session import drop_folder, scratch_dir, shared_dir
 
 _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
+#: Folders written inside each open :func:`temporary`, the innermost last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -45,14 +50,35 @@ def free_names(df: DataFrame, *wishes: str) -> list[str]:
     return out
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is :func:`stored` inside is removed at the end, unless it is kept.
+
+    What leaves the block must be read from kept frames only; a kept one belongs
+    to the block around, if there is one.
+    """
+    folders: list[str] = []
+    token = _open.set((*_open.get(), folders))
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for path in folders:
+            drop_folder(spark, path)
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     What is written survives lost executors, and later steps read the file
     instead of running ``df`` again. A join with what was stored can be split by
     adaptive execution where a key is hot, which a join with an aggregate cannot.
     """
-    return settle(df, label)
+    out, path = stored_at(df, label)
+    blocks = _open.get()[:-1] if keep else _open.get()
+    if blocks:
+        blocks[-1].append(path)
+    return out
 
 
 def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:

@@ -24,19 +24,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components, local_roots
-from tidemark.llm.runtime import ship_code, stored
-from tidemark.llm.textbatch import Names, mix, range_names, slices, words
+from tidemark.llm.runtime import ship_code, stored, stored_at, temporary
+from tidemark.llm.textbatch import Names, mix, range_names, slices, utf8, words
+from tidemark.session import drop_folder
 
 SHINGLE_WORDS = 3
 RADIUS = 2
 #: Fingerprints of one bucket that are compared in one task; larger buckets are cut and compared block by block.
 BLOCK_ROWS = 1024
 
-#: Words in a shingle, least Jaccard coefficient in per cent, and radius of near-copies.
-#: Shingle sets at 80 % differ in 9.7 bits on average, with a deviation of 2.9.
+#: Words in a shingle and least Jaccard coefficient of near-copies in per cent.
 COPY_WORDS = 5
 COPY_PERCENT = 80
-COPY_RADIUS = 20
+#: Most 64-bit words in the parities of a set; sets of some 9 000 shingles are told apart by so many.
+PARITY_WORDS = 64
+#: Buckets of up to so many rows are compared pair by pair, larger ones by bit planes.
+FEW_ROWS = 16
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _TABLES = tuple(combinations(range(4), 2))
@@ -100,12 +103,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 class BitPlanes:
-    """Fingerprints stored vertically: ``planes[b]`` has bit b of all of them."""
+    """Fingerprints stored vertically: ``planes[b]`` has bit b of all of them.
+
+    A fingerprint is one 64-bit number or a row of several.
+    """
 
     def __init__(self, fps: np.ndarray):
         self.n = len(fps)
-        bits = np.unpackbits(fps.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        padded = np.zeros((64, -(-self.n // 64) * 64), np.uint8)
+        bits = np.unpackbits(fps.astype("<u8").reshape(self.n, -1).view(np.uint8), axis=1, bitorder="little")
+        padded = np.zeros((bits.shape[1], -(-self.n // 64) * 64), np.uint8)
         padded[:, : self.n] = bits.T
         self.planes = np.packbits(padded, axis=1, bitorder="little").view("<u8")
 
@@ -124,9 +130,10 @@ class BitPlanes:
         counter = [np.zeros(shape, np.uint64) for _ in range(width)]
         over = np.zeros(shape, np.uint64)
         out = np.zeros((len(fps), self.n), bool)
-        query = fps.astype(np.uint64)
-        for b in range(0, 64, 2):
-            x, y = (self.planes[b + i] ^ np.where((query >> np.uint64(b + i)) & np.uint64(1), full, np.uint64(0))[:, None] for i in (0, 1))
+        query = fps.astype(np.uint64).reshape(len(fps), -1)
+        for b in range(0, len(self.planes), 2):
+            word = query[:, b // 64]
+            x, y = (self.planes[b + i] ^ np.where((word >> np.uint64((b + i) % 64)) & np.uint64(1), full, np.uint64(0))[:, None] for i in (0, 1))
             half = x ^ y
             carry = (x & y) | (counter[0] & half)
             counter[0] = counter[0] ^ half
@@ -283,31 +290,78 @@ def shingle_sets(column: pa.Array, size: int = COPY_WORDS) -> Iterator[np.ndarra
         yield np.unique(rolling.ranges(begin, np.minimum(begin + size, b)))
 
 
+def parities(h: np.ndarray) -> bytes:
+    """For each place 1 if an odd number of hashes has it as its lowest bits.
+
+    An element that only one of two sets has turns one place over, so parities
+    differ in no more places than there are such elements. There are twice as
+    many places as hashes at least, up to ``64 * PARITY_WORDS``.
+    """
+    size = 64 * min(PARITY_WORDS, 1 << max(0, (2 * len(h) - 1) // 64).bit_length())
+    odd = np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Parities:
+    """Parities of some sets, of different widths, and the sizes of the sets."""
+
+    def __init__(self, n: np.ndarray, column: pa.Array):
+        self.n, (raw, at) = n, utf8(column)
+        self.raw, self.at, self.width = raw, at[:-1], np.diff(at) // 8
+
+    def rows(self, index: np.ndarray, width: int, to: int) -> np.ndarray:
+        """These sets' parities, all ``width`` numbers wide, folded to ``to``."""
+        rows = self.raw[self.at[index][:, None] + np.arange(8 * width)].view("<u8").astype(np.uint64)
+        return np.bitwise_xor.reduce(rows.reshape(len(index), width // to, to), axis=1)
+
+
+def near_by_parity(a: Parities, i: np.ndarray, b: Parities, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs may have a Jaccard coefficient of ``percent``, by sizes and parities; no pair that has is lost.
+
+    Sets of n and m elements with coefficient t differ in (n + m) (1 - t) / (1 + t) elements.
+    """
+    n, m = a.n[i], b.n[j]
+    near = (100 * n >= percent * m) & (100 * m >= percent * n)
+    widths = a.width[i] * (2 * PARITY_WORDS) + b.width[j]
+    for kind in np.unique(widths[near]).tolist():
+        x, y = divmod(kind, 2 * PARITY_WORDS)
+        here = np.flatnonzero(near & (widths == kind))
+        for at in range(0, len(here), 1 << 14):
+            part = here[at : at + (1 << 14)]
+            far = np.bitwise_count(a.rows(i[part], x, min(x, y)) ^ b.rows(j[part], y, min(x, y))).sum(axis=1, dtype=np.int64)
+            near[part] = (100 + percent) * far <= (100 - percent) * (n[part] + m[part])
+    return near
+
+
 def shingle_sketches(docs: DataFrame, size: int = COPY_WORDS, percent: int = COPY_PERCENT) -> DataFrame:
-    """``id``, ``th``, ``n`` (shingles), ``fp`` and ``whole`` (of the set), and ``prefix`` for rows of ``id``, ``th``, ``text``.
+    """``id``, ``th``, ``n`` (shingles), ``fp`` and ``whole`` (of the set), ``prefix`` and ``bits`` for rows of ``id``, ``th``, ``text``.
 
     ``prefix`` has the smallest hashes of the set, so many that two sets with a
-    Jaccard coefficient of ``percent`` or more share one of them at least.
+    Jaccard coefficient of ``percent`` or more share one of them at least. ``bits``
+    are its :func:`parities`.
     """
     ship_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            n, fp, whole, least = [], [], [], []
+            n, fp, whole, least, bits = [], [], [], [], []
             for h in shingle_sets(batch.column("text"), size):
                 n.append(len(h))
                 fp.append(majority(h))
                 whole.append(int(mix(h ^ np.uint64(size)).sum(dtype=np.uint64)))
                 least.append(h[: len(h) - -(-percent * len(h) // 100) + 1])
+                bits.append(parities(h))
             at = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in least]))), pa.int32())
             prefix = pa.ListArray.from_arrays(at, pa.array(np.concatenate(least).view(np.int64)))
             longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (n, fp, whole)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), *longs, prefix], ["id", "th", "n", "fp", "whole", "prefix"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("th"), *longs, prefix, pa.array(bits, pa.binary())], ["id", "th", "n", "fp", "whole", "prefix", "bits"]
+            )
 
     schema = T.StructType([docs.schema["id"], docs.schema["th"]])
     for name in ("n", "fp", "whole"):
         schema = schema.add(name, "long")
-    return docs.mapInArrow(run, schema.add("prefix", T.ArrayType(T.LongType())))
+    return docs.mapInArrow(run, schema.add("prefix", T.ArrayType(T.LongType())).add("bits", "binary"))
 
 
 def _verified(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> DataFrame:
@@ -320,68 +374,169 @@ def _verified(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> Da
             lists = pa.ListArray.from_arrays(at, pa.array(np.concatenate(sets).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), lists], ["id", "th", "s"])
 
-    ends = pairs.select(F.col("x_id").alias("id"), F.col("x_th").alias("th")).union(pairs.select("id", "th")).distinct()
     schema = T.StructType([plain.schema["id"], plain.schema["th"]]).add("s", T.ArrayType(T.LongType()))
-    sets = stored(plain.join(ends, ["id", "th"], "left_semi").mapInArrow(run, schema), "shingle-sets")
-    first = sets.select(F.col("id").alias("x_id"), F.col("th").alias("x_th"), F.col("s").alias("x_s"))
-    both = pairs.join(first, ["x_id", "x_th"]).join(sets, ["id", "th"]).withColumn("i", F.size(F.array_intersect("x_s", "s")))
-    near = both.where(100 * F.col("i") >= percent * (F.size("x_s") + F.size("s") - F.col("i")))
-    return stored(near.select("id", "th").distinct(), "near-copies")
+    with temporary(plain.sparkSession):
+        pairs = stored(pairs.distinct(), "near-pairs")
+        ends = pairs.select(F.col("x_id").alias("id"), F.col("x_th").alias("th")).union(pairs.select("id", "th")).distinct()
+        sets = stored(plain.join(ends, ["id", "th"], "left_semi").mapInArrow(run, schema), "shingle-sets")
+        first = sets.select(F.col("id").alias("x_id"), F.col("th").alias("x_th"), F.col("s").alias("x_s"))
+        both = pairs.join(first, ["x_id", "x_th"]).join(sets, ["id", "th"]).withColumn("i", F.size(F.array_intersect("x_s", "s")))
+        near = both.where(100 * F.col("i") >= percent * (F.size("x_s") + F.size("s") - F.col("i")))
+        return stored(near.select("id", "th").distinct(), "near-copies", keep=True)
+
+
+_ENDS = ("x_id", "x_th", "id", "th")
+
+
+def _with_first(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a row and the first one of one of its hashes that may be near-copies; ``x_`` is the first."""
+    first = left.groupBy("h").agg(F.min_by(F.struct("id", "th", "n", "bits"), "id").alias("x"))
+    rows = left.join(first, "h").where(F.col("x.id") < F.col("id")).select(*(F.col(f"x.{c}").alias(f"x_{c}") for c in ("id", "th", "n", "bits")), "id", "th", "n", "bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.arange(batch.num_rows)
+            x, y = (Parities(batch.column(f"{p}n").to_numpy(zero_copy_only=False), batch.column(f"{p}bits")) for p in ("x_", ""))
+            yield batch.select(_ENDS).filter(pa.array(near_by_parity(x, at, y, at, percent)))
 
+    return rows.mapInArrow(run, T.StructType([rows.schema[c] for c in _ENDS]))
 
-def _candidates(first: DataFrame, places: DataFrame, radius: int, percent: int) -> DataFrame:
-    """Pairs of rows that share a hash and may be near-copies by size and fingerprint; ``x_`` has the smaller id."""
-    pairs = first.select("h", *(F.col(c).alias(f"x_{c}") for c in ("id", "th", "n", "fp"))).join(places, "h")
-    sizes = (100 * F.col("x_n") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("x_n"))
-    close = (F.col("x_id") < F.col("id")) & sizes & (F.bit_count(F.col("x_fp").bitwiseXOR(F.col("fp"))) <= radius)
-    return stored(pairs.where(close).select("x_id", "x_th", "id", "th").distinct(), "near-pairs")
 
+def _in_blocks(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs of rows that share a hash and may be near-copies; ``x_`` has the smaller id.
 
-def without_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = COPY_WORDS, percent: int = COPY_PERCENT, radius: int = COPY_RADIUS
-) -> DataFrame:
+    The rows of a hash are dealt to blocks, and each pair of blocks is compared
+    in a task of its own.
+    """
+    crowded = left.groupBy("h").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"), F.count("*").alias("k")).where("k > 1").drop("k")
+    own = F.pmod(F.xxhash64("id", "th"), F.col("blocks")).cast("int")
+    rows = (
+        left.join(crowded, "h")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "th", "n", "bits")
+        .repartition("h", "i", "j")
+        .sortWithinPartitions("h", "i", "j")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the last blocks, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if all(batch.column(c)[-1] == held[0].column(c)[0] for c in ("h", "i", "j")):
+                continue
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            begins = _begins(whole)
+            yield from _compare_blocks(whole.slice(0, begins[-1]), begins[:-1], percent)
+            held = [whole.slice(begins[-1])]
+        if held:
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield from _compare_blocks(whole, _begins(whole), percent)
+
+    return rows.mapInArrow(run, T.StructType([T.StructField(c, left.schema[c.removeprefix("x_")].dataType) for c in _ENDS]))
+
+
+def _begins(batch: pa.RecordBatch) -> np.ndarray:
+    """Where another hash or pair of blocks begins."""
+    keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "i", "j")]
+    return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))))
+
+
+def _compare_blocks(batch: pa.RecordBatch, begins: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs that may be near-copies, of rows between two of ``begins``."""
+    if not batch.num_rows:
+        return
+    i, j, own, ids, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("i", "j", "own", "id", "n"))
+    sets = Parities(n, batch.column("bits"))
+    ends = np.append(begins[1:], batch.num_rows)
+    sizes = ends - begins
+    few = sizes <= FEW_ROWS
+    group = np.repeat(np.arange(len(begins)), sizes)
+    for d in range(1, int(sizes[few].max(initial=1))):
+        a = np.flatnonzero((group[d:] == group[:-d]) & few[group[d:]])
+        a = a[(i[a] == j[a]) | (own[a] != own[a + d])]
+        yield _ordered(batch, ids, a, a + d, near_by_parity(sets, a, sets, a + d, percent))
+    for begin, end in zip(begins[~few].tolist(), ends[~few].tolist(), strict=True):
+        here = begin + np.flatnonzero(own[begin:end] == i[begin])
+        there = begin + np.flatnonzero(own[begin:end] == j[begin])
+        for x in np.unique(sets.width[here]).tolist():
+            for y in np.unique(sets.width[there]).tolist():
+                left, right = here[sets.width[here] == x], there[sets.width[there] == y]
+                radius = (100 - percent) * int(n[left].max() + n[right].max()) // (100 + percent)
+                width = min(x, y)
+                if 100 * max(n[left].max(), n[right].max()) < percent * min(n[left].min(), n[right].min()):
+                    continue
+                planes = BitPlanes(sets.rows(right, y, width)) if radius < 64 * width else None
+                for at in range(0, len(left), 256):
+                    part = left[at : at + 256]
+                    mask = planes.within(sets.rows(part, x, width), radius) if planes else np.ones((len(part), len(right)), bool)
+                    a, b = np.nonzero(mask & (part[:, None] < right if i[begin] == j[begin] else True))
+                    a, b = part[a], right[b]
+                    yield _ordered(batch, ids, a, b, near_by_parity(sets, a, sets, b, percent))
+
+
+def _ordered(batch: pa.RecordBatch, ids: np.ndarray, a: np.ndarray, b: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+    """The near ones of these pairs of rows with different ids, the smaller id first."""
+    near &= ids[a] != ids[b]
+    a, b = a[near], b[near]
+    swap = ids[a] > ids[b]
+    a, b = pa.array(np.where(swap, b, a)), pa.array(np.where(swap, a, b))
+    return pa.RecordBatch.from_arrays([batch.column(c).take(k) for k in (a, b) for c in ("id", "th")], list(_ENDS))
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = COPY_WORDS, percent: int = COPY_PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay when later near-copies go.
 
     Near-copies have sets of ``size``-word shingles with a Jaccard coefficient of
-    ``percent`` at least and fingerprints of these sets within ``radius`` bits.
-    Of two rows that stay none is a near-copy of the other, and each row that
-    goes has a near-copy with a smaller id in ``docs``. At such radii, tables of
-    fingerprint bits cost more than comparing everything; candidates instead
-    share one of the smallest hashes of their sets, which loses no pair. Equal
+    ``percent`` at least. Of two rows that stay none is a near-copy of the other,
+    and each row that goes has a near-copy with a smaller id in ``docs``. At such
+    coefficients, tables of fingerprint bits cost more than comparing everything;
+    candidates instead share one of the smallest hashes of their sets and have
+    sizes and parities that allow the coefficient, none of which loses a pair. Equal
     sets are one node from the start. Then every node is compared with the
     first one of each of its hashes, until that takes few away, so that large
-    groups shrink before the rest are compared with each other. Texts without
+    groups shrink before the rest are compared with each other; the nodes of a
+    hash are cut into blocks, whose parities are compared by bit planes. Texts without
     words are copies of each other. Rows with a null id stay, as do rows that
     repeat an id and are copies of each other only. Shingles are told apart by
     64-bit hashes, equal sets by two. Ids must be whole numbers. All columns are
     returned as they are.
     """
+    with temporary(docs.sparkSession):
+        rows = stored(_near_copy_rows(docs, id_col, text_col, size, percent), "near-copy-rows", keep=True)
+    there = (docs[id_col].cast("long") == rows["_gone_id"]) & (F.xxhash64(docs[text_col].cast("string")) == rows["_gone_th"])
+    return docs.join(rows, there, "left_anti")
+
+
+def _near_copy_rows(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """``_gone_id`` and ``_gone_th`` (hash of the text) of the rows that go."""
+    spark = docs.sparkSession
     named = docs.where(F.col(id_col).isNotNull())
     plain = named.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
     found = stored(shingle_sketches(plain, size, percent), "shingle-sketches")
     same = ["whole", "fp", "n"]
-    least = found.groupBy(*same).agg(F.min("id").alias("id"))
     # one row for each set: of the smallest id, any text
-    nodes = found.join(stored(least, "least-ids"), [*same, "id"]).groupBy(*same, "id").agg(F.min("th").alias("th"))
-    nodes = stored(nodes, "shingle-nodes")
-    places = found.join(nodes, [*same, "id", "th"], "left_semi").select("id", "th", "n", "fp", F.explode("prefix").alias("h"))
+    nodes = found.groupBy(*same).agg(F.min(F.struct("id", "th")).alias("k"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    nodes = stored(nodes.select(*same, "k.*", "prefix", "bits"), "shingle-nodes")
+    places = nodes.select("id", "th", F.explode("prefix").alias("h"))
     shared = stored(places.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "shared-shingles")
-    left = stored(places.join(shared, "h"), "shared-places")
+    left, path = stored_at(places.join(shared, "h").join(nodes.select("id", "th", "n", "bits"), ["id", "th"]), "shared-places")
     gone = []
     while True:
-        first = left.join(left.groupBy("h").agg(F.min("id").alias("id")), ["h", "id"])
-        out = _verified(_candidates(first, left, radius, percent), plain, size, percent)
+        out = _verified(_with_first(left, percent), plain, size, percent)
         gone.append(out)
         taken, before = out.count(), left.select("id", "th").distinct().count()
         if taken:
-            left = stored(left.join(out, ["id", "th"], "left_anti"), "shared-places")
+            old, (left, path) = path, stored_at(left.join(out, ["id", "th"], "left_anti"), "shared-places")
+            drop_folder(spark, old)
         if 100 * taken <= before:
             break
-    gone.append(_verified(_candidates(left, left, radius, percent), plain, size, percent))
+    gone.append(_verified(_in_blocks(left, percent), plain, size, percent))
+    drop_folder(spark, path)
     every = reduce(DataFrame.union, gone).withColumn("late", F.lit(True))
-    late = nodes.join(every, ["id", "th"], "left").select(*same, F.col("id").alias("least"), "late")
+    late = nodes.select(*same, "id", "th").join(every, ["id", "th"], "left").select(*same, F.col("id").alias("least"), "late")
     # a set that goes takes all of its rows along
-    rows = found.join(late, same).where("late or id > least").select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct()
-    rows = stored(rows, "near-copy-rows")
-    there = (docs[id_col].cast("long") == rows["_gone_id"]) & (F.xxhash64(docs[text_col].cast("string")) == rows["_gone_th"])
-    return docs.join(rows, there, "left_anti")
+    rows = found.select("id", "th", *same).join(late, same).where("late or id > least")
+    return rows.select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct()

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.rules import let
-from tidemark.llm.runtime import free_names, ship_code, stored
+from tidemark.llm.runtime import free_names, ship_code, stored, temporary
 from tidemark.llm.textbatch import Names, slices, union_of_spans, utf8, windows_by_minimum, word_names, words
 
 WINDOW_WORDS = 50
@@ -297,7 +297,9 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     counts = ("n_words", "n_words_removed")
     kept = [c for c in docs.columns if c not in counts]
     th, doc, mark, found = free_names(docs, "_th", "_doc", "_hash", "_spans")
-    spans = repeated_spans(docs, id_col, text_col, window).withColumnsRenamed({"doc_id": doc, "th": mark, "spans": found})
+    with temporary(docs.sparkSession):
+        spans = stored(repeated_spans(docs, id_col, text_col, window), "passages-to-cut", keep=True)
+    spans = spans.withColumnsRenamed({"doc_id": doc, "th": mark, "spans": found})
     rows = docs.select(*kept, F.xxhash64(text_col).alias(th))
     joined = rows.join(spans, (F.col(id_col).cast("long") == F.col(doc)) & (F.col(th) == F.col(mark)), "left").select(*kept, found)
 
