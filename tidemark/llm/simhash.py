@@ -40,6 +40,8 @@ COPY_PERCENT = 80
 PARITY_WORDS = 64
 #: Buckets of up to so many rows are compared pair by pair, larger ones by bit planes.
 FEW_ROWS = 16
+#: Planes pay from so many pairs on; their steps cost the same for fewer.
+PLANE_PAIRS = 1 << 16
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _TABLES = tuple(combinations(range(4), 2))
@@ -468,7 +470,7 @@ def _compare_blocks(batch: pa.RecordBatch, begins: np.ndarray, percent: int) ->
                 width = min(x, y)
                 if 100 * max(n[left].max(), n[right].max()) < percent * min(n[left].min(), n[right].min()):
                     continue
-                planes = BitPlanes(sets.rows(right, y, width)) if radius < 64 * width else None
+                planes = BitPlanes(sets.rows(right, y, width)) if radius < 64 * width and len(left) * len(right) >= PLANE_PAIRS else None
                 for at in range(0, len(left), 256):
                     part = left[at : at + 256]
                     mask = planes.within(sets.rows(part, x, width), radius) if planes else np.ones((len(part), len(right)), bool)
