@@ -296,10 +296,10 @@ def parities(h: np.ndarray) -> bytes:
     """For each place 1 if an odd number of hashes has it as its lowest bits.
 
     An element that only one of two sets has turns one place over, so parities
-    differ in no more places than there are such elements. There are twice as
+    differ in no more places than there are such elements. There are as
     many places as hashes at least, up to ``64 * PARITY_WORDS``.
     """
-    size = 64 * min(PARITY_WORDS, 1 << max(0, (2 * len(h) - 1) // 64).bit_length())
+    size = 64 * min(PARITY_WORDS, 1 << max(0, (len(h) - 1) // 64).bit_length())
     odd = np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -392,7 +392,7 @@ _ENDS = ("x_id", "x_th", "id", "th")
 
 def _with_first(left: DataFrame, percent: int) -> DataFrame:
     """Pairs of a row and the first one of one of its hashes that may be near-copies; ``x_`` is the first."""
-    first = left.groupBy("h").agg(F.min_by(F.struct("id", "th", "n", "bits"), "id").alias("x"))
+    first = left.groupBy("h").agg(F.min(F.struct("id", "th", "n", "bits")).alias("x"))
     rows = left.join(first, "h").where(F.col("x.id") < F.col("id")).select(*(F.col(f"x.{c}").alias(f"x_{c}") for c in ("id", "th", "n", "bits")), "id", "th", "n", "bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -498,8 +498,8 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     candidates instead share one of the smallest hashes of their sets and have
     sizes and parities that allow the coefficient, none of which loses a pair. Equal
     sets are one node from the start. Then every node is compared with the
-    first one of each of its hashes, until that takes few away, so that large
-    groups shrink before the rest are compared with each other; the nodes of a
+    first one of each of its hashes, which then leaves the hash, until that takes
+    few away, so that large groups shrink before the rest are compared with each other; the nodes of a
     hash are cut into blocks, whose parities are compared by bit planes. Texts without
     words are copies of each other. Rows with a null id stay, as do rows that
     repeat an id and are copies of each other only. Shingles are told apart by
@@ -530,9 +530,11 @@ def _near_copy_rows(docs: DataFrame, id_col: str, text_col: str, size: int, perc
         out = _verified(_with_first(left, percent), plain, size, percent)
         gone.append(out)
         taken, before = out.count(), left.select("id", "th").distinct().count()
-        if taken:
-            old, (left, path) = path, stored_at(left.join(out, ["id", "th"], "left_anti"), "shared-places")
-            drop_folder(spark, old)
+        # the first of a hash has met all others there; what is left of a hash goes on if it is two rows at least
+        first = left.groupBy("h").agg(F.min(F.struct("id", "th")).alias("x"), F.count("*").alias("k")).where("k > 2").drop("k")
+        rest = left.join(first, "h").where(F.struct("id", "th") != F.col("x")).drop("x")
+        old, (left, path) = path, stored_at(rest.join(out, ["id", "th"], "left_anti"), "shared-places")
+        drop_folder(spark, old)
         if 100 * taken <= before:
             break
     gone.append(_verified(_in_blocks(left, percent), plain, size, percent))
