@@ -38,6 +38,8 @@ COPY_WORDS = 5
 COPY_PERCENT = 80
 #: Most 64-bit words in the parities of a set; sets of some 9 000 shingles are told apart by so many.
 PARITY_WORDS = 64
+#: Smallest shared hashes of a set that go along with each of its places; pairs that share one are named there only.
+MEETINGS = 4
 #: Buckets of up to so many rows are compared pair by pair, larger ones by bit planes.
 FEW_ROWS = 16
 #: Planes pay from so many pairs on; their steps cost the same for fewer.
@@ -388,6 +390,7 @@ def _verified(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> Da
 
 
 _ENDS = ("x_id", "x_th", "id", "th")
+_MET = tuple(f"m{i}" for i in range(MEETINGS))
 
 
 def _with_first(left: DataFrame, percent: int) -> DataFrame:
@@ -408,7 +411,8 @@ def _in_blocks(left: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows that share a hash and may be near-copies; ``x_`` has the smaller id.
 
     The rows of a hash are dealt to blocks, and each pair of blocks is compared
-    in a task of its own.
+    in a task of its own. A pair that shares one of its smallest hashes is named
+    there, or was compared there before, and not again at a larger hash.
     """
     crowded = left.groupBy("h").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"), F.count("*").alias("k")).where("k > 1").drop("k")
     own = F.pmod(F.xxhash64("id", "th"), F.col("blocks")).cast("int")
@@ -416,7 +420,7 @@ def _in_blocks(left: DataFrame, percent: int) -> DataFrame:
         left.join(crowded, "h")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "th", "n", "bits")
+        .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "th", "n", "bits", *_MET)
         .repartition("h", "i", "j")
         .sortWithinPartitions("h", "i", "j")
     )
@@ -480,9 +484,12 @@ def _compare_blocks(batch: pa.RecordBatch, begins: np.ndarray, percent: int) ->
 
 
 def _ordered(batch: pa.RecordBatch, ids: np.ndarray, a: np.ndarray, b: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
-    """The near ones of these pairs of rows with different ids, the smaller id first."""
+    """The near ones of these pairs of rows with different ids that have no smaller hash to meet at, the smaller id first."""
     near &= ids[a] != ids[b]
     a, b = a[near], b[near]
+    h, *least = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", *_MET))
+    near = ~np.logical_or.reduce([(x[a] < h[a]) & (x[a] == y[b]) for x in least for y in least])
+    a, b = a[near], b[near]
     swap = ids[a] > ids[b]
     a, b = pa.array(np.where(swap, b, a)), pa.array(np.where(swap, a, b))
     return pa.RecordBatch.from_arrays([batch.column(c).take(k) for k in (a, b) for c in ("id", "th")], list(_ENDS))
@@ -524,7 +531,11 @@ def _near_copy_rows(docs: DataFrame, id_col: str, text_col: str, size: int, perc
     nodes = stored(nodes.select(*same, "k.*", "prefix", "bits"), "shingle-nodes")
     places = nodes.select("id", "th", F.explode("prefix").alias("h"))
     shared = stored(places.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "shared-shingles")
-    left, path = stored_at(places.join(shared, "h").join(nodes.select("id", "th", "n", "bits"), ["id", "th"]), "shared-places")
+    # a set's shared hashes in order; where it has fewer than MEETINGS, the others lie above all
+    lists = places.join(shared, "h").groupBy("id", "th").agg(F.sort_array(F.collect_list("h")).alias("hs"))
+    met = [F.coalesce(F.get("hs", F.lit(i)), F.lit((1 << 63) - 1)).alias(c) for i, c in enumerate(_MET)]
+    left = lists.join(nodes.select("id", "th", "n", "bits"), ["id", "th"]).select(F.explode("hs").alias("h"), "id", "th", "n", "bits", *met)
+    left, path = stored_at(left, "shared-places")
     gone = []
     while True:
         out = _verified(_with_first(left, percent), plain, size, percent)
