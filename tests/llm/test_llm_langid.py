@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm.langid import ORDER, identify, train, train_languages
 from tidemark.llm.queries import documents, op3_language_id
 from tidemark.llm.textbatch import utf8
@@ -132,3 +133,11 @@ def test_sample_is_bounded_and_fixed(spark, sf_dir):
         counts[r.lang] = counts.get(r.lang, 0) + 1
     assert set(counts.values()) == {10}
     assert sorted(one) == sorted(sample_per_label(keys.repartition(7), "lang", 10).collect())
+
+
+def test_the_stage_keeps_texts_of_a_corpus_without_languages(spark):
+    rows = [(1, "hello", None), (2, "½ ²", None), (3, None, None), (4, "", None), (5, "привет 1", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[4]]
+    assert kept.columns == docs.columns
