@@ -130,3 +130,11 @@ def test_weak_hashes_and_clashing_names_cut_nothing(spark):
     assert {r.doc_id: r.n_lines_removed for r in got.collect()} == {1: 0, 2: 0, 3: 3}
     cut = remove_repeated_lines(docs.select("doc_id", "text"), run_lines=3, least_words=5)
     assert {r.doc_id: r.n_lines_removed for r in cut.collect()} == {1: 0, 2: 0, 3: 3}
+
+
+def test_texts_are_merged_with_their_cuts_at_any_size(spark):
+    docs = spark.createDataFrame([(i, "a\nb\nc\n" + str(i)) for i in range(4)], "doc_id long, text string")
+    cut = remove_repeated_lines(docs)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(r.n_lines_removed for r in cut.collect()) == [0, 3, 3, 3]

@@ -187,7 +187,8 @@ def remove_repeated_lines(
         else:
             found = repeated_runs(docs, id_col, text_col, run_lines, least_words)
         spots = stored(found.groupBy("doc_id", "th").agg(F.collect_set("at").alias(at_lines)), "lines-to-cut", keep=True)
-    spots = spots.withColumnsRenamed({"doc_id": doc, "th": mark})
+    # a merge at any size: one plan for a small and a large corpus
+    spots = spots.withColumnsRenamed({"doc_id": doc, "th": mark}).hint("merge")
     rows = docs.select(*kept, F.xxhash64(text_col).alias(th))
     joined = rows.join(spots, (F.col(id_col).cast("long") == F.col(doc)) & (F.col(th) == F.col(mark)), "left").select(*kept, at_lines)
 
