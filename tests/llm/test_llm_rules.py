@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import random
 import re
 
-from tidemark.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
+from tidemark.llm.licenses import NOTICES, TEMPLATES, needed_pairs, scan_licenses, template_bigrams
 from tidemark.llm.queries import op4_quality_rules, op8_license_scan
 from tidemark.llm.rules import RULES, STOP_WORDS, apply_rules
 
@@ -84,6 +85,43 @@ def test_licenses(spark):
     assert scan_licenses(long).first().license == "MIT"
 
 
+def plain_statements(text):
+    """Every window of every length against every template."""
+    table = template_bigrams(NOTICES)
+    w = re.findall(r"[^\W_]+", (text or "").lower())
+    p = [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]
+    best = {}
+    for (name, pairs), needed in zip(table, needed_pairs(table), strict=True):
+        for i in range(len(p)):
+            for j in range(i, min(len(p), i + 3 * len(pairs) // 2)):
+                mine = set(p[i : j + 1])
+                dice = 2 * len(mine & set(pairs)) / (len(mine) + len(pairs))
+                if dice >= 0.8 and mine >= set(needed):
+                    best[name] = max(dice, best.get(name, 0))
+    return sorted(best.items())
+
+
+def test_statements_anywhere_in_a_text(spark):
+    rng = random.Random(3)
+    mit = next(t for n, t in NOTICES if n == "MIT" and len(t) > 100).split(" ")
+    texts = [
+        None, "", "word", "Copyright 2020 us. This project is released under the MIT License. Enjoy", "before it\nLicensed under\nCC BY 4.0 as\nsaid",
+        "Text licensed under CC BY-NC 4.0, code released under the MIT License.", "This work is licensed under the GNU General Public License, version 2.",
+        "This work is licensed under the GNU General Public License, version 4.", "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "\n".join(" ".join(mit[i : i + 9]) for i in range(0, len(mit), 9)) + "\nThe above copyright notice shall be included", "released under the mit " * 30,
+    ]
+    for _, notice in NOTICES:
+        words = notice.split(" ")
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = rng.choice(["other", "the", "License", "", "a b"])
+        texts.append("some words " * rng.randrange(3) + " ".join(words) + rng.choice([" and so on", "\nend", ""]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [[tuple(x) for x in r.statements] for r in scan_licenses(docs).sort("doc_id").collect()]
+    assert got == [plain_statements(t) for t in texts]
+    assert [[n for n, _ in x] for x in got[3:10]] == [["MIT"], ["CC-BY-4.0"], ["CC-BY-NC-4.0", "MIT"], ["GPL-2.0"], [], ["LGPL-3.0"], ["MIT"]]
+    assert scan_licenses(docs.limit(0)).select("statements").count() == 0
+
+
 def test_native_plans(spark, sf_dir):
     for query in (op4_quality_rules, op8_license_scan):
         plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

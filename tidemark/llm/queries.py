@@ -70,7 +70,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(documents(spark, sf_dir))
+    return licenses.scan_licenses(documents(spark, sf_dir)).select("doc_id", "license", "dice", "n_passages")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
