@@ -46,7 +46,8 @@ def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def deduplicate_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an earlier near-copy go: a Jaccard coefficient of 0.8 or more over shingles of five words.
 
-    Of a group the smallest id stays; rows with a null id stay, as do copies that
+    Groups of SimHash fingerprints of these shingles come first, then an exact search
+    of all pairs for what is left; rows with a null id stay, as do copies that
     repeat an id. Null and empty texts are copies of each other.
     """
     return simhash.without_near_copies(docs)

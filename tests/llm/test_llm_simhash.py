@@ -150,3 +150,25 @@ def test_the_stage_leaves_no_near_copies(spark):
     assert all(any(a[0] is not None and a[0] < b[0] and jaccard(a[1], b[1]) >= 0.8 for a in rows) for b in gone)
     assert len(gone) > 60 and (None, rows[0][1]) in stay and {(5, "a text of its own under a repeated id"), (2000, None), (2002, "a b")} <= set(stay)
     assert corpus_pipeline.deduplicate_near_copies(spark, docs.limit(0), "").count() == 0
+
+
+def test_the_stage_links_fingerprints_first(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(800)]
+    texts = [" ".join(base)] + [" ".join(base[:k] + ["other"] + base[k + 1 :]) for k in (0, 400, 799)]
+    texts += [" ".join(f"v{rng.randrange(5000)}" for _ in range(200)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs, of_group = [], simhash._of_group
+
+    def seen(nodes):
+        fps = {r.id: r.fp & (1 << 64) - 1 for r in nodes.collect()}
+        found = of_group(nodes).localCheckpoint()
+        pairs.extend((r.x_id, r.id) for r in found.collect())
+        least = plain_groups(list(fps.items()))
+        assert sorted(pairs) == sorted((c, i) for (i, _), c in zip(fps.items(), least, strict=True) if c != i)
+        return found
+
+    monkeypatch.setattr(simhash, "_of_group", seen)
+    kept = corpus_pipeline.deduplicate_near_copies(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, *range(4, 24)]
+    assert pairs

@@ -67,6 +67,18 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             drop_folder(spark, path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside hands Python batches of so many rows; a batch of texts stands beside the heap, in both processes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components, local_roots
-from tidemark.llm.runtime import ship_code, stored, stored_at, temporary
+from tidemark.llm.runtime import batches_of, ship_code, stored, stored_at, temporary
 from tidemark.llm.textbatch import Names, mix, range_names, slices, utf8, words
 from tidemark.session import drop_folder
 
@@ -40,8 +40,12 @@ COPY_PERCENT = 80
 PARITY_WORDS = 64
 #: Smallest shared hashes of a set that go along with each of its places; pairs that share one are named there only.
 MEETINGS = 4
+#: Rows of a batch that is handed to Python.
+COPY_BATCH = 2000
 #: Buckets of up to so many rows are compared pair by pair, larger ones by bit planes.
 FEW_ROWS = 16
+#: 64-bit words of parities that are compared at a time.
+PARITY_PART = 1 << 17
 #: Planes pay from so many pairs on; their steps cost the same for fewer.
 PLANE_PAIRS = 1 << 16
 
@@ -311,11 +315,11 @@ class Parities:
 
     def __init__(self, n: np.ndarray, column: pa.Array):
         self.n, (raw, at) = n, utf8(column)
-        self.raw, self.at, self.width = raw, at[:-1], np.diff(at) // 8
+        self.raw, self.at, self.width = raw.view("<u8"), at[:-1] // 8, np.diff(at) // 8
 
     def rows(self, index: np.ndarray, width: int, to: int) -> np.ndarray:
         """These sets' parities, all ``width`` numbers wide, folded to ``to``."""
-        rows = self.raw[self.at[index][:, None] + np.arange(8 * width)].view("<u8").astype(np.uint64)
+        rows = self.raw[self.at[index][:, None] + np.arange(width)].astype(np.uint64, copy=False)
         return np.bitwise_xor.reduce(rows.reshape(len(index), width // to, to), axis=1)
 
 
@@ -330,8 +334,9 @@ def near_by_parity(a: Parities, i: np.ndarray, b: Parities, j: np.ndarray, perce
     for kind in np.unique(widths[near]).tolist():
         x, y = divmod(kind, 2 * PARITY_WORDS)
         here = np.flatnonzero(near & (widths == kind))
-        for at in range(0, len(here), 1 << 14):
-            part = here[at : at + (1 << 14)]
+        step = max(1, PARITY_PART // max(x, y))
+        for at in range(0, len(here), step):
+            part = here[at : at + step]
             far = np.bitwise_count(a.rows(i[part], x, min(x, y)) ^ b.rows(j[part], y, min(x, y))).sum(axis=1, dtype=np.int64)
             near[part] = (100 + percent) * far <= (100 - percent) * (n[part] + m[part])
     return near
@@ -389,6 +394,22 @@ def _verified(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> Da
         return stored(near.select("id", "th").distinct(), "near-copies", keep=True)
 
 
+def _of_group(nodes: DataFrame) -> DataFrame:
+    """Pairs of a row and the first one of its group of fingerprints; ``x_`` is the first.
+
+    Groups are those of :func:`simhash_groups`, over the fingerprints of these sets.
+    """
+    prints = nodes.groupBy("fp").agg(F.min(F.struct("id", "th")).alias("k"))
+    prints = stored(prints.select("fp", "k"), "copy-fingerprints")
+    groups = components(near_pairs(prints.select("fp", F.col("fp").alias("node")))).withColumnRenamed("node", "fp")
+    first = prints.join(groups, "fp").groupBy("component").agg(F.min("k").alias("x"))
+    tied = groups.join(first, "component").select("fp", "x")
+    # a fingerprint without a near one is a group of the rows that have it
+    x = F.coalesce("x", "k")
+    rows = nodes.select("fp", "id", "th").join(prints.join(tied, "fp", "left").select("fp", x.alias("x")), "fp")
+    return rows.where(F.col("x.id") < F.col("id")).select(F.col("x.id").alias("x_id"), F.col("x.th").alias("x_th"), "id", "th")
+
+
 _ENDS = ("x_id", "x_th", "id", "th")
 _MET = tuple(f"m{i}" for i in range(MEETINGS))
 
@@ -500,20 +521,23 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Near-copies have sets of ``size``-word shingles with a Jaccard coefficient of
     ``percent`` at least. Of two rows that stay none is a near-copy of the other,
-    and each row that goes has a near-copy with a smaller id in ``docs``. At such
-    coefficients, tables of fingerprint bits cost more than comparing everything;
-    candidates instead share one of the smallest hashes of their sets and have
-    sizes and parities that allow the coefficient, none of which loses a pair. Equal
-    sets are one node from the start. Then every node is compared with the
-    first one of each of its hashes, which then leaves the hash, until that takes
-    few away, so that large groups shrink before the rest are compared with each other; the nodes of a
+    and each row that goes has a near-copy with a smaller id in ``docs``. Equal
+    sets are one node from the start. Fingerprints of the sets form groups as in
+    :func:`simhash_groups`, and a node goes if it is a near-copy of the first one of
+    its group. At such coefficients most near-copies lie outside the radius, and
+    tables of more bits cost more than comparing everything; the exact way for
+    the rest are candidates that share one of the smallest hashes of their sets and have
+    sizes and parities that allow the coefficient, none of which loses a pair. Every
+    node that is left is compared with the first one of each of its hashes,
+    which then leaves the hash, until that takes few away, so that large groups
+    shrink before the rest are compared with each other; the nodes of a
     hash are cut into blocks, whose parities are compared by bit planes. Texts without
     words are copies of each other. Rows with a null id stay, as do rows that
     repeat an id and are copies of each other only. Shingles are told apart by
     64-bit hashes, equal sets by two. Ids must be whole numbers. All columns are
     returned as they are.
     """
-    with temporary(docs.sparkSession):
+    with temporary(docs.sparkSession), batches_of(docs.sparkSession, COPY_BATCH):
         rows = stored(_near_copy_rows(docs, id_col, text_col, size, percent), "near-copy-rows", keep=True)
     there = (docs[id_col].cast("long") == rows["_gone_id"]) & (F.xxhash64(docs[text_col].cast("string")) == rows["_gone_th"])
     return docs.join(rows, there, "left_anti")
@@ -524,19 +548,22 @@ def _near_copy_rows(docs: DataFrame, id_col: str, text_col: str, size: int, perc
     spark = docs.sparkSession
     named = docs.where(F.col(id_col).isNotNull())
     plain = named.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
-    found = stored(shingle_sketches(plain, size, percent), "shingle-sketches")
     same = ["whole", "fp", "n"]
+    sketches, path = stored_at(shingle_sketches(plain, size, percent), "shingle-sketches")
+    found = stored(sketches.select("id", "th", *same), "shingle-names")
     # one row for each set: of the smallest id, any text
-    nodes = found.groupBy(*same).agg(F.min(F.struct("id", "th")).alias("k"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    nodes = sketches.groupBy(*same).agg(F.min(F.struct("id", "th")).alias("k"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     nodes = stored(nodes.select(*same, "k.*", "prefix", "bits"), "shingle-nodes")
-    places = nodes.select("id", "th", F.explode("prefix").alias("h"))
+    drop_folder(spark, path)
+    gone = [_verified(_of_group(nodes), plain, size, percent)]
+    rest = nodes.join(gone[0], ["id", "th"], "left_anti")
+    places = rest.select("id", "th", F.explode("prefix").alias("h"))
     shared = stored(places.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "shared-shingles")
     # a set's shared hashes in order; where it has fewer than MEETINGS, the others lie above all
     lists = places.join(shared, "h").groupBy("id", "th").agg(F.sort_array(F.collect_list("h")).alias("hs"))
     met = [F.coalesce(F.get("hs", F.lit(i)), F.lit((1 << 63) - 1)).alias(c) for i, c in enumerate(_MET)]
     left = lists.join(nodes.select("id", "th", "n", "bits"), ["id", "th"]).select(F.explode("hs").alias("h"), "id", "th", "n", "bits", *met)
     left, path = stored_at(left, "shared-places")
-    gone = []
     while True:
         out = _verified(_with_first(left, percent), plain, size, percent)
         gone.append(out)
