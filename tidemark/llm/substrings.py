@@ -299,7 +299,8 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     th, doc, mark, found = free_names(docs, "_th", "_doc", "_hash", "_spans")
     with temporary(docs.sparkSession):
         spans = stored(repeated_spans(docs, id_col, text_col, window), "passages-to-cut", keep=True)
-    spans = spans.withColumnsRenamed({"doc_id": doc, "th": mark, "spans": found})
+    # a merge at any size: one plan for a small and a large corpus
+    spans = spans.withColumnsRenamed({"doc_id": doc, "th": mark, "spans": found}).hint("merge")
     rows = docs.select(*kept, F.xxhash64(text_col).alias(th))
     joined = rows.join(spans, (F.col(id_col).cast("long") == F.col(doc)) & (F.col(th) == F.col(mark)), "left").select(*kept, found)
 
