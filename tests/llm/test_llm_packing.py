@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -9,8 +10,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tidemark.llm.bpe import codec_of
+from tidemark.llm.langid import identify, train
+from tidemark.llm.lines import remove_repeated_lines
 from tidemark.llm.packing import STEP_TOKENS, halve, pack, pack_documents, step_groups
 from tidemark.llm.queries import documents, op6_packing, tokenizer_path
+from tidemark.llm.simhash import without_near_copies
+from tidemark.llm.substrings import remove_repeated_passages
 
 
 def check_cover(pieces, sequences):
@@ -96,3 +102,22 @@ def test_null_empty_repeated_and_long_texts(spark):
     assert sum(r.length for r in got) == 2 + 1 + 1 + 1 + 9001
     assert {r.doc_tokens for r in got} == {1, 2, 9001}
     assert pack_documents(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_other_stages_free_a_workers_tokenizer(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "one two three four")], "doc_id long, text string")
+    tasks, kind = [], type(docs)
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, run, *a, **b: tasks.append(run) or plain(self, run, *a, **b))
+    identify(docs, train({"en": [b"one two"], "fr": [b"un deux"]}))
+    remove_repeated_lines(docs)
+    without_near_copies(docs)
+    remove_repeated_passages(docs)
+    assert len(tasks) >= 8
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        model = file.read()
+    for run in tasks:  # as a worker that packed before would
+        codec = weakref.ref(codec_of(model))
+        assert codec_of(model) is codec()
+        assert list(run(iter([]))) == []
+        assert codec() is None

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from tidemark.llm.memo import PieceTable
-from tidemark.llm.runtime import ship_code
+from tidemark.llm.runtime import held, ship_code
 from tidemark.llm.textbatch import slices, utf8
 
 #: Pairs of tokens whose verdict a worker remembers.
@@ -317,15 +317,9 @@ def _byte_letters() -> list[str]:
     return [chr(x) if x in plain else chr(next(rest)) for x in range(256)]
 
 
-_codecs: dict[int, Codec] = {}
-
-
 def codec_of(model_json: str) -> Codec:
-    """The codec of a model, built once in a worker."""
-    key = hash(model_json)
-    if key not in _codecs:
-        _codecs[key] = Codec(model_json)
-    return _codecs[key]
+    """The codec of a model, built once in a worker while its tasks use no other."""
+    return held(("bpe", hash(model_json)), lambda: Codec(model_json))
 
 
 def token_names(model_json: str) -> list[str]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.runtime import ship_code
+from tidemark.llm.runtime import lean, ship_code
 from tidemark.llm.sampling import sample_per_label
 from tidemark.llm.textbatch import slices, utf8
 
@@ -222,4 +222,4 @@ def identify(docs: DataFrame, model: ContextTrees, text_col: str = "text") -> Da
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(found, pa.string()), pa.array(scores)], [*kept, *names])
 
     plain = docs.select(*kept)
-    return plain.mapInArrow(run, T.StructType([*plain.schema.fields]).add(names[0], "string").add(names[1], "double"))
+    return plain.mapInArrow(lean(run), T.StructType([*plain.schema.fields]).add(names[0], "string").add(names[1], "double"))

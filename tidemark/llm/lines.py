@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.runtime import free_names, ship_code, stored, temporary
+from tidemark.llm.runtime import free_names, lean, ship_code, stored, temporary
 from tidemark.llm.textbatch import range_names, slices, utf8, windows_by_minimum, words
 
 #: Lines in a window. A repeated run this long always shares a fingerprint.
@@ -65,7 +65,7 @@ def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType().add("doc_id", "long").add("th", "long").add("fingerprint", "long").add("at", "integer").add("lines", T.ArrayType(T.LongType()))
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(lean(run), schema)
 
 
 def repeated_windows(windows: DataFrame, run_lines: int = RUN_LINES) -> DataFrame:
@@ -124,7 +124,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType().add("doc_id", "long").add("th", "long").add("lines", T.ArrayType(T.LongType())).add("sizes", T.ArrayType(T.LongType()))
-    texts = stored(plain.mapInArrow(run, schema).where(F.size("lines") > 0), "text-lines")
+    texts = stored(plain.mapInArrow(lean(run), schema).where(F.size("lines") > 0), "text-lines")
     lines = texts.select("doc_id", "th", F.posexplode("lines").alias("at", "h"), F.col("sizes"), F.size("lines").alias("n_lines"))
     lines = lines.select("doc_id", "th", "at", "h", "n_lines", F.col("sizes")[F.col("at")].alias("n_words"))
     twice = stored(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-lines")
@@ -208,7 +208,7 @@ def remove_repeated_lines(
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64())], [*kept, *counts])
 
     schema = T.StructType([docs.schema[c] if c != text_col else T.StructField(c, T.StringType()) for c in kept])
-    return joined.mapInArrow(run, schema.add(counts[0], "long").add(counts[1], "long"))
+    return joined.mapInArrow(lean(run), schema.add(counts[0], "long").add(counts[1], "long"))
 
 
 def _without(raw: bytes, begin: list[int], end: list[int]) -> bytes:

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.bpe import SuffixAutomaton
 from tidemark.llm.memo import PieceTable
-from tidemark.llm.runtime import ship_code
+from tidemark.llm.runtime import held, ship_code
 from tidemark.llm.textbatch import slices, utf8
 
 #: Bytes of text encoded at a time; a longer text is taken alone.
@@ -341,16 +341,10 @@ def _text_of(raw: bytearray) -> str:
     return "".join(out)
 
 
-_codecs: dict[int, PieceCodec] = {}
-
-
 def _codec(broadcast) -> PieceCodec:
-    """The codec of a broadcast model, built once in a worker."""
+    """The codec of a broadcast model, built once in a worker while its tasks use no other."""
     pieces = broadcast.value
-    key = hash(tuple(pieces))
-    if key not in _codecs:
-        _codecs[key] = PieceCodec(pieces)
-    return _codecs[key]
+    return held(("pieces", hash(tuple(pieces))), lambda: PieceCodec(pieces))
 
 
 def _broadcast(spark: SparkSession, model_path: str):

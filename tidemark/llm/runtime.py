@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import drop_folder, scratch_dir, shared_dir
 
+X = TypeVar("X")
+
 _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 #: Folders written inside each open :func:`temporary`, the innermost last.
 _open: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
+#: What a Python worker keeps from task to task; one thing at a time.
+_held: dict[Hashable, object] = {}
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -39,6 +47,49 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def held(key: Hashable, build: Callable[[], X]) -> X:
+    """What ``build`` makes, kept in this worker for its next tasks with the same key.
+
+    Workers outlive the stage they ran in: what is kept goes when a task of
+    another key, or a :func:`lean` one, runs in the worker.
+    """
+    if key not in _held:
+        _let_go()
+        _held[key] = build()
+    return _held[key]
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow`` in workers that keep nothing: not what others had :func:`held`, nor freed memory.
+
+    Workers are used again and stand beside the heap of their executor.
+    """
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _let_go()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return alone
+
+
+def _let_go() -> None:
+    if _held:
+        _held.clear()
+        gc.collect()
+        _give_back()
+
+
+def _give_back() -> None:
+    """Hand freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def free_names(df: DataFrame, *wishes: str) -> list[str]:
     """Column names like the wishes that ``df`` does not have, in any case."""
     taken = {c.lower() for c in df.columns}

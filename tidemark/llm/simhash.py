@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components, local_roots
-from tidemark.llm.runtime import batches_of, ship_code, stored, stored_at, temporary
+from tidemark.llm.runtime import batches_of, lean, ship_code, stored, stored_at, temporary
 from tidemark.llm.textbatch import Names, mix, range_names, slices, utf8, words
 from tidemark.session import drop_folder
 
@@ -107,7 +107,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType().add("id", plain.schema["id"].dataType).add("fp", "long")
-    return plain.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return plain.mapInArrow(lean(run), schema).withColumnRenamed("id", id_col)
 
 
 class BitPlanes:
@@ -212,7 +212,7 @@ def near_pairs(nodes: DataFrame, fp_col: str = "fp", node_col: str = "node") ->
         if held:
             yield from _compare(held[0], np.zeros(0, np.int64))
 
-    return pairs.mapInArrow(run, "a long, b long").distinct()
+    return pairs.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def _block(fp_col: str, i: int):
@@ -370,7 +370,7 @@ def shingle_sketches(docs: DataFrame, size: int = COPY_WORDS, percent: int = COP
     schema = T.StructType([docs.schema["id"], docs.schema["th"]])
     for name in ("n", "fp", "whole"):
         schema = schema.add(name, "long")
-    return docs.mapInArrow(run, schema.add("prefix", T.ArrayType(T.LongType())).add("bits", "binary"))
+    return docs.mapInArrow(lean(run), schema.add("prefix", T.ArrayType(T.LongType())).add("bits", "binary"))
 
 
 def _verified(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> DataFrame:
@@ -387,7 +387,9 @@ def _verified(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> Da
     with temporary(plain.sparkSession):
         pairs = stored(pairs.distinct(), "near-pairs")
         ends = pairs.select(F.col("x_id").alias("id"), F.col("x_th").alias("th")).union(pairs.select("id", "th")).distinct()
-        sets = stored(plain.join(ends, ["id", "th"], "left_semi").mapInArrow(run, schema), "shingle-sets")
+        # few texts of many files: dealt out anew, they fill few tasks and files
+        asked = plain.join(ends, ["id", "th"], "left_semi").repartition("id", "th")
+        sets = stored(asked.mapInArrow(lean(run), schema), "shingle-sets")
         first = sets.select(F.col("id").alias("x_id"), F.col("th").alias("x_th"), F.col("s").alias("x_s"))
         both = pairs.join(first, ["x_id", "x_th"]).join(sets, ["id", "th"]).withColumn("i", F.size(F.array_intersect("x_s", "s")))
         near = both.where(100 * F.col("i") >= percent * (F.size("x_s") + F.size("s") - F.col("i")))
@@ -425,7 +427,7 @@ def _with_first(left: DataFrame, percent: int) -> DataFrame:
             x, y = (Parities(batch.column(f"{p}n").to_numpy(zero_copy_only=False), batch.column(f"{p}bits")) for p in ("x_", ""))
             yield batch.select(_ENDS).filter(pa.array(near_by_parity(x, at, y, at, percent)))
 
-    return rows.mapInArrow(run, T.StructType([rows.schema[c] for c in _ENDS]))
+    return rows.mapInArrow(lean(run), T.StructType([rows.schema[c] for c in _ENDS]))
 
 
 def _in_blocks(left: DataFrame, percent: int) -> DataFrame:
@@ -462,7 +464,7 @@ def _in_blocks(left: DataFrame, percent: int) -> DataFrame:
             whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             yield from _compare_blocks(whole, _begins(whole), percent)
 
-    return rows.mapInArrow(run, T.StructType([T.StructField(c, left.schema[c.removeprefix("x_")].dataType) for c in _ENDS]))
+    return rows.mapInArrow(lean(run), T.StructType([T.StructField(c, left.schema[c.removeprefix("x_")].dataType) for c in _ENDS]))
 
 
 def _begins(batch: pa.RecordBatch) -> np.ndarray:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.rules import let
-from tidemark.llm.runtime import free_names, ship_code, stored, temporary
+from tidemark.llm.runtime import free_names, lean, ship_code, stored, temporary
 from tidemark.llm.textbatch import Names, slices, union_of_spans, utf8, windows_by_minimum, word_names, words
 
 WINDOW_WORDS = 50
@@ -60,7 +60,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
             )
 
     plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, th long, anchor long, passage long, at int, n int")
+    return plain.mapInArrow(lean(run), "doc_id long, th long, anchor long, passage long, at int, n int")
 
 
 class Reference:
@@ -181,7 +181,7 @@ def match_shards(shards: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(_columns(match(held), 3), schema.types, strict=True)], schema=schema)
 
     dealt = shards.select("anchor", "passage", "doc_id", F.col("words").cast("binary")).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "passage")
-    return dealt.mapInArrow(run, f"anchor long, passage long, runs {_RUN}")
+    return dealt.mapInArrow(lean(run), f"anchor long, passage long, runs {_RUN}")
 
 
 def _columns(rows: list[tuple], n: int) -> list[list]:
@@ -211,7 +211,7 @@ def match_windows(shards: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
                 ["anchor", "passage", "doc_id", "at", "one", "two"],
             )
 
-    rows = shards.select("anchor", "passage", "doc_id", "words").mapInArrow(run, "anchor long, passage long, doc_id long, at int, one long, two long")
+    rows = shards.select("anchor", "passage", "doc_id", "words").mapInArrow(lean(run), "anchor long, passage long, doc_id long, at int, one long, two long")
     first = stored(rows.groupBy("one", "two").agg(F.min("doc_id").alias("origin")), "first-documents")
     found = rows.join(first, ["one", "two"]).select("anchor", "passage", F.struct("at", F.lit(1).alias("n"), "origin").alias("run"))
     return found.groupBy("anchor", "passage").agg(_merged(F.sort_array(F.collect_list("run"))).alias("runs"))
@@ -249,7 +249,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sizes = different.groupBy("anchor").agg(F.count("*").alias("members")).where("members > 1")
     several = different.join(sizes, "anchor").groupBy("doc_id", "th").agg(F.collect_list(F.struct("anchor", "passage", "at", "n", "members")).alias("cuts"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
-    shards = stored(texts.join(several, ["doc_id", "th"]).mapInArrow(_cut_out, "anchor long, passage long, doc_id long, words string, members long").dropDuplicates(["anchor", "passage"]), "reference-shards")
+    shards = stored(texts.join(several, ["doc_id", "th"]).mapInArrow(lean(_cut_out), "anchor long, passage long, doc_id long, words string, members long").dropDuplicates(["anchor", "passage"]), "reference-shards")
     matched = match_shards(shards.where(F.col("members") <= shard_passages), window).unionByName(match_windows(shards.where(F.col("members") > shard_passages), window))
     alone = different.join(sizes.select("anchor"), "anchor", "left_anti").select(
         "anchor", "passage", F.array(F.struct(F.lit(0).alias("at"), (F.col("n") - window + 1).alias("n"), F.col("doc_id").alias("origin"))).cast(_RUN).alias("runs")
@@ -325,4 +325,4 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(w.first), pa.int64()), pa.array(removed, pa.int64())], [*kept, *counts])
 
     schema = T.StructType([docs.schema[c] if c != text_col else T.StructField(c, T.StringType()) for c in kept])
-    return joined.mapInArrow(run, schema.add(counts[0], "long").add(counts[1], "long"))
+    return joined.mapInArrow(lean(run), schema.add(counts[0], "long").add(counts[1], "long"))
