@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import ENCODE_BYTES, broadcast_model, codec_of
+from tidemark.llm.runtime import give_back
 from tidemark.llm.textbatch import slices
 
 TIERS = (2048, 1024, 512, 256)
@@ -176,6 +177,7 @@ def pack_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", tex
             left = [(i, start, n) for i, (_, start, n) in enumerate(left)]
         if left:
             yield rows(halve(left))
+        give_back()
 
     schema = T.StructType().add("id", kind).add("start", "long").add("length", "long").add("ids", "binary")
     for name in ("doc_tokens", "sequence_id", "offset", "sequence_length", "step_group"):

@@ -70,7 +70,7 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
-            _give_back()
+            give_back()
 
     return alone
 
@@ -79,10 +79,10 @@ def _let_go() -> None:
     if _held:
         _held.clear()
         gc.collect()
-        _give_back()
+        give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Hand freed memory to the system, where the C library can."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
