@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,3 +51,18 @@ def test_documents(spark):
                     (2, "s5", "", ""), (2, "s6", "", ""), (3, "", "", "no document"), (7, "s7", "it's", "")]
     assert got.where("doc = 7").select(F.col("value")["n"].alias("n")).first().n == "[1]"
     assert got.columns == ["doc", "series_id", "namespace", "key", "value", "bad"]
+
+
+def test_work_in_proportion_to_the_hits(spark):
+    """A large document: nothing but a hit's own part goes into its rows, and each parse is there once."""
+    one = "{'Namespace':'a','Key':'k','Value':{'n':1}}"
+    answers = spark.createDataFrame([(1, json.dumps({f"s{n}": [one, one] for n in range(2_000)}))], "doc int, answer string")
+    got = explode_hits(answers, keep=["doc"])
+    assert got.filter("namespace = 'a' and value['n'] = '1' and bad is null").count() == 4_000
+    node, carried = got._jdf.queryExecution().optimizedPlan(), []
+    assert node.toString().count("from_json(") == 4
+    while node.children().size():
+        if node.nodeName() == "Generate":
+            carried.append(re.findall(r"(\w+)#", node.requiredChildOutput().toString()))
+        node = node.children().apply(0)
+    assert carried == [["doc", "_unread", "series_id"], ["doc", "_unread"]]

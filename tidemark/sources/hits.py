@@ -6,6 +6,8 @@ namespace, key and any names; a search for a value gives a plain list of ids.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,21 @@ def parse_entry(text: str | Column) -> Column:
     entry either way is given back as ``bad``, with the rest NULL.
     """
     raw = F.col(text) if isinstance(text, str) else text
-    plain, mended = _parsed(raw), _parsed(F.regexp_replace(raw, STRAY_QUOTE, r"\\'"))
+    mended = _parsed(F.regexp_replace(raw, STRAY_QUOTE, r"\\'"))
     # A second parse only where the first one failed.
-    entry = F.when(_unreadable(plain), mended).otherwise(plain)
+    entry = _named_once(_parsed(raw), lambda plain: F.when(_unreadable(plain), mended).otherwise(plain))
+    return _named_once(entry, lambda entry: _parts(raw, entry))
+
+
+def _named_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, for which ``value`` is computed once however often it is named.
+
+    Below a condition Spark shares no common parts: each mention of a parse is a parse.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
+def _parts(raw: Column, entry: Column) -> Column:
     good = ~_unreadable(entry)
     return F.struct(
         F.when(good, entry["Namespace"]).alias("namespace"),
@@ -60,10 +74,15 @@ def explode_hits(answers: DataFrame, column: str = "answer", keep: list[str] | N
     is_list = F.ltrim(document).startswith("[")
     found = F.when(is_list, F.transform(F.from_json(document, "array<string>", _OPTIONS), lambda i: F.struct(i.alias("key"), F.lit(None).cast("array<string>").alias("value"))))
     found = found.otherwise(F.map_entries(F.from_json(document, "map<string,array<string>>", _OPTIONS)))
-    series = answers.filter(document.isNotNull()).select(*keep, document.alias("_text"), F.explode_outer(found).alias("_s"), found.isNull().alias("_none"))
-    listed = series.select(*keep, "_text", "_none", F.col("_s.key").alias("series_id"), F.explode_outer("_s.value").alias("_entry"))
-    # An empty document has no hits; only one that could not be read is put aside.
-    listed = listed.filter(F.col("_none") | F.col("series_id").isNotNull())
+    # No row carries more than its own part: a document, or all entries of a series, beside
+    # the rows made of them would be copied into each.
+    documents = answers.select(*keep, document.alias("_text"), found.alias("_found"))
+    documents = documents.select(*keep, F.when(F.col("_found").isNull(), F.col("_text")).alias("_unread"), "_found")
+    series = documents.select(*keep, "_unread", F.explode_outer("_found").alias("_s"))
+    # An empty or NULL document has no hits; only one that could not be read is put aside.
+    series = series.filter(F.col("_unread").isNotNull() | F.col("_s.key").isNotNull())
+    series = series.select(*keep, "_unread", F.col("_s.key").alias("series_id"), F.col("_s.value").alias("_entries"))
+    listed = series.select(*keep, "_unread", "series_id", F.explode_outer("_entries").alias("_entry"))
     read = listed.withColumn("_e", F.when(F.col("_entry").isNotNull(), parse_entry("_entry")))
-    bad = F.when(F.col("_none"), F.col("_text")).otherwise(F.col("_e.bad"))
+    bad = F.coalesce("_unread", "_e.bad")
     return read.select(*keep, "series_id", "_e.namespace", "_e.key", "_e.value", bad.alias("bad"))
