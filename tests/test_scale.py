@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 from tidemark.operators import aggregate as agg
 from tidemark.operators import ingest, overlay, read
 from tidemark.operators.metadata import search
-from tidemark.operators.reshape import to_long, to_wide, to_wide_blocks
+from tidemark.operators.reshape import block_columns, from_blocks, to_blocks, to_long, to_wide, to_wide_blocks
 from tidemark.operators.rollup import aggregate_rollup, exact_mean, rollup
 from tidemark.operators.search_index import candidates, needed_grams, search_indexed, write_search_index
 from tidemark.plans import inputs
+from tidemark.plans.queries import pivot_blocks
 from tidemark.schema import SAMPLES_RAW
 from tidemark.sinks.rewrite import delete_series_files, merge_contested, replace_rows
 from tidemark.sinks.samples import write_samples
@@ -199,3 +201,40 @@ def test_blocks_of_columns(spark):
     assert to_long(wide, names).count() == 400
     plan = plan_of(wide.select("*"))
     assert plan.count("hashpartitioning(index") <= 5 and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_blocks_and_back(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr("tidemark.operators.joins.MAX_BROADCAST_BYTES", -1)
+    rows = [(f"s{i % 25}", i // 2, float(i)) for i in range(400)]
+    rows += [("s1", 0, 7.0), ("s1", 0, -7.0), ("s2", 500, None), (None, 3, 1.0), (None, 3, 2.0), ("s3", None, 4.0), ("other", 1, 9.0)]
+    samples = spark.createDataFrame(rows, "series_id string, index bigint, value double")
+    columns = block_columns(samples.filter("series_id <=> null or series_id <> 'other'"), 7)
+    placed = {(r.block, r.place): r.series_id for r in columns.collect()}
+    assert sorted(placed.values(), key=str) == sorted([None, *(f"s{i}" for i in range(25))], key=str) and all(0 <= p < 7 for _, p in placed)
+    want = {}
+    for sid, index, value in rows:
+        if sid != "other" and value is not None:
+            want[sid, index] = max(value, want.get((sid, index), value))
+    blocks = to_blocks(samples, columns, block=7)
+    got = blocks.collect()
+    assert len({(r["index"], r.block) for r in got}) == len(got) and {len(r["values"]) for r in got} == {7}
+    assert {(placed[r.block, p], r["index"]): v for r in got for p, v in enumerate(r["values"]) if v is not None} == want
+    assert [r["values"] for r in got if r["index"] == 500] == [[None] * 7]
+    back = from_blocks(blocks, columns)
+    assert back.columns == ["series_id", "index", "value"]
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(str((*k, v)) for k, v in want.items())
+
+
+def test_a_plan_of_blocks_does_not_grow_with_the_columns(spark, tmp_path):
+    plans = set()
+    for users in (10, 450):
+        sf = str(tmp_path / str(users))
+        events = spark.range(users * 4).selectExpr(f"id % {users} as user_id", "timestamp'2024-01-02' + make_dt_interval(0, id) as ts", "double(id) as value")
+        events.write.parquet(f"{sf}/events.parquet")
+        pivoted = pivot_blocks(spark, sf)
+        want = agg.aggregate(inputs.samples(spark, sf), "2024-01-01", "2024-01-31", "1h", "max")
+        assert values(pivoted) == values(want) and pivoted.count() > users
+        plans.add(re.sub(r"\d+", "", pivoted._jdf.queryExecution().optimizedPlan().toString()))
+    assert len(plans) == 1
